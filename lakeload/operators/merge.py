@@ -46,17 +46,21 @@ def null_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def hashed_source(bronze: DataFrame, keys: Sequence[str], order: Sequence[Column] = (),
-                  hash_column: str = HASH) -> DataFrame:
+                  hash_column: str = HASH, unique_order: bool = False) -> DataFrame:
     """Bronze rows ready to merge: business columns, their hash, one row per complete key.
 
-    ``order`` ranks versions of one key (first wins); the hash is always the last tie-breaker.
+    ``order`` ranks versions of one key (first wins) and the hash breaks remaining ties. When
+    the order is known to be total, ``unique_order`` hashes only the surviving rows.
     De-duplication partitions by the merge keys, and the merge join reuses that layout, so it
     costs no further shuffle.
     """
     business = business_columns(bronze)
-    hashed = add_row_hash(bronze, hash_column, include_cols=business)
-    complete = hashed.where(~any_null(keys))
-    return latest_rows(complete, keys, [*order, F.col(hash_column).desc()]).select(*business, hash_column)
+    complete = bronze.where(~any_null(keys))
+    if unique_order:
+        latest = latest_rows(complete, keys, order).select(*business)
+        return add_row_hash(latest, hash_column)
+    hashed = add_row_hash(complete, hash_column, include_cols=business)
+    return latest_rows(hashed, keys, [*order, F.col(hash_column).desc()]).select(*business, hash_column)
 
 
 def initial_silver(source: DataFrame, run_ts: str) -> DataFrame:

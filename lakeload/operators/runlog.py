@@ -63,7 +63,7 @@ def _failed_list() -> Column:
 
 
 def _seconds_between(start: Column, end: Column) -> Column:
-    return F.unix_micros(end.cast("timestamp")) / F.lit(1e6) - F.unix_micros(start.cast("timestamp")) / F.lit(1e6)
+    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(1e6)
 
 
 def run_status(all_ok: Column, any_rows: Column | None = None) -> Column:

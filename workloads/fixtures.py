@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 PREVIOUS_RUN = "20010701T000000"
 THIS_RUN = "20010801T000000"
 AS_OF_RUN = "20240115T000000"
-LOG_RUN = "19980301T000000"
+LOG_RUN = "19950612T000000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,19 +106,19 @@ EVENT_HASH_TEXT = (
     " coalesce(props, '∅'), coalesce(CAST(user_id AS VARCHAR), '∅'), coalesce(CAST(value AS VARCHAR), '∅'))")
 
 
-# Processing log: one row per lineitem, a source of 25 tables per 25 suppliers ------------------
+# Processing log: one row per lineitem, weekly runs, a source of 25 tables per 25 suppliers ----
 
 def processing_log(spark, sf_dir) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
-    month = F.date_format("l_shipdate", "yyyyMM")
-    run_ts = F.concat(month, F.lit("01T000000"))
+    week = F.date_trunc("week", "l_shipdate")
+    run_ts = F.concat(F.date_format(week, "yyyyMMdd"), F.lit("T000000"))
     source = F.concat(F.lit("S"), F.floor(F.col("l_suppkey") / 25).cast("string"))
     seconds = F.col("l_partkey") % 60
     start = F.col("l_shipdate").cast("timestamp_ntz")
     return items.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("log_id"),
         F.concat_ws("_", run_ts, source).alias("run_id"),
-        F.to_date(month, "yyyyMM").alias("run_date"),
+        week.cast("date").alias("run_date"),
         run_ts.alias("run_ts"),
         source.alias("source"),
         F.concat(F.lit("T"), (F.col("l_suppkey") % 25).cast("string")).alias("table_name"),
@@ -138,9 +138,9 @@ def processing_log(spark, sf_dir) -> DataFrame:
 PROCESSING_LOG = """
 processing_log AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS log_id,
-         strftime(l_shipdate, '%Y%m') || '01T000000_S' || CAST(l_suppkey // 25 AS VARCHAR) AS run_id,
-         CAST(date_trunc('month', l_shipdate) AS DATE) AS run_date,
-         strftime(l_shipdate, '%Y%m') || '01T000000' AS run_ts,
+         strftime(date_trunc('week', l_shipdate), '%Y%m%d') || 'T000000_S' || CAST(l_suppkey // 25 AS VARCHAR) AS run_id,
+         CAST(date_trunc('week', l_shipdate) AS DATE) AS run_date,
+         strftime(date_trunc('week', l_shipdate), '%Y%m%d') || 'T000000' AS run_ts,
          'S' || CAST(l_suppkey // 25 AS VARCHAR) AS source,
          'T' || CAST(l_suppkey % 25 AS VARCHAR) AS table_name,
          CASE l_linenumber WHEN 2 THEN 'FAILED' WHEN 3 THEN 'EMPTY' WHEN 4 THEN 'SKIPPED' ELSE 'SUCCESS' END AS status,
@@ -219,7 +219,7 @@ column_metadata AS (
          CASE WHEN p_size < 10 THEN CAST(p_size AS VARCHAR) || ' ' || p_name
               ELSE p_name || ' (' || p_brand || ')' END AS column_name,
          {TYPE_CYCLE!r}[p_partkey % {len(TYPE_CYCLE)} + 1] AS data_type,
-         CASE WHEN p_partkey % 20 > 0 THEN 20 - p_partkey % 20 END AS ordinal_position,
+         CASE WHEN p_partkey % 20 > 0 THEN CAST(20 - p_partkey % 20 AS INTEGER) END AS ordinal_position,
          18 AS numeric_precision,
          CASE WHEN p_size > 5 THEN p_size % 10 END AS numeric_scale,
          p_size AS max_len

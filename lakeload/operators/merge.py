@@ -26,6 +26,7 @@ from lakeload.operators.rowhash import add_row_hash, business_columns
 
 RESURRECT, STILL_DELETED = "RESURRECT", "STILL_DELETED"
 CHANGE = "_change"
+IN_SOURCE = "_in_source"
 HASH = "row_hash"
 # Silver metadata columns.
 SILVER_COLUMNS = {
@@ -71,12 +72,14 @@ def initial_silver(source: DataFrame, run_ts: str) -> DataFrame:
         "_silver_deleted_ts": F.lit(None).cast("string"),
         "is_deleted": F.lit(False),
         CHANGE: F.lit(INSERT),
+        IN_SOURCE: F.lit(True),
     })
 
 
 def merge_silver(previous: DataFrame | None, source: DataFrame, keys: Sequence[str], run_ts: str,
                  sync_deletes: bool = True, hash_column: str = HASH) -> DataFrame:
-    """The new silver state, with the outcome per row in ``_change``.
+    """The new silver state, with the outcome per row in ``_change`` and whether the source had
+    the row in ``_in_source``.
 
     ``source`` comes from :func:`hashed_source`. One full outer join yields inserts, updates,
     resurrections, deletes and untouched rows together; each input is read once. Columns that
@@ -118,14 +121,15 @@ def merge_silver(previous: DataFrame | None, source: DataFrame, keys: Sequence[s
         from_old = F.col(f"`_old_{name}`") if name in previous.columns else F.lit(None)
         return F.when(taken, from_new).otherwise(from_old).alias(name)
 
-    return old.join(new, keys, "full_outer").withColumn(CHANGE, change).select(
+    joined = old.join(new, keys, "full_outer").withColumns({CHANGE: change, IN_SOURCE: has_new})
+    return joined.select(
         *[pick(name) for name in output],
         F.coalesce(F.col("_old__silver_inserted_ts"), run).alias("_silver_inserted_ts"),
         F.when(taken, run).otherwise(F.col("_old__silver_updated_ts")).alias("_silver_updated_ts"),
         F.when(gone, run).when(taken, F.lit(None)).otherwise(
             F.col("_old__silver_deleted_ts")).alias("_silver_deleted_ts"),
         F.when(gone, True).when(taken, False).otherwise(was_deleted).alias("is_deleted"),
-        CHANGE)
+        CHANGE, IN_SOURCE)
 
 
 def merge_metrics(change: Column | None = None) -> list[Column]:
@@ -133,7 +137,7 @@ def merge_metrics(change: Column | None = None) -> list[Column]:
     change = F.col(CHANGE) if change is None else change
 
     def count(*kinds: str) -> Column:
-        return F.coalesce(F.sum(F.when(change.isin(*kinds), 1).otherwise(0)), F.lit(0)).cast("bigint")
+        return F.count_if(change.isin(*kinds))
 
     return [
         count(INSERT).alias("rows_inserted"),
@@ -141,4 +145,5 @@ def merge_metrics(change: Column | None = None) -> list[Column]:
         count(DELETE).alias("rows_deleted"),
         count(UNCHANGED).alias("rows_unchanged"),
         F.count(F.lit(1)).alias("total_silver_rows"),
+        F.count_if(F.col(IN_SOURCE)).alias("bronze_rows"),
     ]

@@ -133,5 +133,9 @@ def upsert_logs(spark: SparkSession, updates: DataFrame, layer: str = "bronze")
     merged = reliable_checkpoint(spark, upsert_log_rows(existing, fresh))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(table_location(spark, table)))
-    spark.sql(f"ALTER TABLE {quoted(table)} RECOVER PARTITIONS")
+    # One partition per table of the run at most.
+    specs = [", ".join(f"`{p}` = '{row[p]}'" for p in parts) for row in touched.collect()]
+    if specs:
+        added = " ".join(f"PARTITION ({spec})" for spec in specs)
+        spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS {added}")
     spark.catalog.refreshTable(quoted(table))

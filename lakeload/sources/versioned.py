@@ -46,6 +46,8 @@ def versions(spark: SparkSession, name: str) -> list[Version]:
     """Complete versions, oldest first. Two attempts of one run: the published one counts as
     the later."""
     schema, table = _split(name)
+    if not spark.catalog.databaseExists(schema):
+        return []
     pattern = f"{table.lower()}__v*"
     listed = spark.sql(f"SHOW TABLES IN {quoted(schema)} LIKE '{pattern}'").collect()
     current = published(spark, name)

@@ -190,7 +190,7 @@ new_silver AS (
               ELSE s._silver_deleted_ts END AS _silver_deleted_ts,
          CASE WHEN change = 'DELETE' THEN true WHEN change IN ('INSERT','UPDATE','RESURRECT') THEN false
               ELSE s.is_deleted END AS is_deleted,
-         change AS _change
+         change AS _change, n.o_orderkey IS NOT NULL AS _in_source
   FROM merged)"""
 
 
@@ -213,7 +213,8 @@ def silver_merge_snapshot(spark, sf_dir):
        sql="""SELECT count(*) FILTER (_change = 'INSERT') AS rows_inserted,
                 count(*) FILTER (_change IN ('UPDATE', 'RESURRECT')) AS rows_updated,
                 count(*) FILTER (_change = 'DELETE') AS rows_deleted,
-                count(*) FILTER (_change = 'UNCHANGED') AS rows_unchanged, count(*) AS total_silver_rows
+                count(*) FILTER (_change = 'UNCHANGED') AS rows_unchanged, count(*) AS total_silver_rows,
+                count(*) FILTER (_in_source) AS bronze_rows
               FROM new_silver""")
 def silver_merge_metrics(spark, sf_dir):
     return _merge(spark, sf_dir, sync_deletes=True).agg(*merge.merge_metrics())
@@ -222,7 +223,7 @@ def silver_merge_metrics(spark, sf_dir):
 @query("silver_initial", ctes=(fx.EVENT_HISTORY,),
        sql=f"""SELECT user_id, event_id, event_type, value, props, sha256({fx.EVENT_HASH_TEXT}) AS row_hash,
                  '{fx.THIS_RUN}' AS _silver_inserted_ts, '{fx.THIS_RUN}' AS _silver_updated_ts,
-                 CAST(NULL AS VARCHAR) AS _silver_deleted_ts, false AS is_deleted, 'INSERT' AS _change
+                 CAST(NULL AS VARCHAR) AS _silver_deleted_ts, false AS is_deleted, 'INSERT' AS _change, true AS _in_source
                FROM event_history
                QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY _bronze_load_ts DESC, event_id DESC) = 1""")
 def silver_initial(spark, sf_dir):
@@ -246,7 +247,7 @@ SELECT v.user_id, v.event_id, v.event_type, v.value, v.props, v.row_hash,
        CASE WHEN e.row_hash = v.row_hash THEN '{fx.AS_OF_RUN}' ELSE '{fx.THIS_RUN}' END AS _silver_updated_ts,
        CAST(NULL AS VARCHAR) AS _silver_deleted_ts, false AS is_deleted,
        CASE WHEN e.user_id IS NULL THEN 'INSERT' WHEN e.row_hash = v.row_hash THEN 'UNCHANGED'
-            ELSE 'UPDATE' END AS _change
+            ELSE 'UPDATE' END AS _change, true AS _in_source
 FROM versions v LEFT JOIN earlier e ON v.user_id = e.user_id AND v.event_type = e.event_type
 WHERE v.rn = 1""")
 def silver_history_merge(spark, sf_dir):
@@ -256,4 +257,4 @@ def silver_history_merge(spark, sf_dir):
     history = fx.event_history(spark, sf_dir)
     first = merge.initial_silver(
         merge.hashed_source(current.loads_until(history, fx.AS_OF_RUN), keys, order), fx.AS_OF_RUN)
-    return merge.merge_silver(first.drop(merge.CHANGE), merge.hashed_source(history, keys, order), keys, fx.THIS_RUN)
+    return merge.merge_silver(first.drop(merge.CHANGE, merge.IN_SOURCE), merge.hashed_source(history, keys, order), keys, fx.THIS_RUN)

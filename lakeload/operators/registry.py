@@ -57,13 +57,13 @@ def registry_violations(documents: DataFrame) -> DataFrame:
         F.lit(True).alias("fatal"))
     tables = documents.select("source", F.posexplode("tables").alias("position", "t"))
     mode = F.lower("t.load_mode")
-    rows = tables.select(
-        "source", "position",
-        F.explode(F.array_compact(F.array(
-            F.when(F.col("t.name").isNull(), F.struct(F.lit("table without name").alias("problem"),
-                                                      F.lit(True).alias("fatal"))),
-            F.when(~mode.isin(*LOAD_MODES), F.struct(F.concat(F.lit("unsupported load mode "), mode),
-                                                     F.lit(False)))))).alias("v"))
+
+    def problem(text: Column, fatal: bool) -> Column:
+        return F.struct(text.alias("problem"), F.lit(fatal).alias("fatal"))
+
+    rows = tables.select("source", "position", F.explode(F.array_compact(F.array(
+        F.when(F.col("t.name").isNull(), problem(F.lit("table without name"), True)),
+        F.when(~mode.isin(*LOAD_MODES), problem(F.concat(F.lit("unsupported load mode "), mode), False))))).alias("v"))
     return head.unionByName(rows.select("source", "position", "v.problem", "v.fatal"))
 
 

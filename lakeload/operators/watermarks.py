@@ -59,8 +59,10 @@ def merged_watermarks(stored: DataFrame, newest: DataFrame, keys: Sequence[str]
     new = newest.select(*keys, F.col(value).alias("_new"))
     merged = F.coalesce("_new", "_old")
     if monotonic_kind is not None:
-        merged = F.when(as_kind(F.col("_old"), monotonic_kind) > as_kind(F.col("_new"), monotonic_kind),
-                        F.col("_old")).otherwise(merged)
+        # Marks of tables without an update may be of another kind; they are not compared.
+        older = as_kind(F.col("_old"), monotonic_kind) > as_kind(F.col("_new"), monotonic_kind)
+        merged = (F.when(F.col("_new").isNull() | F.col("_old").isNull(), merged)
+                  .when(older, F.col("_old")).otherwise(merged))
     return old.join(new, list(keys), "full_outer").select(*keys, merged.alias(value))
 
 

@@ -41,8 +41,9 @@ def run_source(spark: SparkSession, tables: DataFrame, source: str, run_ts: str,
     logs.ensure_log_tables(spark)
     run_id = f"{run_ts}_{uuid.uuid4().hex[:8]}"
     wanted = None if not retry else spark.createDataFrame([(n,) for n in retry], "name string")
-    chosen = registry.with_targets(
-        registry.tables_to_process(tables.where(F.col("source") == source), wanted))
+    # Names are settled over the whole registry: two sources may have tables of one name.
+    named = registry.with_unambiguous_silver(registry.with_targets(tables))
+    chosen = registry.tables_to_process(named.where(F.col("source") == source), wanted)
     for row in registry.target_schemas(chosen).collect():
         ensure_schema(spark, row.schema_name)
 

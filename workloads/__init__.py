@@ -1,4 +1,4 @@
 """Queries over the test tables, each with the DuckDB text it is checked against."""
 
-from workloads import change_queries, config_queries, log_queries, tuning_queries  # noqa: F401
+from workloads import change_queries, config_queries, log_queries, storage_queries, tuning_queries  # noqa: F401
 from workloads.book import ORACLES, QUERIES  # noqa: F401

@@ -65,8 +65,9 @@ def safe_identifier(name: Column) -> Column:
     """
     kept = F.trim(F.regexp_replace(name, "[^0-9A-Za-z_ ]+", ""))
     joined = F.regexp_replace(kept, " +", "_")
-    prefixed = F.when(joined.rlike("^[0-9]"), F.concat(F.lit("_"), joined)).otherwise(joined)
-    return F.when(name.isNull(), F.lit("")).when(prefixed == "", name).otherwise(prefixed)
+    prefixed = F.regexp_replace(joined, "^([0-9])", "_$1")
+    # One chain, so that a long name is cleaned once and not once per condition.
+    return F.coalesce(F.nullif(prefixed, F.lit("")), name, F.lit(""))
 
 
 def safe_column_names(names: list[str]) -> list[str]:

@@ -55,11 +55,16 @@ def _status_counts(*statuses: str) -> list[Column]:
     return [F.count_if(F.col("status") == s).alias(f"tables_{s.lower()}") for s in statuses]
 
 
-def _failed_list() -> Column:
-    """JSON list of failed names. A set over one run: as long as the source has tables, however
-    many log rows there are, and collected per map task first."""
-    names = F.array_sort(F.collect_set(F.when(F.col("status") == FAILED, F.col("table_name"))))
-    return F.when(F.size(names) > 0, F.to_json(names)).alias("failed_tables")
+def _with_failed_list(summary: DataFrame, logs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the JSON list of failed table names of each run.
+
+    Collected apart from the sums: those stay a plain hash aggregation, and only failed rows,
+    one per table, are ever collected. A list has as many entries as the source has tables.
+    """
+    failed = logs.where(F.col("status") == FAILED).select(*keys, "table_name").distinct()
+    names = failed.groupBy(*keys).agg(
+        F.to_json(F.array_sort(F.collect_list("table_name"))).alias("failed_tables"))
+    return summary.join(names, list(keys), "left")
 
 
 def _seconds_between(start: Column, end: Column) -> Column:
@@ -85,8 +90,7 @@ def bronze_run_summary(logs: DataFrame, workers: int | Column, keys: Sequence[st
         F.count(F.lit(1)).alias("total_tables"),
         *_status_counts(SUCCESS, EMPTY, FAILED, SKIPPED),
         F.coalesce(F.sum("rows_processed"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum("duration_seconds"), F.lit(0)).cast("double").alias("sum_task_seconds"),
-        _failed_list())
+        F.coalesce(F.sum("duration_seconds"), F.lit(0)).cast("double").alias("sum_task_seconds"))
     timed = grouped.withColumns({
         "workers": pool.cast("bigint"),
         "actual_time_sec": _seconds_between(F.col("run_start"), F.col("run_end")),
@@ -99,7 +103,7 @@ def bronze_run_summary(logs: DataFrame, workers: int | Column, keys: Sequence[st
     efficiency = F.when(
         F.col("actual_time_sec") > 0, F.col("theoretical_min_sec") / F.col("actual_time_sec") * 100
     ).otherwise(F.lit(0.0))
-    return timed.withColumn("efficiency_pct", efficiency).drop("_ok")
+    return _with_failed_list(timed.withColumn("efficiency_pct", efficiency).drop("_ok"), logs, keys)
 
 
 def silver_run_summary(logs: DataFrame, keys: Sequence[str] = RUN_KEYS) -> DataFrame:
@@ -112,11 +116,11 @@ def silver_run_summary(logs: DataFrame, keys: Sequence[str] = RUN_KEYS) -> DataF
         F.max("end_time").alias("run_end"),
         F.count(F.lit(1)).alias("total_tables"),
         *_status_counts(SUCCESS, FAILED, SKIPPED),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in totals.items()],
-        _failed_list())
-    return grouped.withColumn(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in totals.items()])
+    timed = grouped.withColumn(
         "duration_seconds",
         F.floor(_seconds_between(F.col("run_start"), F.col("run_end"))).cast("bigint"))
+    return _with_failed_list(timed, logs, keys)
 
 
 def overall_status(bronze: DataFrame, silver: DataFrame, keys: Sequence[str] = RUN_KEYS) -> DataFrame:
@@ -133,13 +137,11 @@ def overall_status(bronze: DataFrame, silver: DataFrame, keys: Sequence[str] = R
 
 def status_of_run(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """One row for a single run's logs; NO_WORK when both are empty."""
-    ok = [logs.agg(F.every(F.col("status").isin(*fine)).alias(name))
-          for logs, fine, name in ((bronze, BRONZE_OK, "_b"), (silver, SILVER_OK, "_s"))]
-    # Two global aggregates of exactly one row each.
-    both = ok[0].crossJoin(ok[1])
-    seen = F.col("_b").isNotNull() | F.col("_s").isNotNull()
-    fine = F.coalesce("_b", F.lit(True)) & F.coalesce("_s", F.lit(True))
-    return both.select(run_status(fine, seen).alias("overall_status"))
+    def judged(logs: DataFrame, fine: Sequence[str]) -> DataFrame:
+        return logs.select(F.col("status").isin(*fine).alias("fine"))
+
+    rows = judged(bronze, BRONZE_OK).unionByName(judged(silver, SILVER_OK))
+    return rows.agg(run_status(F.every("fine"), F.count(F.lit(1)) > 0).alias("overall_status"))
 
 
 def latest_logs(logs: DataFrame, run_ts: str | None = None, tie_breakers: Sequence[Column] = ()) -> DataFrame:
@@ -159,6 +161,14 @@ def latest_sizes(logs: DataFrame, tie_breakers: Sequence[Column] = ()) -> DataFr
     return newest.select("source", "table_name", "rows_processed")
 
 
+def last_written_rows(logs: DataFrame, source: str, table_name: str) -> int | None:
+    """Rows of a table's newest logged load, None when it was never loaded."""
+    mine = logs.where((F.col("source") == source) & (F.col("table_name") == table_name)
+                      & F.col("rows_processed").isNotNull())
+    row = mine.orderBy(F.col("run_ts").desc(), F.col("end_time").desc_nulls_last()).select("rows_processed").first()
+    return row.rows_processed if row else None
+
+
 def with_sizes(tables: DataFrame, sizes: DataFrame) -> DataFrame:
     """Tables with their last known size; 0 when unknown."""
     known = sizes.select("source", F.col("table_name").alias("name"), F.col("rows_processed").alias("_rows"))

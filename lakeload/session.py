@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -42,6 +43,11 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+@functools.cache
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="lakeload-")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
@@ -50,12 +56,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     machine-local folder would be lost with its executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not is_local(spark):
-            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="lakeload-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+    return _local_root(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -72,8 +72,6 @@ def write_snapshot(spark: SparkSession, target: str, df: DataFrame, run_ts: str,
     """
     rows = shape.apply(df) if not partition_by else by_partition(df, partition_by)
     if keep_versions:
-        if table_exists(spark, target) and described(spark, target, "Type") != "VIEW":
-            drop_table(spark, target)
         written = versioned.write_version(
             spark, target, rows, run_ts, partition_by=partition_by,
             max_rows_per_file=shape.max_rows_per_file)["rows"]

@@ -57,16 +57,21 @@ def analyze(spark: SparkSession, table: str, columns: bool = True) -> None:
 
 def shaped(df: DataFrame, cluster_by: Sequence[str] = (), files: int | None = None,
            single_file: bool = False) -> DataFrame:
-    """Lay rows out for writing: one file, or ranges of the clustering columns.
+    """Lay rows out for writing.
 
-    Range partitioning samples the data, so a value that holds much of the table still makes
-    one oversized file; ``max_rows_per_file`` of the writers splits that.
+    ``cluster_by`` makes files hold ranges of these columns. A hash of the row ends the range
+    key, so that one value with a third of the rows still spreads over many tasks.
+
+    ``single_file`` asks adaptive execution for as few files as its advisory size allows: one
+    for a small table, several for a table that should not pass through one task.
     """
     if single_file:
-        return df.coalesce(1)
+        return df.hint("rebalance")
     if cluster_by:
         columns: list[Column] = [F.col(c) for c in cluster_by]
-        ranged = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        ranged = (df.repartitionByRange(files, *columns, spread) if files
+                  else df.repartitionByRange(*columns, spread))
         return ranged.sortWithinPartitions(*columns)
     if files:
         return df.repartition(files)

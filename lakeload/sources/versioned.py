@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.sources.tables import described, ensure_schema_of, quoted, shaped, table_exists
+from lakeload.sources.tables import described, drop_table, ensure_schema_of, quoted, shaped, table_exists
 
 # A bucket is sorted and joined by one task; this keeps it in the range of a few GB.
 ROWS_PER_BUCKET = 20_000_000
@@ -79,6 +79,13 @@ def version_as_of(spark: SparkSession, name: str, run_ts: str | None = None) ->
     return known[-1] if known else None
 
 
+def version_rows(spark: SparkSession, version: Version) -> int | None:
+    """Row count of a version, as counted when it was written."""
+    row = (spark.sql(f"SHOW TBLPROPERTIES {quoted(version.table)}")
+           .where(F.col("key") == ROWS_PROPERTY).first())
+    return int(row.value) if row else None
+
+
 def read_version(spark: SparkSession, version: Version) -> DataFrame:
     return spark.table(quoted(version.table))
 
@@ -100,8 +107,7 @@ def bucket_count(spark: SparkSession, base: Version | None) -> int:
     buckets = int(described(spark, base.table, "Num Buckets") or 0) if base else 0
     if not buckets:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    prop = spark.sql(f"SHOW TBLPROPERTIES {quoted(base.table)}").where(F.col("key") == ROWS_PROPERTY).first()
-    rows = int(prop.value) if prop else 0
+    rows = version_rows(spark, base) or 0
     while rows > buckets * ROWS_PER_BUCKET:
         buckets *= 2
     return buckets
@@ -141,6 +147,10 @@ def write_version(spark: SparkSession, name: str, df: DataFrame, run_ts: str,
 
 
 def publish(spark: SparkSession, name: str, target: str) -> None:
+    """Point the view at a complete version. A plain table of that name gives way only now, so
+    the version may have been computed from it."""
+    if table_exists(spark, name) and described(spark, name, "Type") != "VIEW":
+        drop_table(spark, name)
     spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS SELECT * FROM {quoted(target)}")
 
 

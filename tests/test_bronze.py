@@ -101,6 +101,10 @@ def test_file_shape(spark, sf_dir):
     bronze.write_snapshot(spark, target, orders.repartition(6), "20240102T000000",
                           shape=bronze.FileShape(single_file=True))
     assert len(spark.table(target).inputFiles()) == 1
+    # One value in nearly all rows still spreads over the requested files.
+    hot = orders.withColumn("hot", F.when(F.col("o_orderkey") > 3, 1).otherwise(0))
+    sizes = [r["count"] for r in tables.shaped(hot, ["hot"], 4).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 0.5 * orders.count()
 
 
 def test_landed_files(spark, sf_dir, tmp_path):
@@ -172,6 +176,42 @@ def test_buckets_follow_growth(spark, sf_dir, monkeypatch):
     nation = fx.table(spark, sf_dir, "nation")
     versioned.write_version(spark, name, nation, "20240101T000000", bucket_by=["n_nationkey"], buckets=4)
     base = versioned.version_as_of(spark, name)
-    assert versioned.bucket_count(spark, base) == 4
+    assert versioned.bucket_count(spark, base) == 4 and versioned.version_rows(spark, base) == 25
     monkeypatch.setattr(versioned, "ROWS_PER_BUCKET", 2)
     assert versioned.bucket_count(spark, base) == 16
+
+
+def test_hash_rewrite(spark, sf_dir, tmp_path):
+    from lakeload.operators.rowhash import add_row_hash
+    from lakeload.plans.hash_rewrite import hash_parquet, hash_table
+
+    nation = fx.table(spark, sf_dir, "nation")
+    want = {r.row_hash for r in add_row_hash(nation).collect()}
+    hash_parquet(spark, f"{sf_dir}/nation.parquet", f"{tmp_path}/out")
+    assert {r.row_hash for r in spark.read.parquet(f"{tmp_path}/out").collect()} == want
+    with pytest.raises(ValueError):
+        hash_parquet(spark, f"{tmp_path}/out", f"{tmp_path}/out/")
+    for keep in (True, False):
+        target = fresh("nation")
+        bronze.write_snapshot(spark, target, nation, "20240101T000000", keep_versions=keep)
+        assert hash_table(spark, target, "20240101T000000", target=f"{target}_copy") == 25
+        assert hash_table(spark, target, "20240101T000000") == 25
+        assert {r.row_hash for r in spark.table(target).collect()} == want
+
+
+def test_local_session_without_shared_folder():
+    """Without a named folder only a local session may use a temporary one."""
+    from lakeload import session
+
+    class Fake:
+        class conf:
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:
+            master, applicationId = "local[2]", "app-1"
+
+    root = session.checkpoint_root(Fake)
+    assert root == session.checkpoint_root(Fake)
+    Fake.sparkContext.master = "yarn"
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Fake)

@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lakeload.operators import current, merge, storage
+from lakeload.plans.hash_rewrite import hash_parquet
 from lakeload.session import scratch_path
 from lakeload.sources import bronze, landed, tables, versioned
 from lakeload.streaming import ingest
@@ -198,3 +199,14 @@ def null_key_rows(spark, sf_dir):
     labelled = fx.table(spark, sf_dir, "documents").select("doc_id").join(
         fx.table(spark, sf_dir, "labels"), ["doc_id"], "left")
     return merge.null_key_rows(labelled, ["doc_id", "quality"])
+
+
+@query("hashed_parquet", sql="""
+SELECT *, sha256(concat_ws('|', coalesce(CAST(c_custkey AS VARCHAR), '∅'), coalesce(c_mktsegment, '∅'),
+         coalesce(c_name, '∅'), coalesce(CAST(c_nationkey AS VARCHAR), '∅'))) AS row_hash
+FROM customer""")
+def hashed_parquet(spark, sf_dir):
+    """Files rewritten with a hash of all but the floating-point column."""
+    path = scratch_path(spark, "hashed")
+    hash_parquet(spark, f"{sf_dir}/customer.parquet", path, exclude_cols=["c_acctbal"])
+    return spark.read.parquet(path)

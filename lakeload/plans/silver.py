@@ -67,17 +67,28 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
         order.append(F.col(LOAD_COLUMN).desc())
     if spec.incremental_column in rows.columns:
         order.append(F.col(f"`{spec.incremental_column}`").desc_nulls_last())
+    buckets = versioned.bucket_count(spark, base)
     current = merge.hashed_source(rows, keys, order)
     deletes = (spec.sync_deletes or spec.load_mode in delete_modes) and not partial
     previous = versioned.read_version(spark, base) if base else None
-    merged = merge.merge_silver(previous, current, keys, run_ts, deletes)
+    merged = merge.merge_silver(previous, aligned(current, keys, spark, base), keys, run_ts, deletes)
     metrics = versioned.write_version(
-        spark, spec.silver_table, merged, run_ts, bucket_by=keys, buckets=versioned.bucket_count(spark, base),
+        spark, spec.silver_table, merged, run_ts, bucket_by=keys, buckets=buckets, laid_out=True,
         metrics=merge.merge_metrics(), drop_columns=[merge.CHANGE, merge.IN_SOURCE])
     metrics.pop("rows")
     return metrics, _set_aside(spark, spec, rows, keys, run_ts, history)
 
 
+def aligned(current: DataFrame, keys: Sequence[str], spark: SparkSession, base: versioned.Version | None) -> DataFrame:
+    """Incoming rows in as many partitions as the stored version has buckets.
+
+    Spark drops this step when the session's shuffle partitions are the same number. Otherwise
+    it moves the incoming rows once more, where it would have moved the whole silver table.
+    """
+    stored = versioned.stored_buckets(spark, base)
+    return current.repartition(stored, *[F.col(k) for k in keys]) if stored else current
+
+
 def _set_aside(spark: SparkSession, spec: TableSpec, rows: DataFrame, keys: list[str], run_ts: str,
                history: bool) -> str | None:
     """Keep rows without a complete key in a table of their own. Parquet statistics let the

@@ -97,6 +97,11 @@ def read_as_of(spark: SparkSession, name: str, run_ts: str | None = None) -> Dat
     return read_version(spark, version)
 
 
+def stored_buckets(spark: SparkSession, version: Version | None) -> int:
+    """Buckets a version was written in; 0 for none."""
+    return int(described(spark, version.table, "Num Buckets") or 0) if version else 0
+
+
 def bucket_count(spark: SparkSession, base: Version | None) -> int:
     """Buckets of the next version.
 
@@ -104,7 +109,7 @@ def bucket_count(spark: SparkSession, base: Version | None) -> int:
     until a bucket has grown past :data:`ROWS_PER_BUCKET`; then they double (one merge pays a
     shuffle for it). A first version takes the session's shuffle partitions.
     """
-    buckets = int(described(spark, base.table, "Num Buckets") or 0) if base else 0
+    buckets = stored_buckets(spark, base)
     if not buckets:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = version_rows(spark, base) or 0
@@ -116,9 +121,13 @@ def bucket_count(spark: SparkSession, base: Version | None) -> int:
 def write_version(spark: SparkSession, name: str, df: DataFrame, run_ts: str,
                   bucket_by: Sequence[str] = (), buckets: int | None = None,
                   partition_by: Sequence[str] = (), metrics: Sequence[Column] = (),
-                  drop_columns: Sequence[str] = (), max_rows_per_file: int | None = None) -> dict[str, int]:
+                  drop_columns: Sequence[str] = (), max_rows_per_file: int | None = None,
+                  laid_out: bool = False) -> dict[str, int]:
     """Write and publish one version; returns its row count ``rows`` and the given metrics.
 
+    Rows are brought together by bucket first, so that each bucket is one file and not one per
+    task. ``laid_out`` says they already are, as the result of a merge on the same keys.
+
     Metrics are aggregates over ``df`` computed by the writing stage itself: counting costs no
     second pass, and since that stage is the last one, rows of a lost executor's repeated tasks
     are not counted twice.
@@ -126,6 +135,9 @@ def write_version(spark: SparkSession, name: str, df: DataFrame, run_ts: str,
     if not _RUN_TS.fullmatch(run_ts):
         raise ValueError(f"run stamp {run_ts!r} is not yyyyMMddTHHmmss")
     ensure_schema_of(spark, name)
+    buckets = buckets or bucket_count(spark, None)
+    if bucket_by and not laid_out:
+        df = df.repartition(buckets, *bucket_by)
     observation = Observation(uuid.uuid4().hex)
     counted = df.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
     target = f"{name}__v{run_ts.lower()}_{uuid.uuid4().hex[:8]}"
@@ -135,7 +147,7 @@ def write_version(spark: SparkSession, name: str, df: DataFrame, run_ts: str,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
-        writer = writer.bucketBy(buckets or bucket_count(spark, None), *bucket_by)
+        writer = writer.bucketBy(buckets, *bucket_by)
     writer.saveAsTable(quoted(target))
     observed = observation.get
     spark.sql(f"ALTER TABLE {quoted(target)} SET TBLPROPERTIES ('{ROWS_PROPERTY}' = '{observed['rows']}')")

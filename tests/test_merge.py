@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeload.operators import current, merge
-from lakeload.plans.silver import merge_table
+from lakeload.plans.silver import aligned, merge_table
 from lakeload.plans.spec import TableSpec
 from lakeload.sources import bronze, versioned
 
@@ -102,23 +102,31 @@ def test_new_loads_only_gives_the_same_state(spark, sf_dir):
             before = run
     full, fast = (spark.table(s.silver_table) for s in specs)
     assert full.exceptAll(fast).isEmpty() and fast.exceptAll(full).isEmpty()
-    plan = merge_plan(spark, specs[0], runs[-1])
-    assert plan.count("Exchange hashpartitioning") == 1, plan
+    for partitions, exchanges in (("8", 1), ("5", 2)):
+        plan = merge_plan(spark, specs[0], runs[-1], partitions)
+        assert plan.count("Exchange hashpartitioning") == exchanges, plan
+        silver_side = plan[:plan.index("true AS _in_new")]
+        assert "__v" in silver_side and "Exchange" not in silver_side, plan
 
 
-def merge_plan(spark, spec, run):
+def merge_plan(spark, spec, run, partitions):
     """Physical plan of the next merge: only the incoming side is shuffled."""
+    keys = list(spec.business_keys)
     base = versioned.version_before(spark, spec.silver_table, run)
-    rows = current.loads_until(spark.table(spec.bronze_table), run)
-    source = merge.hashed_source(rows, list(spec.business_keys), [F.col("_bronze_load_ts").desc()])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.shuffle.partitions": partitions}
+    before = {k: spark.conf.get(k) for k in settings}
     try:
-        merged = merge.merge_silver(versioned.read_version(spark, base), source, list(spec.business_keys), run)
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        rows = current.loads_until(spark.table(spec.bronze_table), run)
+        source = merge.hashed_source(rows, keys, [F.col("_bronze_load_ts").desc()])
+        merged = merge.merge_silver(
+            versioned.read_version(spark, base), aligned(source, keys, spark, base), keys, run)
         return merged._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_current_state_ranks_before_the_shuffle(spark, sf_dir):

@@ -14,13 +14,13 @@ ORDER_KEY = ["o_orderkey"]
 
 # Hashing ------------------------------------------------------------------------------------
 
-@query("row_hash_sha256", ctes=(fx.TYPED_ORDERS,),
+@query("row_hash_sha256", money=("o_totalprice",), ctes=(fx.TYPED_ORDERS,),
        sql=f"SELECT *, sha256({fx.ORDERS_HASH_TEXT}) AS row_hash FROM typed_orders")
 def row_hash_sha256(spark, sf_dir):
     return rowhash.add_row_hash(fx.typed_orders(spark, sf_dir))
 
 
-@query("row_hash_md5", ctes=(fx.TYPED_ORDERS,),
+@query("row_hash_md5", money=("o_totalprice",), ctes=(fx.TYPED_ORDERS,),
        sql=f"SELECT *, md5({fx.ORDERS_HASH_TEXT}) AS row_hash FROM typed_orders")
 def row_hash_md5(spark, sf_dir):
     return rowhash.add_row_hash(fx.typed_orders(spark, sf_dir), hash_algorithm="md5")
@@ -47,13 +47,13 @@ def row_hash_partitioned(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_hash").alias("n_hashes"))
 
 
-@query("business_hash", ctes=(fx.EVENT_HISTORY,),
+@query("business_hash", money=("value",), ctes=(fx.EVENT_HISTORY,),
        sql=f"SELECT *, sha256({fx.EVENT_HASH_TEXT}) AS row_hash FROM event_history")
 def business_hash(spark, sf_dir):
     return rowhash.add_business_hash(fx.event_history(spark, sf_dir))
 
 
-@query("incremental_hash", ctes=(fx.TYPED_ORDERS,),
+@query("incremental_hash", money=("o_totalprice",), ctes=(fx.TYPED_ORDERS,),
        sql="""SELECT *, sha256(concat_ws('|', coalesce(CAST(o_custkey AS VARCHAR), '∅'),
                 coalesce(CAST(o_orderkey AS VARCHAR), '∅'), coalesce(o_orderpriority, '∅'),
                 coalesce(o_orderstatus, '∅'), coalesce(CAST(o_totalprice AS VARCHAR), '∅'))) AS row_hash
@@ -80,7 +80,7 @@ def hash_validation(spark, sf_dir):
 
 # Current state --------------------------------------------------------------------------------
 
-@query("current_state", ctes=(fx.EVENT_HISTORY,),
+@query("current_state", money=("value",), ctes=(fx.EVENT_HISTORY,),
        sql="""SELECT * FROM event_history
               QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY _bronze_load_ts DESC, event_id DESC) = 1""")
 def current_state(spark, sf_dir):
@@ -88,7 +88,7 @@ def current_state(spark, sf_dir):
         fx.event_history(spark, sf_dir), ["user_id"], tie_breakers=[F.col("event_id").desc()])
 
 
-@query("current_state_as_of", ctes=(fx.EVENT_HISTORY,),
+@query("current_state_as_of", money=("value",), ctes=(fx.EVENT_HISTORY,),
        sql=f"""SELECT * FROM event_history WHERE _bronze_load_ts <= '{fx.AS_OF_RUN}'
                QUALIFY row_number() OVER (PARTITION BY user_id, event_type
                                           ORDER BY _bronze_load_ts DESC, event_id DESC) = 1""")
@@ -199,12 +199,12 @@ def _merge(spark, sf_dir, sync_deletes):
     return merge.merge_silver(fx.silver_before(spark, sf_dir), source, ORDER_KEY, fx.THIS_RUN, sync_deletes)
 
 
-@query("silver_merge", ctes=(fx.ORDER_STATES, merged_sql(True)), sql="SELECT * FROM new_silver")
+@query("silver_merge", money=("o_totalprice",), ctes=(fx.ORDER_STATES, merged_sql(True)), sql="SELECT * FROM new_silver")
 def silver_merge(spark, sf_dir):
     return _merge(spark, sf_dir, sync_deletes=True)
 
 
-@query("silver_merge_snapshot", ctes=(fx.ORDER_STATES, merged_sql(False)), sql="SELECT * FROM new_silver")
+@query("silver_merge_snapshot", money=("o_totalprice",), ctes=(fx.ORDER_STATES, merged_sql(False)), sql="SELECT * FROM new_silver")
 def silver_merge_snapshot(spark, sf_dir):
     return _merge(spark, sf_dir, sync_deletes=False)
 
@@ -220,7 +220,7 @@ def silver_merge_metrics(spark, sf_dir):
     return _merge(spark, sf_dir, sync_deletes=True).agg(*merge.merge_metrics())
 
 
-@query("silver_initial", ctes=(fx.EVENT_HISTORY,),
+@query("silver_initial", money=("value",), ctes=(fx.EVENT_HISTORY,),
        sql=f"""SELECT user_id, event_id, event_type, value, props, sha256({fx.EVENT_HASH_TEXT}) AS row_hash,
                  '{fx.THIS_RUN}' AS _silver_inserted_ts, '{fx.THIS_RUN}' AS _silver_updated_ts,
                  CAST(NULL AS VARCHAR) AS _silver_deleted_ts, false AS is_deleted, 'INSERT' AS _change, true AS _in_source
@@ -233,15 +233,17 @@ def silver_initial(spark, sf_dir):
     return merge.merge_silver(None, source, ["user_id"], fx.THIS_RUN)
 
 
-@query("silver_history_merge", ctes=(fx.EVENT_HISTORY,),
-       sql=f"""
-, versions AS (
+HISTORY_STATES = f"""
+versions AS (
   SELECT *, sha256({fx.EVENT_HASH_TEXT}) AS row_hash,
          row_number() OVER (PARTITION BY user_id, event_type ORDER BY _bronze_load_ts DESC, event_id DESC) AS rn
   FROM event_history),
 earlier AS (
   SELECT *, sha256({fx.EVENT_HASH_TEXT}) AS row_hash FROM event_history WHERE _bronze_load_ts <= '{fx.AS_OF_RUN}'
-  QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY _bronze_load_ts DESC, event_id DESC) = 1)
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY _bronze_load_ts DESC, event_id DESC) = 1)"""
+
+
+@query("silver_history_merge", money=("value",), ctes=(fx.EVENT_HISTORY, HISTORY_STATES), sql=f"""
 SELECT v.user_id, v.event_id, v.event_type, v.value, v.props, v.row_hash,
        CASE WHEN e.user_id IS NULL THEN '{fx.THIS_RUN}' ELSE '{fx.AS_OF_RUN}' END AS _silver_inserted_ts,
        CASE WHEN e.row_hash = v.row_hash THEN '{fx.AS_OF_RUN}' ELSE '{fx.THIS_RUN}' END AS _silver_updated_ts,

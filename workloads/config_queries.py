@@ -178,6 +178,7 @@ def silver_candidates(spark, sf_dir):
 # Column metadata ----------------------------------------------------------------------------------
 
 META = (fx.COLUMN_METADATA,)
+EXPRESSION_COLUMNS = ["obj_name", "column_name", "data_type", "expression"]
 
 
 def safe_sql(column: str) -> str:
@@ -210,14 +211,16 @@ def cast_sql(wide: bool) -> str:
     return f"CASE lower(data_type) {' '.join(whens)} ELSE {column} END || ' AS [' || {alias} || ']'"
 
 
-@query("column_expressions", ctes=META, sql=f"SELECT *, {cast_sql(False)} AS expression FROM column_metadata")
+@query("column_expressions", ctes=META, sql=f"""
+SELECT obj_name, column_name, data_type, {cast_sql(False)} AS expression FROM column_metadata""")
 def column_expressions(spark, sf_dir):
-    return metadata.column_expressions(fx.column_metadata(spark, sf_dir))
+    return metadata.column_expressions(fx.column_metadata(spark, sf_dir)).select(*EXPRESSION_COLUMNS)
 
 
-@query("column_expressions_wide", ctes=META, sql=f"SELECT *, {cast_sql(True)} AS expression FROM column_metadata")
+@query("column_expressions_wide", ctes=META, sql=f"""
+SELECT obj_name, column_name, data_type, {cast_sql(True)} AS expression FROM column_metadata""")
 def column_expressions_wide(spark, sf_dir):
-    return metadata.column_expressions(fx.column_metadata(spark, sf_dir), wide=True)
+    return metadata.column_expressions(fx.column_metadata(spark, sf_dir), wide=True).select(*EXPRESSION_COLUMNS)
 
 
 def base_query_sql(keys: str, separator: str, wide: bool = False) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeload.operators import current, merge, storage
 from lakeload.plans.hash_rewrite import hash_parquet
+from lakeload.plans.silver import aligned
 from lakeload.session import scratch_path
 from lakeload.sources import bronze, landed, tables, versioned
 from lakeload.streaming import ingest
@@ -112,9 +113,11 @@ def stored_merge(spark, sf_dir):
         history = current.loads_until(spark.table(f"{database}.events"), run)
         source = merge.hashed_source(
             history, ["user_id"], [F.col("_bronze_load_ts").desc(), F.col("event_id").desc()], unique_order=True)
-        state = merge.merge_silver(versioned.read_version(spark, base) if base else None, source, ["user_id"], run)
+        state = merge.merge_silver(
+            versioned.read_version(spark, base) if base else None, aligned(source, ["user_id"], spark, base),
+            ["user_id"], run)
         versioned.write_version(
-            spark, f"{database}.silver", state, run, ["user_id"], versioned.bucket_count(spark, base),
+            spark, f"{database}.silver", state, run, ["user_id"], versioned.bucket_count(spark, base), laid_out=True,
             metrics=merge.merge_metrics(), drop_columns=[merge.CHANGE, merge.IN_SOURCE])
     return spark.table(f"{database}.silver").select(
         "user_id", "event_id", "event_type", "_silver_inserted_ts", "_silver_updated_ts", "is_deleted")

@@ -11,11 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeload.functions.stamps import parse_run_date
 from lakeload.operators.runlog import EMPTY, FAILED, SKIPPED, SUCCESS
 from lakeload.plans.spec import TableSpec
+from lakeload.schemas import BRONZE_LOG, LOG_SCHEMAS
 from lakeload.sources import bronze
 from lakeload.sources.landed import add_load_metadata, landed_path, read_landed
 
+# Limits, and messages that readers of the log look for.
 MESSAGE_LIMIT = 500
 MONTH_MODE = "window_replace"
+UNSUPPORTED_MODE = "Unsupported load_mode '{}'"
+READ_FAILED = "Read parquet failed: {}"
+NOTHING_LANDED = "No parquet files found in {}"
+NO_ROWS = "Parquet exists but contains 0 rows"
+WRITE_FAILED = "Write failed: {}"
+REBUILT = "Initial write failed but table was recreated. Original error: {}"
 
 
 def utc_now() -> dt.datetime:
@@ -34,11 +42,11 @@ def load_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str, r
     that replaces only the months landed.
     """
     started = utc_now()
-    record = {
-        "log_id": f"{source}:{spec.name}:{run_ts}:{uuid.uuid4().hex[:8]}", "run_id": run_id,
-        "run_date": parse_run_date(run_ts), "run_ts": run_ts, "source": source, "table_name": spec.name,
-        "load_mode": spec.load_mode, "rows_processed": None, "start_time": started,
-        "error_message": None, "parquet_path": None, "delta_table": None}
+    record = dict.fromkeys(LOG_SCHEMAS[BRONZE_LOG].fieldNames())
+    record.update(
+        log_id=f"{source}:{spec.name}:{run_ts}:{uuid.uuid4().hex[:8]}", run_id=run_id, run_ts=run_ts,
+        run_date=parse_run_date(run_ts), source=source, table_name=spec.name, load_mode=spec.load_mode,
+        start_time=started)
 
     def done(status: str, rows: int | None = None, message: str | None = None) -> dict:
         ended = utc_now()
@@ -47,15 +55,15 @@ def load_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str, r
 
     modes = (*bronze.LOAD_MODES, MONTH_MODE) if month_replacement else bronze.LOAD_MODES
     if spec.load_mode not in modes:
-        return done(SKIPPED, message=f"Unsupported load_mode '{spec.load_mode}'")
+        return done(SKIPPED, message=UNSUPPORTED_MODE.format(spec.load_mode))
     record["parquet_path"] = landed_path(root, source, run_ts, spec.name)
     record["delta_table"] = spec.bronze_table
     try:
         landed = read_landed(spark, root, source, run_ts, spec.name)
     except Exception as error:
-        return done(FAILED, message=f"Read parquet failed: {str(error)[:MESSAGE_LIMIT]}")
+        return done(FAILED, message=READ_FAILED.format(str(error)[:MESSAGE_LIMIT]))
     if landed is None:
-        return done(SKIPPED, 0, f"No parquet files found in {record['parquet_path']}")
+        return done(SKIPPED, 0, NOTHING_LANDED.format(record["parquet_path"]))
     rows = add_load_metadata(landed, run_ts)
     note = None
     try:
@@ -64,21 +72,22 @@ def load_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str, r
         try:
             written = _write(spark, spec, rows, run_ts, evolve, keep_versions)
         except (AnalysisException, bronze.SchemaConflict) as error:
-            if not _may_rebuild(spec, allow_rebuild):
+            if not (allow_rebuild or _replaceable(spec, keep_versions)):
                 raise
             bronze.drop_target(spark, spec.bronze_table)
             written = _write(spark, spec, rows, run_ts, evolve, keep_versions)
-            note = f"Initial write failed but table was recreated. Original error: {str(error)[:300]}"
+            note = REBUILT.format(str(error)[:300])
     except Exception as error:
-        return done(FAILED, message=f"Write failed: {str(error)[:MESSAGE_LIMIT]}")
+        return done(FAILED, message=WRITE_FAILED.format(str(error)[:MESSAGE_LIMIT]))
     if written == 0:
-        return done(EMPTY, 0, "Parquet exists but contains 0 rows")
+        return done(EMPTY, 0, NO_ROWS)
     return done(SUCCESS, written, note)
 
 
-def _may_rebuild(spec: TableSpec, allow_rebuild: bool) -> bool:
-    """Snapshots and windows hold nothing a new load does not bring; histories do."""
-    return allow_rebuild or spec.load_mode in ("snapshot", "window")
+def _replaceable(spec: TableSpec, keep_versions: bool) -> bool:
+    """A plain snapshot or window table holds nothing that a new load does not bring. Histories
+    and month-wise tables do, and a new version never conflicts with the old one."""
+    return spec.load_mode in ("snapshot", "window") and not keep_versions
 
 
 def _write(spark: SparkSession, spec: TableSpec, rows: DataFrame, run_ts: str, evolve: bool,
@@ -88,7 +97,5 @@ def _write(spark: SparkSession, spec: TableSpec, rows: DataFrame, run_ts: str, e
     if spec.load_mode == MONTH_MODE:
         return bronze.replace_months(spark, spec.bronze_table, rows, spec.window_column,
                                      spec.year_column, spec.month_column, spec.shape)
-    # Month columns are added wherever partitioning is configured and the date column exists.
-    by_month = spec.by_month and spec.window_column in rows.columns
-    return bronze.write_window(spark, spec.bronze_table, rows, run_ts, spec.window_column, by_month,
+    return bronze.write_window(spark, spec.bronze_table, rows, run_ts, spec.window_column, spec.by_month,
                                spec.year_column, spec.month_column, spec.shape, keep_versions)

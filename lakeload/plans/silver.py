@@ -8,14 +8,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeload.functions.stamps import parse_run_date
 from lakeload.operators import merge
 from lakeload.operators.current import LOAD_COLUMN, loads_until
 from lakeload.operators.runlog import FAILED, SKIPPED, SUCCESS
 from lakeload.plans.bronze import MESSAGE_LIMIT, utc_now
 from lakeload.plans.spec import TableSpec
+from lakeload.schemas import LOG_SCHEMAS, SILVER_LOG
 from lakeload.sources import bronze, versioned
 from lakeload.sources.tables import quoted, table_exists
 
+# Fixed value: message that readers of the log look for.
+NO_KEYS = "Business keys not defined in table config"
 REJECTED_SUFFIX = "__rejected"
 
 
@@ -32,12 +36,11 @@ def merge_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str,
     deletes then.
     """
     started = utc_now()
-    record = {
-        "log_id": f"{source}:{spec.name}:{run_ts}:silver:{uuid.uuid4().hex[:8]}", "run_id": run_id,
-        "run_ts": run_ts, "source": source, "table_name": spec.name, "load_mode": spec.load_mode,
-        "rows_inserted": None, "rows_updated": None, "rows_deleted": None, "rows_unchanged": None,
-        "total_silver_rows": None, "bronze_rows": None, "bronze_table": None, "silver_table": None,
-        "start_time": started}
+    record = dict.fromkeys(LOG_SCHEMAS[SILVER_LOG].fieldNames())
+    record.update(
+        log_id=f"{source}:{spec.name}:{run_ts}:silver:{uuid.uuid4().hex[:8]}", run_id=run_id, run_ts=run_ts,
+        run_date=parse_run_date(run_ts), source=source, table_name=spec.name, load_mode=spec.load_mode,
+        start_time=started)
 
     def done(status: str, message: str | None = None, **found) -> dict:
         ended = utc_now()
@@ -45,7 +48,7 @@ def merge_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str,
                 "duration_seconds": int((ended - started).total_seconds())}
 
     if not spec.business_keys:
-        return done(SKIPPED, "Business keys not defined in table config")
+        return done(SKIPPED, NO_KEYS)
     record.update(bronze_table=spec.bronze_table, silver_table=spec.silver_table)
     try:
         metrics, note = _merge(spark, spec, run_ts, delete_modes, only_new_loads)

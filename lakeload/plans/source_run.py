@@ -10,12 +10,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.functions.stamps import parse_run_date
 from lakeload.operators import registry, runlog, tuning
-from lakeload.plans.bronze import load_table, utc_now
+from lakeload.plans.bronze import load_table
 from lakeload.plans.silver import merge_table
 from lakeload.plans.spec import TableSpec
-from lakeload.schemas import BRONZE_LOG, BRONZE_SUMMARY, SILVER_LOG
+from lakeload.schemas import BRONZE_LOG, BRONZE_SUMMARY, SILVER_LOG, SILVER_SUMMARY
 from lakeload.sources import logs
 from lakeload.sources.tables import ensure_schema, quoted
 
@@ -56,30 +55,35 @@ def run_source(spark: SparkSession, tables: DataFrame, source: str, run_ts: str,
     pool = workers or recommended_workers(spark, source, optimize_for)
     pool = max(1, min(pool, len(specs) or pool))
 
-    started = utc_now()
     bronze_results = _in_parallel(
         spark, pool, specs,
         lambda spec: load_table(spark, spec, source, run_id, run_ts, root, **(load_options or {})))
-    ended = utc_now()
     if bronze_results:
-        summary = bronze_summary(bronze_results, run_id, run_ts, source, pool, started, ended)
-        run_log_id = logs.log_summary(spark, summary, "bronze")
+        run_log_id = uuid.uuid4().hex
         logs.log_batch(spark, bronze_results, "bronze", run_log_id)
+        summary = runlog.bronze_run_summary(_rows_of(spark, BRONZE_LOG, run_ts, run_id), pool)
+        logs.append_logs(spark, summary.withColumn("log_id", F.lit(run_log_id)), BRONZE_SUMMARY)
 
-    spark.catalog.refreshTable(quoted(BRONZE_LOG))
     loaded = runlog.successful_tables(spark.table(quoted(BRONZE_LOG)), run_ts)
     merged = None if force else runlog.successful_tables(spark.table(quoted(SILVER_LOG)), run_ts)
     candidates = [TableSpec.from_row(r) for r in registry.silver_candidates(chosen, loaded, merged).collect()]
-    started = utc_now()
     silver_results = _in_parallel(
         spark, pool, candidates,
         lambda spec: merge_table(spark, spec, source, run_id, run_ts, **(merge_options or {})))
     if silver_results:
         logs.log_batch(spark, silver_results, "silver")
-        logs.log_summary(spark, silver_summary(silver_results, run_id, run_ts, source, started, utc_now()), "silver")
+        logs.append_logs(
+            spark, runlog.silver_run_summary(_rows_of(spark, SILVER_LOG, run_ts, run_id)), SILVER_SUMMARY)
+    status = runlog.status_of_run(
+        _rows_of(spark, BRONZE_LOG, run_ts, run_id), _rows_of(spark, SILVER_LOG, run_ts, run_id)).first()
+    unknown = [] if wanted is None else [r.name for r in registry.unknown_retries(tables, wanted).collect()]
     return {
-        "run_id": run_id, "source": source, "run_ts": run_ts, "workers": pool,
-        "status": overall(bronze_results, silver_results), "bronze": bronze_results, "silver": silver_results}
+        "run_id": run_id, "source": source, "run_ts": run_ts, "workers": pool, "status": status.overall_status,
+        "bronze": bronze_results, "silver": silver_results, "unknown_retries": sorted(unknown)}
+
+
+def _rows_of(spark: SparkSession, table: str, run_ts: str, run_id: str) -> DataFrame:
+    return runlog.logs_for_run(spark.table(quoted(table)), run_ts).where(F.col("run_id") == run_id)
 
 
 def recommended_workers(spark: SparkSession, source: str, optimize_for: str = "throughput") -> int:
@@ -103,46 +107,3 @@ def _in_parallel(spark: SparkSession, workers: int, specs: list[TableSpec],
 
     with ThreadPoolExecutor(max_workers=workers) as threads:
         return list(threads.map(submit, specs))
-
-
-def _count(results: list[dict], status: str) -> int:
-    return sum(r["status"] == status for r in results)
-
-
-def _total(results: list[dict], name: str) -> int:
-    return sum(r.get(name) or 0 for r in results)
-
-
-def bronze_summary(results: list[dict], run_id: str, run_ts: str, source: str, workers: int, started, ended) -> dict:
-    """Run summary of a session's bronze results (a handful of driver-side records)."""
-    wall = (ended - started).total_seconds()
-    busy = float(_total(results, "duration_seconds"))
-    ideal = busy / workers
-    return {
-        "run_id": run_id, "run_date": parse_run_date(run_ts), "run_ts": run_ts, "source": source,
-        "status": overall(results, []), "run_start": started, "run_end": ended, "duration_seconds": wall,
-        "total_tables": len(results),
-        **{f"tables_{s.lower()}": _count(results, s)
-           for s in (runlog.SUCCESS, runlog.EMPTY, runlog.FAILED, runlog.SKIPPED)},
-        "total_rows": _total(results, "rows_processed"), "workers": workers, "sum_task_seconds": busy,
-        "theoretical_min_sec": ideal, "actual_time_sec": wall,
-        "efficiency_pct": ideal / wall * 100 if wall > 0 else 0.0,
-        "failed_tables": [r["table_name"] for r in results if r["status"] == runlog.FAILED]}
-
-
-def silver_summary(results: list[dict], run_id: str, run_ts: str, source: str, started, ended) -> dict:
-    return {
-        "run_id": run_id, "source": source, "run_ts": run_ts, "run_start": started, "run_end": ended,
-        "duration_seconds": int((ended - started).total_seconds()), "total_tables": len(results),
-        **{f"tables_{s.lower()}": _count(results, s) for s in (runlog.SUCCESS, runlog.FAILED, runlog.SKIPPED)},
-        "total_inserts": _total(results, "rows_inserted"), "total_updates": _total(results, "rows_updated"),
-        "total_deletes": _total(results, "rows_deleted"), "total_unchanged": _total(results, "rows_unchanged"),
-        "failed_tables": [r["table_name"] for r in results if r["status"] == runlog.FAILED]}
-
-
-def overall(bronze_results: list[dict], silver_results: list[dict]) -> str:
-    if not bronze_results and not silver_results:
-        return runlog.NO_WORK
-    fine = (all(r["status"] in runlog.BRONZE_OK for r in bronze_results)
-            and all(r["status"] in runlog.SILVER_OK for r in silver_results))
-    return runlog.SUCCESS if fine else runlog.PARTIAL

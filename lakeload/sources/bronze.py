@@ -100,7 +100,7 @@ def write_window(spark: SparkSession, target: str, df: DataFrame, run_ts: str,
     if by_month:
         df = add_month_columns(df, date_column, year_column, month_column)
         if year_column not in df.columns:
-            raise SchemaConflict(f"{target}: no column {date_column!r} to partition by month")
+            raise ValueError(f"{target}: no column {date_column!r} to partition by month")
         partition_by = [year_column, month_column]
     return write_snapshot(spark, target, df, run_ts, partition_by, shape, keep_versions)
 

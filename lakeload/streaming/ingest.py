@@ -19,9 +19,13 @@ PARTITIONS = (LOAD_COLUMN, BATCH_COLUMN)
 
 
 def landed_stream(spark: SparkSession, root: str, source: str, table: str, schema: StructType | str,
-                  max_files_per_batch: int | None = None) -> DataFrame:
-    """Stream over all runs of one landed table; each row gets the run stamp of its folder."""
-    reader = spark.readStream.schema(schema)
+                  max_files_per_batch: int | None = None, **options) -> DataFrame:
+    """Stream over all runs of one landed table; each row gets the run stamp of its folder.
+
+    Further file-source options pass through; ``cleanSource="archive"`` with a
+    ``sourceArchiveDir`` keeps the listing short where years of runs would pile up.
+    """
+    reader = spark.readStream.schema(schema).options(**options)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     rows = reader.parquet(f"{root.rstrip('/')}/{source}/*/*/*/*/{table}")

@@ -111,6 +111,7 @@ def test_resume_retry_and_force(spark, lake):
     run = RUNS[0]
     only = run_source(spark, tables, source, run, root, retry=["orders", "no_such_table"], workers=2)
     assert statuses(only["bronze"]) == {"orders": "SUCCESS"} == statuses(only["silver"])
+    assert only["unknown_retries"] == ["no_such_table"]
     rest = run_source(spark, tables, source, run, root, workers=2)
     assert "orders" not in statuses(rest["bronze"]) and statuses(rest["silver"]) == {"events": "SUCCESS"}
     again = run_source(spark, tables, source, run, root, workers=2)
@@ -120,9 +121,8 @@ def test_resume_retry_and_force(spark, lake):
     assert statuses(forced["silver"]) == {"events": "SUCCESS", "orders": "SUCCESS"}
     assert {r.user_id: r.row_hash for r in spark.table("silver.events").collect()} == before
     assert len([v for v in versioned.versions(spark, "silver.events") if v.run_ts == run]) == 1
-    missing = registry.unknown_retries(
-        tables, spark.createDataFrame([("orders",), ("no_such_table",)], "name string"))
-    assert [r.name for r in missing.collect()] == ["no_such_table"]
+    # A table whose target another tool left in a plain form is taken over.
+    assert forced["status"] == "SUCCESS"
 
 
 def test_resume_merges_what_an_earlier_session_loaded(spark, lake):
@@ -182,3 +182,24 @@ def test_empty_files_and_month_replacement(spark, sf_dir, lake):
                         load_options={"month_replacement": True})
     assert statuses(result["bronze"]) == {"facts": "EMPTY", "nation": "SUCCESS"}
     assert spark.table(f"{source}.nation").where("p_year = 1998 and p_month = 3").count() > 0
+
+
+def test_rebuild_of_a_plain_table(spark, sf_dir, tmp_path):
+    """A folder in the way of a plain snapshot: the target is dropped and written again."""
+    from lakeload.plans.bronze import load_table
+    from lakeload.plans.spec import TableSpec
+
+    root, name = str(tmp_path), f"r_{uuid.uuid4().hex[:8]}"
+    orders = fx.typed_orders(spark, sf_dir)
+    orders.write.parquet(landed.landed_path(root, "crm", RUNS[0], "orders"))
+    spec = TableSpec("orders", bronze_table=f"{name}.orders", by_month=True)
+    missing = load_table(spark, spec, "crm", "id", RUNS[0], root)
+    assert missing["status"] == "FAILED" and "no column" in missing["error_message"]
+    dated = TableSpec("orders", bronze_table=f"{name}.orders", by_month=True, window_column="o_orderdate")
+    for keep in (True, False, True):
+        done = load_table(spark, dated, "crm", "id", RUNS[0], root, keep_versions=keep, drop_existing=not keep)
+        assert (done["status"], done["rows_processed"]) == ("SUCCESS", orders.count())
+        assert spark.table(f"{name}.orders").where("p_year = 1998").count() > 0
+    # A failed load leaves the published version alone.
+    assert load_table(spark, spec, "crm", "id", RUNS[0], root)["status"] == "FAILED"
+    assert spark.table(f"{name}.orders").count() == orders.count()

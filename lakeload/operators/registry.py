@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +11,7 @@ LOAD_MODES = ("snapshot", "incremental", "window")
 DEFAULT_LOAD_MODE = "snapshot"
 DEFAULT_SIZE_CLASS = "S"
 DEFAULT_BRONZE_SCHEMA, DEFAULT_SILVER_SCHEMA = "bronze", "silver"
+# Landing folder below the lake's root, and stored watermarks.
 DEFAULT_BASE_FILES = "greenhouse_sources"
 DEFAULT_WATERMARKS_PATH = "config/watermarks.json"
 INCREMENTAL_SCHEMA = "column STRING, filter_column STRING, kind STRING"

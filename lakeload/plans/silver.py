@@ -16,7 +16,7 @@ from lakeload.plans.bronze import MESSAGE_LIMIT, utc_now
 from lakeload.plans.spec import TableSpec
 from lakeload.schemas import LOG_SCHEMAS, SILVER_LOG
 from lakeload.sources import bronze, versioned
-from lakeload.sources.tables import quoted, table_exists
+from lakeload.sources.tables import quoted, table_bytes, table_exists
 
 # Fixed value: message that readers of the log look for.
 NO_KEYS = "Business keys not defined in table config"
@@ -70,11 +70,11 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
         order.append(F.col(LOAD_COLUMN).desc())
     if spec.incremental_column in rows.columns:
         order.append(F.col(f"`{spec.incremental_column}`").desc_nulls_last())
-    buckets = versioned.bucket_count(spark, base)
+    buckets = versioned.bucket_count(spark, base, _expected_bytes(spark, spec, run_ts, base))
     current = merge.hashed_source(rows, keys, order)
     deletes = (spec.sync_deletes or spec.load_mode in delete_modes) and not partial
     previous = versioned.read_version(spark, base) if base else None
-    merged = merge.merge_silver(previous, aligned(current, keys, spark, base), keys, run_ts, deletes)
+    merged = merge.merge_silver(previous, aligned(current, keys, buckets), keys, run_ts, deletes)
     metrics = versioned.write_version(
         spark, spec.silver_table, merged, run_ts, bucket_by=keys, buckets=buckets, laid_out=True,
         metrics=merge.merge_metrics(), drop_columns=[merge.CHANGE, merge.IN_SOURCE])
@@ -82,14 +82,22 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
     return metrics, _set_aside(spark, spec, rows, keys, run_ts, history)
 
 
-def aligned(current: DataFrame, keys: Sequence[str], spark: SparkSession, base: versioned.Version | None) -> DataFrame:
-    """Incoming rows in as many partitions as the stored version has buckets.
+def _expected_bytes(spark: SparkSession, spec: TableSpec, run_ts: str, base: versioned.Version | None) -> int:
+    """Upper bound for the size of the next state: the last one plus what came in."""
+    table = versioned.published(spark, spec.bronze_table) or spec.bronze_table
+    newest = f"{LOAD_COLUMN}={run_ts}" if base and spec.load_mode == "incremental" else ""
+    incoming = table_bytes(spark, table, newest) or 0
+    return incoming + (table_bytes(spark, base.table) or 0 if base else 0)
+
+
+def aligned(current: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Incoming rows in as many partitions as the version has buckets.
 
     Spark drops this step when the session's shuffle partitions are the same number. Otherwise
-    it moves the incoming rows once more, where it would have moved the whole silver table.
+    it moves the incoming rows once more, where it would have moved the whole silver table; and
+    every bucket stays one file.
     """
-    stored = versioned.stored_buckets(spark, base)
-    return current.repartition(stored, *[F.col(k) for k in keys]) if stored else current
+    return current.repartition(buckets, *[F.col(k) for k in keys])
 
 
 def _set_aside(spark: SparkSession, spec: TableSpec, rows: DataFrame, keys: list[str], run_ts: str,

@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 
 from lakeload.functions.stamps import parse_run_date
 
-# Fixed value: default landing folder below the lake's root.
-DEFAULT_BASE_FILES = "greenhouse_sources"
-
-
 def landed_path(root: str, source: str, run_ts: str, table: str) -> str:
     """Folder of one table of one run; the date folders come from the run stamp."""
     day = parse_run_date(run_ts)

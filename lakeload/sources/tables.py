@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,23 @@ def analyze(spark: SparkSession, table: str, columns: bool = True) -> None:
     spark.sql(f"ANALYZE TABLE {quoted(table)} COMPUTE STATISTICS{tail}")
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below a folder; contents are not read. 0 for a missing folder."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first().n
+
+
+def table_bytes(spark: SparkSession, table: str, partition: str = "") -> int | None:
+    """Stored size of a table, or of one partition folder of it. None for a view."""
+    location = table_location(spark, table)
+    return folder_bytes(spark, f"{location}/{partition}".rstrip("/")) if location else None
+
+
 def shaped(df: DataFrame, cluster_by: Sequence[str] = (), files: int | None = None,
            single_file: bool = False) -> DataFrame:
     """Lay rows out for writing.

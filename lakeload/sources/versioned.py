@@ -24,8 +24,11 @@ from pyspark.sql import functions as F
 
 from lakeload.sources.tables import described, drop_table, ensure_schema_of, quoted, shaped, table_exists
 
-# A bucket is sorted and joined by one task; this keeps it in the range of a few GB.
-ROWS_PER_BUCKET = 20_000_000
+# A bucket is sorted and joined by one task.
+# Stored bytes per bucket: aimed at, and accepted to stay with the session's partitioning.
+BUCKET_BYTES = 256 << 20
+BUCKET_BYTES_RANGE = (16 << 20, 512 << 20)
+MAX_BUCKETS = 100_000  # Spark's own limit
 ROWS_PROPERTY = "lakeload.rows"
 _RUN_TS = re.compile("[0-9]{8}[Tt][0-9]+")
 _NAME = re.compile(r"__v(?P<run_ts>[0-9]{8}t[0-9]+)_(?P<attempt>[0-9a-f]{8})$")
@@ -102,19 +105,24 @@ def stored_buckets(spark: SparkSession, version: Version | None) -> int:
     return int(described(spark, version.table, "Num Buckets") or 0) if version else 0
 
 
-def bucket_count(spark: SparkSession, base: Version | None) -> int:
-    """Buckets of the next version.
+def bucket_count(spark: SparkSession, base: Version | None, expected_bytes: int | None = None) -> int:
+    """Buckets of the next version, given the stored size to expect.
 
     They stay those of the version it builds on, so that the merge finds both sides alike,
-    until a bucket has grown past :data:`ROWS_PER_BUCKET`; then they double (one merge pays a
-    shuffle for it). A first version takes the session's shuffle partitions.
+    until buckets would get too large; then they double (one merge pays a shuffle for it). A
+    first version takes the session's shuffle partitions where these give buckets of a sensible
+    size, and otherwise as many as the size asks for: one for a small table, thousands for a
+    huge one.
     """
+    smallest, largest = BUCKET_BYTES_RANGE
     buckets = stored_buckets(spark, base)
     if not buckets:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = version_rows(spark, base) or 0
-    while rows > buckets * ROWS_PER_BUCKET:
-        buckets *= 2
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if expected_bytes is None or smallest * partitions <= expected_bytes <= largest * partitions:
+            return partitions
+        return max(1, min(MAX_BUCKETS, -(-expected_bytes // BUCKET_BYTES)))
+    while (expected_bytes or 0) > buckets * largest and buckets < MAX_BUCKETS:
+        buckets = min(buckets * 2, MAX_BUCKETS)
     return buckets
 
 

@@ -171,14 +171,18 @@ def test_versions(spark, sf_dir):
     assert not tables.table_exists(spark, name)
 
 
-def test_buckets_follow_growth(spark, sf_dir, monkeypatch):
+def test_buckets_follow_growth(spark, sf_dir):
     name = fresh("nation")
     nation = fx.table(spark, sf_dir, "nation")
     versioned.write_version(spark, name, nation, "20240101T000000", bucket_by=["n_nationkey"], buckets=4)
     base = versioned.version_as_of(spark, name)
     assert versioned.bucket_count(spark, base) == 4 and versioned.version_rows(spark, base) == 25
-    monkeypatch.setattr(versioned, "ROWS_PER_BUCKET", 2)
-    assert versioned.bucket_count(spark, base) == 16
+    gib = 1 << 30
+    sizes = {None: 8, 1 << 20: 1, gib: 8, 300 * gib: 1200, 10**15: versioned.MAX_BUCKETS}
+    assert {size: versioned.bucket_count(spark, None, size) for size in sizes} == sizes
+    assert tables.table_bytes(spark, base.table) > 0 and tables.table_bytes(spark, name) is None
+    assert [versioned.bucket_count(spark, base, size) for size in (gib, 3 * gib, 10**15)] == [4, 8, versioned.MAX_BUCKETS]
+    assert tables.folder_bytes(spark, "/no/such/folder") == 0
 
 
 def test_hash_rewrite(spark, sf_dir, tmp_path):

@@ -102,27 +102,32 @@ def test_new_loads_only_gives_the_same_state(spark, sf_dir):
             before = run
     full, fast = (spark.table(s.silver_table) for s in specs)
     assert full.exceptAll(fast).isEmpty() and fast.exceptAll(full).isEmpty()
+    # A small table is stored in one bucket; in general incoming rows meet the stored buckets.
+    state = versioned.version_as_of(spark, specs[0].silver_table)
+    assert versioned.stored_buckets(spark, state) == 1
+    wide = f"{name}.wide"
+    versioned.write_version(spark, wide, versioned.read_version(spark, state), runs[-1], ["user_id"], buckets=8)
     for partitions, exchanges in (("8", 1), ("5", 2)):
-        plan = merge_plan(spark, specs[0], runs[-1], partitions)
+        plan = merge_plan(spark, specs[0], versioned.version_as_of(spark, wide), partitions)
         assert plan.count("Exchange hashpartitioning") == exchanges, plan
         silver_side = plan[:plan.index("true AS _in_new")]
         assert "__v" in silver_side and "Exchange" not in silver_side, plan
 
 
-def merge_plan(spark, spec, run, partitions):
+def merge_plan(spark, spec, base, partitions):
     """Physical plan of the next merge: only the incoming side is shuffled."""
     keys = list(spec.business_keys)
-    base = versioned.version_before(spark, spec.silver_table, run)
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
                 "spark.sql.shuffle.partitions": partitions}
     before = {k: spark.conf.get(k) for k in settings}
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        rows = current.loads_until(spark.table(spec.bronze_table), run)
+        rows = spark.table(spec.bronze_table)
         source = merge.hashed_source(rows, keys, [F.col("_bronze_load_ts").desc()])
         merged = merge.merge_silver(
-            versioned.read_version(spark, base), aligned(source, keys, spark, base), keys, run)
+            versioned.read_version(spark, base), aligned(source, keys, versioned.stored_buckets(spark, base)),
+            keys, "20300101T000000")
         return merged._jdf.queryExecution().executedPlan().toString()
     finally:
         for key, value in before.items():
@@ -134,3 +139,18 @@ def test_current_state_ranks_before_the_shuffle(spark, sf_dir):
 
     df = current.latest_versions(fx.event_history(spark, sf_dir), ["user_id"])
     assert df._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+
+
+def test_one_key_with_a_third_of_the_rows(spark):
+    """The hot key is reduced inside each map task: the shuffle carries a row per task for it."""
+    history = spark.range(60000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"),
+        F.format_string("202401%02dT000000", 1 + F.col("id") % 28).alias("_bronze_load_ts"))
+    order = [F.col("_bronze_load_ts").desc(), F.col("v").desc()]
+    source = merge.hashed_source(history, ["k"], order, unique_order=True)
+    got = {r.k: r.v for r in source.collect()}
+    rows = [(7 if i % 3 == 0 else i, 1 + i % 28, i) for i in range(60000)]
+    want = {}
+    for k, day, v in rows:
+        want[k] = max(want.get(k, (0, 0)), (day, v))
+    assert got == {k: v for k, (_, v) in want.items()}

@@ -110,14 +110,16 @@ def stored_merge(spark, sf_dir):
     for run, rows in _event_runs(spark, sf_dir):
         bronze.append_run(spark, f"{database}.events", rows, run)
         base = versioned.version_before(spark, f"{database}.silver", run)
+        size = tables.table_bytes(spark, f"{database}.events") + (tables.table_bytes(spark, base.table) if base else 0)
+        buckets = versioned.bucket_count(spark, base, size)
         history = current.loads_until(spark.table(f"{database}.events"), run)
         source = merge.hashed_source(
             history, ["user_id"], [F.col("_bronze_load_ts").desc(), F.col("event_id").desc()], unique_order=True)
         state = merge.merge_silver(
-            versioned.read_version(spark, base) if base else None, aligned(source, ["user_id"], spark, base),
+            versioned.read_version(spark, base) if base else None, aligned(source, ["user_id"], buckets),
             ["user_id"], run)
         versioned.write_version(
-            spark, f"{database}.silver", state, run, ["user_id"], versioned.bucket_count(spark, base), laid_out=True,
+            spark, f"{database}.silver", state, run, ["user_id"], buckets, laid_out=True,
             metrics=merge.merge_metrics(), drop_columns=[merge.CHANGE, merge.IN_SOURCE])
     return spark.table(f"{database}.silver").select(
         "user_id", "event_id", "event_type", "_silver_inserted_ts", "_silver_updated_ts", "is_deleted")

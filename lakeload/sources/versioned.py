@@ -47,17 +47,17 @@ def _split(name: str) -> tuple[str, str]:
 
 def versions(spark: SparkSession, name: str) -> list[Version]:
     """Complete versions, oldest first. Two attempts of one run: the published one counts as
-    the later."""
-    schema, table = _split(name)
+    the later. The catalog keeps names in lower case, so all names here are."""
+    schema, table = _split(name.lower())
     if not spark.catalog.databaseExists(schema):
         return []
-    pattern = f"{table.lower()}__v*"
+    pattern = f"{table}__v*"
     listed = spark.sql(f"SHOW TABLES IN {quoted(schema)} LIKE '{pattern}'").collect()
     current = published(spark, name)
     found = []
     for row in listed:
         match = _NAME.search(row.tableName)
-        if match and row.tableName[:match.start()] == table.lower():
+        if match and row.tableName[:match.start()] == table:
             found.append(Version(f"{schema}.{row.tableName}", match["run_ts"].upper()))
     return sorted(found, key=lambda v: (v.run_ts, v.table == current, v.table))
 
@@ -67,7 +67,7 @@ def published(spark: SparkSession, name: str) -> str | None:
     if not table_exists(spark, name):
         return None
     text = described(spark, name, "View Text")
-    return text.rsplit(" ", 1)[1].replace("`", "") if text else None
+    return text.rsplit(" ", 1)[1].replace("`", "").lower() if text else None
 
 
 def version_before(spark: SparkSession, name: str, run_ts: str) -> Version | None:
@@ -148,7 +148,7 @@ def write_version(spark: SparkSession, name: str, df: DataFrame, run_ts: str,
         df = df.repartition(buckets, *bucket_by)
     observation = Observation(uuid.uuid4().hex)
     counted = df.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
-    target = f"{name}__v{run_ts.lower()}_{uuid.uuid4().hex[:8]}"
+    target = f"{name}__v{run_ts}_{uuid.uuid4().hex[:8]}".lower()
     writer = counted.drop(*drop_columns).write.format("parquet")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
@@ -161,7 +161,7 @@ def write_version(spark: SparkSession, name: str, df: DataFrame, run_ts: str,
     spark.sql(f"ALTER TABLE {quoted(target)} SET TBLPROPERTIES ('{ROWS_PROPERTY}' = '{observed['rows']}')")
     publish(spark, name, target)
     for other in versions(spark, name):
-        if other.run_ts == run_ts.upper() and other.table.lower() != target.lower():
+        if other.run_ts == run_ts.upper() and other.table != ".".join(_split(target)):
             spark.sql(f"DROP TABLE IF EXISTS {quoted(other.table)}")
     return observed
 

@@ -145,10 +145,10 @@ def test_table_helpers(spark, sf_dir, tmp_path):
     assert not tables.table_exists(spark, target)
 
 
-def test_versions(spark, sf_dir):
+@pytest.mark.parametrize("name", [fresh("nation"), fresh("Dim_Nation")])
+def test_versions(spark, sf_dir, name):
     import datetime as dt
 
-    name = fresh("nation")
     nation = fx.table(spark, sf_dir, "nation")
     for day in (1, 2, 3):
         versioned.write_version(spark, name, nation.where(f"n_nationkey < {day}"), f"2024010{day}T000000",
@@ -157,6 +157,9 @@ def test_versions(spark, sf_dir):
     assert versioned.read_as_of(spark, name, "20240102T120000").count() == 2
     assert spark.table(name).count() == 3
     assert versioned.version_before(spark, name, "20240103T000000").run_ts == "20240102T000000"
+    assert versioned.published(spark, name) == versioned.version_as_of(spark, name).table
+    versioned.write_version(spark, name, nation.where("n_nationkey < 3"), "20240103T000000")
+    assert len(versioned.versions(spark, name)) == 3
     with pytest.raises(ValueError):
         versioned.read_as_of(spark, name, "20230101T000000")
     versioned.compact(spark, name, ["n_name"])

@@ -1,4 +1,4 @@
 """All queries of this package."""
 
-from lakeload.llm import near_dup_queries, text_queries  # noqa: F401
+from lakeload.llm import near_dup_queries, quality_queries, text_queries  # noqa: F401
 from lakeload.llm.book import ORACLES, QUERIES  # noqa: F401

@@ -53,3 +53,21 @@ def jaccard_components(rows):
     links = [(a, b) for (a, b), n in common.items() if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n)]
     root = roots(sets, links)
     return {(i, len(sets[i]), root[i]) for i in sets}
+
+
+def repeated_passages(rows, length=35):
+    """Sorted (id, words, removed, digest) for (id, text) rows."""
+    import hashlib
+    from collections import Counter
+
+    texts = [(i, WORD.findall(t or "")) for i, t in rows]
+    seen = Counter(tuple(w[k:k + length]) for _, w in texts for k in range(len(w) - length + 1))
+    out = []
+    for i, w in texts:
+        gone = set()
+        for k in range(len(w) - length + 1):
+            if seen[tuple(w[k:k + length])] > 1:
+                gone.update(range(k, k + length))
+        kept = [x for k, x in enumerate(w) if k not in gone]
+        out.append((i, len(w), len(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
+    return sorted(out, key=repr)

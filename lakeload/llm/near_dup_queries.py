@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeload.llm.book import query
 from lakeload.llm.common import table
+from lakeload.llm.embedding_dedup import embedding_components
 from lakeload.llm.jaccard_join import jaccard_components
 from lakeload.llm.substring_dedup import repeated_passages
 
 
+@query("op4_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 @query("op5_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))

@@ -1,4 +1,4 @@
-"""Line dedup, mixing, URL filters and license scans over their whole tables."""
+"""Line dedup, mixing, URL filters, license scans and personal data over their whole tables."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from lakeload.llm.common import table
 from lakeload.llm.license_scan import scan_licenses
 from lakeload.llm.line_dedup import drop_repeated_lines
 from lakeload.llm.mixing import mix_sources
+from lakeload.llm.pii import find_pii, fit_tagger
 from lakeload.llm.url_filter import SOFT_TERMS, STRICT_TERMS, UrlRule, filter_urls
 
 ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -136,3 +137,10 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query("op10_pii")
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_pii(docs, fit_tagger(docs)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")

@@ -39,3 +39,11 @@ def with_results(row: str, columns: list[str], results: dict[str, Column]) -> li
 def pack(columns: list[str]) -> Column:
     """The given columns as one struct, so that their names cannot clash with an operator's own."""
     return F.struct(*[F.col(f"`{c}`").alias(c) for c in columns], F.lit(0).alias("_"))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

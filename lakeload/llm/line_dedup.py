@@ -15,8 +15,9 @@ from lakeload.llm.common import BLANKS, ascii_lower, pack, stored, with_results
 
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, salts: int = 64,
-                        doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All documents with ``text`` rid of repeated lines, plus ``n_lines`` and ``n_dropped``.
+                        doc_id: str = "doc_id", text: str = "text", n_lines: str = "n_lines",
+                        n_dropped: str = "n_dropped") -> DataFrame:
+    """All documents with ``text`` rid of repeated lines, plus ``n_lines`` (before) and ``n_dropped``.
 
     A line's key is the line without ASCII blanks at its ends and with A-Z lower-cased. A key of at least
     ``min_chars`` code points in at least ``min_docs`` documents keeps its lines in the largest ``doc_id``
@@ -52,7 +53,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     lines = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(kept, lambda i: F.col("lines")[i]))
     columns = with_results("row", others, {
-        "n_lines": F.size("lines").cast("long"),
-        "n_dropped": F.coalesce(F.size("gone"), F.lit(0)).cast("long"),
+        n_lines: F.size("lines").cast("long"),
+        n_dropped: F.coalesce(F.size("gone"), F.lit(0)).cast("long"),
         text: F.array_join(lines, "\n")})
     return joined.withColumn("gone", F.when(F.size("gone") > 0, F.col("gone"))).select(*columns)

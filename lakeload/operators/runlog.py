@@ -183,7 +183,8 @@ def largest_first(tables: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def latest_run_summary(summaries: DataFrame, source: str) -> DataFrame:
     """The newest run of one source: one row, or none."""
-    return summaries.where(F.col("source") == source).orderBy(F.col("run_ts").desc()).limit(1)
+    newest = [F.col("run_ts").desc(), *([F.col("run_start").desc()] if "run_start" in summaries.columns else [])]
+    return summaries.where(F.col("source") == source).orderBy(*newest).limit(1)
 
 
 def latest_run_summaries(summaries: DataFrame, tie_breakers: Sequence[Column] = ()) -> DataFrame:

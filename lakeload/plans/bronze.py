@@ -32,12 +32,15 @@ def utc_now() -> dt.datetime:
 
 def load_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str, run_ts: str, root: str,
                drop_existing: bool = False, allow_rebuild: bool = False, evolve: bool = False,
-               month_replacement: bool = False, keep_versions: bool = True) -> dict:
+               month_replacement: bool = False, keep_versions: bool = True,
+               retention_hours: int | None = None) -> dict:
     """Read one table's landed files and write them by its load mode. Never raises for data or
     storage problems; the outcome is the returned log record.
 
     ``drop_existing`` recreates the target first. ``allow_rebuild`` lets a load history with
-    another schema be dropped and restarted from this run (older runs are lost then).
+    another schema, or a table of another load mode, be dropped and restarted from this run
+    (older runs are lost then). ``retention_hours`` drops versions of older runs after a
+    snapshot or window load; by default all stay.
     ``evolve`` adds new columns to a history instead. ``month_replacement`` enables the mode
     that replaces only the months landed.
     """
@@ -70,12 +73,13 @@ def load_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str, r
         if drop_existing:
             bronze.drop_target(spark, spec.bronze_table)
         try:
-            written = _write(spark, spec, rows, run_ts, evolve, keep_versions)
+            written = _write(spark, spec, rows, run_ts, evolve, keep_versions, retention_hours)
         except (AnalysisException, bronze.SchemaConflict) as error:
-            if not (allow_rebuild or _replaceable(spec, keep_versions)):
+            replaceable = _replaceable(spec, keep_versions) and not isinstance(error, bronze.FormConflict)
+            if not (allow_rebuild or replaceable):
                 raise
             bronze.drop_target(spark, spec.bronze_table)
-            written = _write(spark, spec, rows, run_ts, evolve, keep_versions)
+            written = _write(spark, spec, rows, run_ts, evolve, keep_versions, retention_hours)
             note = REBUILT.format(str(error)[:300])
     except Exception as error:
         return done(FAILED, message=WRITE_FAILED.format(str(error)[:MESSAGE_LIMIT]))
@@ -91,11 +95,11 @@ def _replaceable(spec: TableSpec, keep_versions: bool) -> bool:
 
 
 def _write(spark: SparkSession, spec: TableSpec, rows: DataFrame, run_ts: str, evolve: bool,
-           keep_versions: bool) -> int:
+           keep_versions: bool, retention_hours: int | None) -> int:
     if spec.load_mode == "incremental":
         return bronze.append_run(spark, spec.bronze_table, rows, run_ts, evolve, spec.shape)
     if spec.load_mode == MONTH_MODE:
         return bronze.replace_months(spark, spec.bronze_table, rows, spec.window_column,
                                      spec.year_column, spec.month_column, spec.shape)
     return bronze.write_window(spark, spec.bronze_table, rows, run_ts, spec.window_column, spec.by_month,
-                               spec.year_column, spec.month_column, spec.shape, keep_versions)
+                               spec.year_column, spec.month_column, spec.shape, keep_versions, retention_hours)

@@ -16,7 +16,7 @@ from lakeload.plans.bronze import MESSAGE_LIMIT, utc_now
 from lakeload.plans.spec import TableSpec
 from lakeload.schemas import LOG_SCHEMAS, SILVER_LOG
 from lakeload.sources import bronze, versioned
-from lakeload.sources.tables import quoted, table_bytes, table_exists
+from lakeload.sources.tables import is_view, quoted, table_bytes, table_exists
 
 # Fixed value: message that readers of the log look for.
 NO_KEYS = "Business keys not defined in table config"
@@ -30,6 +30,10 @@ def merge_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str,
     Soft deletes are applied for the load modes in ``delete_modes`` and for tables that ask for
     ``sync_deletes``.
 
+    Silver versions build on each other. Repeating a run that later runs were built on merges
+    those again, in order, each from bronze as it was at its run; readers see the newest run
+    throughout.
+
     ``only_new_loads`` reads, of a load history, just the runs after the version merged into.
     The result is the same as long as no run was loaded late or rewritten, and the cost is that
     of the new runs instead of the whole history; rows missing from the new runs are not
@@ -51,10 +55,21 @@ def merge_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str,
         return done(SKIPPED, NO_KEYS)
     record.update(bronze_table=spec.bronze_table, silver_table=spec.silver_table)
     try:
+        later = [v.run_ts for v in versioned.later_versions(spark, spec.silver_table, run_ts)]
         metrics, note = _merge(spark, spec, run_ts, delete_modes, only_new_loads)
+        for other in later:
+            _merge(spark, spec, other, delete_modes, only_new_loads)
     except Exception as error:
         return done(FAILED, str(error)[:MESSAGE_LIMIT])
-    return done(SUCCESS, note, **metrics)
+    notes = [note, f"merged again after it: {', '.join(later)}" if later else None]
+    return done(SUCCESS, "; ".join(n for n in notes if n) or None, **metrics)
+
+
+def bronze_as_of(spark: SparkSession, table: str, run_ts: str) -> DataFrame:
+    """A versioned table as of a run; any other table as it is (histories are cut by load stamp)."""
+    if is_view(spark, table) and versioned.versions(spark, table):
+        return versioned.read_as_of(spark, table, run_ts)
+    return spark.table(quoted(table))
 
 
 def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequence[str],
@@ -62,7 +77,7 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
     keys = list(spec.business_keys)
     history = spec.load_mode == "incremental"
     base = versioned.version_before(spark, spec.silver_table, run_ts)
-    rows = spark.table(quoted(spec.bronze_table))
+    rows = bronze_as_of(spark, spec.bronze_table, run_ts)
     order = []
     partial = history and only_new_loads and base is not None
     if history:
@@ -79,7 +94,7 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
         spark, spec.silver_table, merged, run_ts, bucket_by=keys, buckets=buckets, laid_out=True,
         metrics=merge.merge_metrics(), drop_columns=[merge.CHANGE, merge.IN_SOURCE])
     metrics.pop("rows")
-    return metrics, _set_aside(spark, spec, rows, keys, run_ts, history)
+    return metrics, _set_aside(spark, spec, rows, keys, run_ts, base.run_ts if base and history else None)
 
 
 def _expected_bytes(spark: SparkSession, spec: TableSpec, run_ts: str, base: versioned.Version | None) -> int:
@@ -101,11 +116,12 @@ def aligned(current: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
 
 
 def _set_aside(spark: SparkSession, spec: TableSpec, rows: DataFrame, keys: list[str], run_ts: str,
-               history: bool) -> str | None:
-    """Keep rows without a complete key in a table of their own. Parquet statistics let the
-    check skip every row group whose keys are complete."""
-    if history:
-        rows = rows.where(F.col(LOAD_COLUMN) == run_ts)
+               after: str | None) -> str | None:
+    """Keep rows without a complete key in a table of their own: those of all loads that this
+    merge is the first to cover. Parquet statistics let the check skip every row group whose
+    keys are complete."""
+    if after is not None:
+        rows = rows.where(F.col(LOAD_COLUMN) > after)
     keyless = merge.null_key_rows(rows, keys)
     if keyless.limit(1).isEmpty():
         return None

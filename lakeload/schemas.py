@@ -4,113 +4,108 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "string": T.StringType(), "long": T.LongType(), "double": T.DoubleType(),
-    "date": T.DateType(), "timestamp": T.TimestampType(),
-}
-
-
-def _struct(text: str) -> T.StructType:
-    """Schema from ``name type`` lines; a trailing ``!`` means not null."""
-    fields = []
-    for line in text.strip().splitlines():
-        name, kind = line.split()
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
-
-
-# Names, columns and partitioning of the four log tables.
+# Names and columns of the four log tables. ``write_id`` is our own: each write
+# goes to partitions that only it owns, so that writers of one table never meet.
 BRONZE_LOG = "logs.bronze_processing_log"
 BRONZE_SUMMARY = "logs.bronze_run_summary"
 SILVER_LOG = "logs.silver_processing_log"
 SILVER_SUMMARY = "logs.silver_run_summary"
 
 LOG_SCHEMAS = {
-    BRONZE_LOG: _struct("""
-        log_id string!
-        run_log_id string!
-        run_id string!
-        run_date date!
-        run_ts string!
-        source string!
-        table_name string!
-        partition_key string
-        load_mode string
-        status string!
-        rows_processed long
-        start_time timestamp
-        end_time timestamp
-        duration_seconds long
-        error_message string
-        parquet_path string
-        delta_table string"""),
-    BRONZE_SUMMARY: _struct("""
-        log_id string!
-        run_id string!
-        run_date date!
-        run_ts string!
-        source string
-        status string!
-        run_start timestamp!
-        run_end timestamp!
-        duration_seconds double
-        total_tables long!
-        tables_success long!
-        tables_empty long!
-        tables_failed long!
-        tables_skipped long!
-        total_rows long!
-        workers long
-        sum_task_seconds double
-        theoretical_min_sec double
-        actual_time_sec double
-        efficiency_pct double
-        failed_tables string
-        error_message string"""),
-    SILVER_LOG: _struct("""
-        log_id string!
-        run_id string!
-        run_date date!
-        run_ts string!
-        source string!
-        table_name string!
-        load_mode string
-        status string!
-        rows_inserted long
-        rows_updated long
-        rows_deleted long
-        rows_unchanged long
-        total_silver_rows long
-        bronze_rows long
-        bronze_table string
-        start_time timestamp
-        end_time timestamp
-        duration_seconds long
-        error_message string
-        silver_table string"""),
-    SILVER_SUMMARY: _struct("""
-        run_id string!
-        source string!
-        run_ts string!
-        run_date date!
-        run_start timestamp!
-        run_end timestamp
-        duration_seconds long
-        total_tables long!
-        tables_success long
-        tables_failed long
-        tables_skipped long
-        total_inserts long
-        total_updates long
-        total_deletes long
-        total_unchanged long
-        failed_tables string"""),
+    BRONZE_LOG: (
+        T.StructType()
+        .add("log_id", "string", False)
+        .add("run_log_id", "string", False)
+        .add("run_id", "string", False)
+        .add("run_date", "date", False)
+        .add("run_ts", "string", False)
+        .add("source", "string", False)
+        .add("table_name", "string", False)
+        .add("partition_key", "string")
+        .add("load_mode", "string")
+        .add("status", "string", False)
+        .add("rows_processed", "long")
+        .add("start_time", "timestamp")
+        .add("end_time", "timestamp")
+        .add("duration_seconds", "long")
+        .add("error_message", "string")
+        .add("parquet_path", "string")
+        .add("delta_table", "string")
+        .add("write_id", "string")),
+    BRONZE_SUMMARY: (
+        T.StructType()
+        .add("log_id", "string", False)
+        .add("run_id", "string", False)
+        .add("run_date", "date", False)
+        .add("run_ts", "string", False)
+        .add("source", "string")
+        .add("status", "string", False)
+        .add("run_start", "timestamp", False)
+        .add("run_end", "timestamp", False)
+        .add("duration_seconds", "double")
+        .add("total_tables", "long", False)
+        .add("tables_success", "long", False)
+        .add("tables_empty", "long", False)
+        .add("tables_failed", "long", False)
+        .add("tables_skipped", "long", False)
+        .add("total_rows", "long", False)
+        .add("workers", "long")
+        .add("sum_task_seconds", "double")
+        .add("theoretical_min_sec", "double")
+        .add("actual_time_sec", "double")
+        .add("efficiency_pct", "double")
+        .add("failed_tables", "string")
+        .add("error_message", "string")
+        .add("write_id", "string")),
+    SILVER_LOG: (
+        T.StructType()
+        .add("log_id", "string", False)
+        .add("run_id", "string", False)
+        .add("run_date", "date", False)
+        .add("run_ts", "string", False)
+        .add("source", "string", False)
+        .add("table_name", "string", False)
+        .add("load_mode", "string")
+        .add("status", "string", False)
+        .add("rows_inserted", "long")
+        .add("rows_updated", "long")
+        .add("rows_deleted", "long")
+        .add("rows_unchanged", "long")
+        .add("total_silver_rows", "long")
+        .add("bronze_rows", "long")
+        .add("bronze_table", "string")
+        .add("start_time", "timestamp")
+        .add("end_time", "timestamp")
+        .add("duration_seconds", "long")
+        .add("error_message", "string")
+        .add("silver_table", "string")
+        .add("write_id", "string")),
+    SILVER_SUMMARY: (
+        T.StructType()
+        .add("run_id", "string", False)
+        .add("source", "string", False)
+        .add("run_ts", "string", False)
+        .add("run_date", "date", False)
+        .add("run_start", "timestamp", False)
+        .add("run_end", "timestamp")
+        .add("duration_seconds", "long")
+        .add("total_tables", "long", False)
+        .add("tables_success", "long")
+        .add("tables_failed", "long")
+        .add("tables_skipped", "long")
+        .add("total_inserts", "long")
+        .add("total_updates", "long")
+        .add("total_deletes", "long")
+        .add("total_unchanged", "long")
+        .add("failed_tables", "string")
+        .add("write_id", "string")),
 }
+WRITE_COLUMN = "write_id"
 LOG_PARTITIONS = {
-    BRONZE_LOG: ["run_date", "table_name"],
-    BRONZE_SUMMARY: [],
-    SILVER_LOG: ["run_date"],
-    SILVER_SUMMARY: [],
+    BRONZE_LOG: [WRITE_COLUMN, "run_date", "table_name"],
+    BRONZE_SUMMARY: [WRITE_COLUMN],
+    SILVER_LOG: [WRITE_COLUMN, "run_date"],
+    SILVER_SUMMARY: [WRITE_COLUMN],
 }
 
 # Registry file: one document per source. Flags and the incremental column occur in several

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lakeload.operators.current import LOAD_COLUMN
 from lakeload.sources import versioned
 from lakeload.sources.tables import (
-    described, drop_table, ensure_schema_of, quoted, shaped, table_exists, table_location)
+    drop_table, ensure_schema_of, is_view, partition_columns, quoted, shaped, table_exists, table_location)
 
 # Fixed values.
 LOAD_MODES = ("snapshot", "window", "incremental")
@@ -20,10 +20,19 @@ DEFAULT_WINDOW_COLUMN = "Boek_Datum"
 YEAR_COLUMN, MONTH_COLUMN = "p_year", "p_month"
 
 
+# A stream adds its micro-batch to the partitions of a load history; a batch load into such a
+# history writes this one.
+BATCH_COLUMN, BATCH_LOAD = "_bronze_batch", "load"
+
+
 class SchemaConflict(ValueError):
     """The rows do not fit the target table."""
 
 
+class FormConflict(SchemaConflict):
+    """The target holds what a table of another load mode keeps, and would lose it."""
+
+
 @dataclass(frozen=True)
 class FileShape:
     """How a table's files are laid out."""
@@ -56,30 +65,38 @@ def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def drop_target(spark: SparkSession, target: str) -> None:
     """Remove a table of any form: plain, view, or versioned."""
-    if table_exists(spark, target) and described(spark, target, "Type") != "VIEW":
+    if table_exists(spark, target) and not is_view(spark, target):
         drop_table(spark, target)
     versioned.drop_versioned(spark, target)
 
 
+def _refuse_history(spark: SparkSession, target: str) -> None:
+    if table_exists(spark, target) and not is_view(spark, target) and LOAD_COLUMN in partition_columns(spark, target):
+        raise FormConflict(f"{target} is a load history; replacing it would lose its earlier runs")
+
+
 def write_snapshot(spark: SparkSession, target: str, df: DataFrame, run_ts: str,
                    partition_by: Sequence[str] = (), shape: FileShape = FileShape(),
-                   keep_versions: bool = True) -> int:
-    """Replace a table and its schema.
+                   keep_versions: bool = True, retention_hours: int | None = None) -> int:
+    """Replace a table and its schema; a load history is refused (:class:`FormConflict`).
 
     By default the new contents are a new version behind a view, so readers see the old table
-    until the new one is complete, and a failed write changes nothing. ``keep_versions=False``
+    until the new one is complete, and a failed write changes nothing. Older versions stay, for
+    reading as of a run and for repeating merges, unless ``retention_hours`` is given: then those
+    of runs before that time go (see :func:`versioned.remove_old_versions`). ``keep_versions=False``
     overwrites a plain table in place.
     """
+    _refuse_history(spark, target)
     rows = shape.apply(df) if not partition_by else by_partition(df, partition_by)
     if keep_versions:
         written = versioned.write_version(
             spark, target, rows, run_ts, partition_by=partition_by,
             max_rows_per_file=shape.max_rows_per_file)["rows"]
-        for old in versioned.versions(spark, target)[:-2]:
-            spark.sql(f"DROP TABLE IF EXISTS {quoted(old.table)}")
+        if retention_hours is not None:
+            versioned.remove_old_versions(spark, target, retention_hours)
         return written
     ensure_schema_of(spark, target)
-    if table_exists(spark, target) and described(spark, target, "Type") == "VIEW":
+    if is_view(spark, target):
         versioned.drop_versioned(spark, target)
     counted, observation = _counted(rows)
     writer = counted.write.format("parquet").mode("overwrite")
@@ -94,7 +111,8 @@ def write_snapshot(spark: SparkSession, target: str, df: DataFrame, run_ts: str,
 def write_window(spark: SparkSession, target: str, df: DataFrame, run_ts: str,
                  date_column: str = DEFAULT_WINDOW_COLUMN, by_month: bool = False,
                  year_column: str = YEAR_COLUMN, month_column: str = MONTH_COLUMN,
-                 shape: FileShape = FileShape(), keep_versions: bool = True) -> int:
+                 shape: FileShape = FileShape(), keep_versions: bool = True,
+                 retention_hours: int | None = None) -> int:
     """Replace a table by the reloaded window, optionally partitioned by year and month."""
     partition_by: list[str] = []
     if by_month:
@@ -102,7 +120,7 @@ def write_window(spark: SparkSession, target: str, df: DataFrame, run_ts: str,
         if year_column not in df.columns:
             raise ValueError(f"{target}: no column {date_column!r} to partition by month")
         partition_by = [year_column, month_column]
-    return write_snapshot(spark, target, df, run_ts, partition_by, shape, keep_versions)
+    return write_snapshot(spark, target, df, run_ts, partition_by, shape, keep_versions, retention_hours)
 
 
 def replace_months(spark: SparkSession, target: str, df: DataFrame, date_column: str = DEFAULT_WINDOW_COLUMN,
@@ -122,9 +140,12 @@ def append_run(spark: SparkSession, target: str, df: DataFrame, run_ts: str, evo
     Only this run's partition is written, so repeating a run replaces its rows instead of
     doubling them, and no other run is touched.
     """
-    stamped = df.withColumn(LOAD_COLUMN, F.lit(run_ts))
-    _ensure_partitioned(spark, target, stamped, [LOAD_COLUMN], evolve)
-    return _overwrite_partitions(spark, target, shape.apply(stamped), [LOAD_COLUMN], shape, static=run_ts)
+    place = {LOAD_COLUMN: run_ts}
+    if table_exists(spark, target) and BATCH_COLUMN in partition_columns(spark, target):
+        place[BATCH_COLUMN] = BATCH_LOAD
+    stamped = df.withColumns({name: F.lit(value) for name, value in place.items()})
+    _ensure_partitioned(spark, target, stamped, list(place), evolve)
+    return _overwrite_partitions(spark, target, shape.apply(stamped), list(place), shape, static=place)
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -143,6 +164,8 @@ def _ensure_partitioned(spark: SparkSession, target: str, df: DataFrame, columns
         parts = ", ".join(f"`{c}`" for c in columns)
         spark.sql(f"CREATE TABLE {quoted(target)} ({layout}) USING parquet PARTITIONED BY ({parts})")
         return
+    if is_view(spark, target) or partition_columns(spark, target) != list(columns):
+        raise FormConflict(f"{target} is not a table partitioned by {list(columns)}")
     known = {f.name: f.dataType.simpleString() for f in spark.table(quoted(target)).schema.fields}
     changed = sorted(c for c in kinds if c in known and kinds[c] != known[c])
     missing = sorted(c for c in known if c not in kinds)
@@ -156,18 +179,42 @@ def _ensure_partitioned(spark: SparkSession, target: str, df: DataFrame, columns
 
 
 def _overwrite_partitions(spark: SparkSession, target: str, df: DataFrame, columns: Sequence[str],
-                          shape: FileShape, static: str | None = None) -> int:
-    """Write partition folders in place, then make them known to the catalog."""
+                          shape: FileShape, static: dict[str, str] | None = None) -> int:
+    """Write partition folders in place, then make those written known to the catalog."""
     location = table_location(spark, target)
     counted, observation = _counted(df)
     writer = counted.drop(*(columns if static else ())).write.mode("overwrite")
     if shape.max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", shape.max_rows_per_file)
     if static:
-        writer.parquet(f"{location}/{columns[0]}={static}")
-        spark.sql(f"ALTER TABLE {quoted(target)} ADD IF NOT EXISTS PARTITION (`{columns[0]}`='{static}')")
+        writer.parquet("/".join([location, *(f"{c}={v}" for c, v in static.items())]))
+        written = [static]
     else:
-        (writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(location))
-        spark.sql(f"ALTER TABLE {quoted(target)} RECOVER PARTITIONS")
-    spark.catalog.refreshTable(quoted(target))
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(location)
+        # At most a few hundred months.
+        written = [r.asDict() for r in df.select(*columns).distinct().collect()]
+    add_partitions(spark, target, written)
     return observation.get["rows"]
+
+
+def _partition(values: dict) -> str:
+    def text(value) -> str:
+        return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return "PARTITION (" + ", ".join(f"`{c}` = {text(v)}" for c, v in values.items()) + ")"
+
+
+def add_partitions(spark: SparkSession, target: str, values: Sequence[dict]) -> None:
+    """Make partition folders known to the catalog."""
+    for at in range(0, len(values), 500):
+        specs = " ".join(_partition(v) for v in values[at:at + 500])
+        spark.sql(f"ALTER TABLE {quoted(target)} ADD IF NOT EXISTS {specs}")
+    spark.catalog.refreshTable(quoted(target))
+
+
+def drop_partitions(spark: SparkSession, target: str, values: Sequence[dict]) -> None:
+    """Remove partitions and their files."""
+    for at in range(0, len(values), 500):
+        specs = ", ".join(_partition(v) for v in values[at:at + 500])
+        spark.sql(f"ALTER TABLE {quoted(target)} DROP IF EXISTS {specs}")
+    spark.catalog.refreshTable(quoted(target))

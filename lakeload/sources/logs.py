@@ -1,20 +1,29 @@
-"""The four log tables: set-up, batch append, summaries, upsert."""
+"""The four log tables: set-up, batch append, summaries, upsert, compaction.
+
+Several runs write to one log table at a time. Each write therefore fills a folder of its own
+(``write_id=<unique>``), which it registers when it is complete: writers share no temporary folder and
+a failed write leaves nothing that readers see. The folders pile up, one per write;
+:func:`compact_log` joins those of past days.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lakeload.functions.stamps import parse_run_date
 from lakeload.functions.text import truncate_message, truncate_text
-from lakeload.operators.runlog import upsert_log_rows
+from lakeload.operators.runlog import LOG_UPSERT_KEYS, upsert_log_rows
 from lakeload.schemas import (
-    BRONZE_LOG, BRONZE_SUMMARY, LOG_PARTITIONS, LOG_SCHEMAS, SILVER_LOG, SILVER_SUMMARY)
+    BRONZE_LOG, BRONZE_SUMMARY, LOG_PARTITIONS, LOG_SCHEMAS, SILVER_LOG, SILVER_SUMMARY, WRITE_COLUMN)
 from lakeload.session import reliable_checkpoint
+from lakeload.sources.bronze import add_partitions, drop_partitions
 from lakeload.sources.tables import ensure_schema, quoted, table_location
 
 LAYERS = {"bronze": (BRONZE_LOG, BRONZE_SUMMARY), "silver": (SILVER_LOG, SILVER_SUMMARY)}
@@ -52,8 +61,21 @@ def conform_log(df: DataFrame, table: str) -> DataFrame:
 def append_logs(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Append log rows that are a DataFrame already (such as a summary computed from logs)."""
     ensure_log_tables(spark)
-    order = spark.table(quoted(table)).columns
-    conform_log(df, table).select(*order).write.insertInto(quoted(table))
+    _write_own(spark, conform_log(df, table), table)
+
+
+def _write_own(spark: SparkSession, rows: DataFrame, table: str) -> None:
+    """Write rows to a folder of their own and register its partitions: one per day and table."""
+    write_id = uuid.uuid4().hex
+    inner = LOG_PARTITIONS[table][1:]
+    path = f"{table_location(spark, table)}/{WRITE_COLUMN}={write_id}"
+    schema = [f for f in LOG_SCHEMAS[table].fields if f.name != WRITE_COLUMN]
+    rows.select(*[f.name for f in schema]).write.partitionBy(*inner).parquet(path)
+    found = [{}]
+    if inner:
+        written = spark.read.schema(StructType([StructField(f.name, f.dataType) for f in schema])).parquet(path)
+        found = [r.asDict() for r in written.select(*inner).distinct().collect()]
+    add_partitions(spark, table, [{WRITE_COLUMN: write_id, **values} for values in found])
 
 
 def _require(record: dict, names: Sequence[str], table: str) -> None:
@@ -119,23 +141,49 @@ def log_summary(spark: SparkSession, summary: dict, layer: str) -> str | None:
 
 
 def upsert_logs(spark: SparkSession, updates: DataFrame, layer: str = "bronze") -> None:
-    """Merge log rows by (log_id, table_name, run_date).
+    """Merge log rows by (log_id, table_name, run_date); of several updates of one key any may win.
 
-    Only the log partitions the updates fall into are read and rewritten. The merged rows go
-    through a reliable checkpoint first, because Spark will not overwrite what a plan reads.
+    Only the partitions that hold an updated row are read and rewritten, each as a whole and by
+    itself; appends go on meanwhile, because they own other partitions. New keys are appended.
+    The merged rows go through a reliable checkpoint first, because Spark will not overwrite
+    what a plan reads.
     """
     table, _ = layer_tables(layer)
     ensure_log_tables(spark)
     parts = LOG_PARTITIONS[table]
-    fresh = conform_log(updates, table)
-    touched = fresh.select(*parts).distinct()
-    existing = spark.table(quoted(table)).join(touched, parts, "left_semi")
-    merged = reliable_checkpoint(spark, upsert_log_rows(existing, fresh))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(table_location(spark, table)))
-    # One partition per table of the run at most.
-    specs = [", ".join(f"`{p}` = '{row[p]}'" for p in parts) for row in touched.collect()]
-    if specs:
-        added = " ".join(f"PARTITION ({spec})" for spec in specs)
-        spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS {added}")
+    keys = list(LOG_UPSERT_KEYS)
+    fresh = reliable_checkpoint(spark, conform_log(updates, table).drop(WRITE_COLUMN).dropDuplicates(keys))
+    days = fresh.select("run_date").distinct()
+    existing = spark.table(quoted(table)).join(days, ["run_date"], "left_semi")
+    touched = reliable_checkpoint(spark, existing.join(fresh, keys, "left_semi").select(*parts).distinct())
+    existing = existing.join(touched, parts, "left_semi")
+    merged = reliable_checkpoint(spark, upsert_log_rows(existing, fresh, keys))
+    (merged.where(F.col(WRITE_COLUMN).isNotNull()).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table_location(spark, table)))
     spark.catalog.refreshTable(quoted(table))
+    added = merged.where(F.col(WRITE_COLUMN).isNull())
+    if not added.isEmpty():
+        _write_own(spark, added, table)
+
+
+def compact_log(spark: SparkSession, table: str, before: dt.date) -> int:
+    """Join the write folders of log days before ``before`` into one; returns how many went.
+
+    The joined rows are registered before the old folders go, so readers may see rows twice for
+    a moment but never miss one.
+    """
+    rows = spark.table(quoted(table)).where(F.col("run_date") < F.lit(before))
+    old = [r[0] for r in rows.select(WRITE_COLUMN).distinct().collect()]
+    inner = LOG_PARTITIONS[table][1:]
+    if "run_date" not in inner:
+        # Summary folders hold whole writes; only those entirely in the past are joined.
+        kept = {r[0] for r in spark.table(quoted(table)).where(F.col("run_date") >= F.lit(before))
+                .select(WRITE_COLUMN).distinct().collect()}
+        old = [w for w in old if w not in kept]
+        rows = rows.where(F.col(WRITE_COLUMN).isin(old)) if old else rows.where("false")
+    if len(old) < 2:
+        return 0
+    specs = [r.asDict() for r in rows.select(*LOG_PARTITIONS[table]).distinct().collect()]
+    _write_own(spark, reliable_checkpoint(spark, rows.repartition(*inner) if inner else rows.coalesce(1)), table)
+    drop_partitions(spark, table, specs)
+    return len(old)

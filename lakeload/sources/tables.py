@@ -38,6 +38,14 @@ def table_location(spark: SparkSession, table: str) -> str | None:
     return described(spark, table, "Location") if table_exists(spark, table) else None
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(quoted(table)) if c.isPartition]
+
+
+def is_view(spark: SparkSession, table: str) -> bool:
+    return table_exists(spark, table) and described(spark, table, "Type") == "VIEW"
+
+
 def drop_table(spark: SparkSession, table: str) -> bool:
     """Drop a table; False when there was none."""
     if not table_exists(spark, table):

@@ -5,8 +5,11 @@ reads. So a version is an ordinary managed table ``<name>__v<run_ts>_<attempt>``
 ``<name>`` itself is a view on the published version:
 
 * readers never see a half-written state: the view moves after the write has finished;
-* a replayed or crashed run is harmless: every attempt writes a table of its own, and a table
-  enters the catalog only when it is complete;
+* a crashed run is harmless: every attempt writes a table of its own, and a table enters the
+  catalog only when it is complete;
+* the view always shows the newest run: repeating an older one replaces that run's version and
+  leaves the view alone;
+* no version is dropped but on request (:func:`remove_old_versions`), and never the published one;
 * versions are bucketed by the merge keys. The next merge reads its large side as it lies,
   without a shuffle; only the incoming rows are moved.
 """
@@ -131,7 +134,8 @@ def write_version(spark: SparkSession, name: str, df: DataFrame, run_ts: str,
                   partition_by: Sequence[str] = (), metrics: Sequence[Column] = (),
                   drop_columns: Sequence[str] = (), max_rows_per_file: int | None = None,
                   laid_out: bool = False) -> dict[str, int]:
-    """Write and publish one version; returns its row count ``rows`` and the given metrics.
+    """Write one version; returns its row count ``rows`` and the given metrics. It is published
+    unless a later run has a version already.
 
     Rows are brought together by bucket first, so that each bucket is one file and not one per
     task. ``laid_out`` says they already are, as the result of a merge on the same keys.
@@ -159,8 +163,10 @@ def write_version(spark: SparkSession, name: str, df: DataFrame, run_ts: str,
     writer.saveAsTable(quoted(target))
     observed = observation.get
     spark.sql(f"ALTER TABLE {quoted(target)} SET TBLPROPERTIES ('{ROWS_PROPERTY}' = '{observed['rows']}')")
-    publish(spark, name, target)
-    for other in versions(spark, name):
+    known = versions(spark, name)
+    if not any(v.run_ts > run_ts.upper() for v in known) or published(spark, name) is None:
+        publish(spark, name, target)
+    for other in known:
         if other.run_ts == run_ts.upper() and other.table != ".".join(_split(target)):
             spark.sql(f"DROP TABLE IF EXISTS {quoted(other.table)}")
     return observed
@@ -174,6 +180,11 @@ def publish(spark: SparkSession, name: str, target: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS SELECT * FROM {quoted(target)}")
 
 
+def later_versions(spark: SparkSession, name: str, run_ts: str) -> list[Version]:
+    """Versions of runs after ``run_ts``, oldest first."""
+    return [v for v in versions(spark, name) if v.run_ts > run_ts.upper()]
+
+
 def remove_old_versions(spark: SparkSession, name: str, retention_hours: int = 168,
                         now: dt.datetime | None = None) -> list[str]:
     """Drop versions older than the retention; never the newest nor the published one."""
@@ -198,9 +209,20 @@ def drop_versioned(spark: SparkSession, name: str) -> bool:
 
 
 def compact(spark: SparkSession, name: str, cluster_by: Sequence[str] = (), files: int | None = None) -> None:
-    """Rewrite the newest version into fewer, optionally clustered, files. A later merge of a
-    compacted silver table buckets it again."""
+    """Rewrite the newest version into fewer, optionally clustered, files. Partition columns and
+    buckets stay as they are, so a later merge still reads a compacted silver table in place."""
     version = version_as_of(spark, name)
     if version is None:
         raise ValueError(f"{name} has no version to compact")
-    write_version(spark, name, shaped(read_version(spark, version), cluster_by, files), version.run_ts)
+    rows = read_version(spark, version)
+    columns = spark.catalog.listColumns(quoted(version.table))
+    partition_by = [c.name for c in columns if c.isPartition]
+    bucket_by = [c.name for c in columns if c.isBucket]
+    if bucket_by or partition_by:
+        rows = rows if bucket_by else rows.hint("rebalance", *[F.col(c) for c in partition_by])
+        if cluster_by and not bucket_by:
+            rows = rows.sortWithinPartitions(*partition_by, *cluster_by)
+    else:
+        rows = shaped(rows, cluster_by, files)
+    write_version(spark, name, rows, version.run_ts, bucket_by=bucket_by,
+                  buckets=stored_buckets(spark, version) or None, partition_by=partition_by)

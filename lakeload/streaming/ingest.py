@@ -11,10 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lakeload.operators.current import LOAD_COLUMN
+from lakeload.sources.bronze import BATCH_COLUMN
 from lakeload.sources.landed import landed_run
 from lakeload.sources.tables import ensure_schema_of, quoted, table_exists
 
-BATCH_COLUMN = "_bronze_batch"
 PARTITIONS = (LOAD_COLUMN, BATCH_COLUMN)
 
 

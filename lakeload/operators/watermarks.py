@@ -4,7 +4,7 @@ filters built on them."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,21 +21,34 @@ def as_kind(value: Column, kind: str) -> Column:
     return value.cast(KINDS[kind])
 
 
-def max_watermarks(updates: DataFrame, kind: str | None = None, keys: Sequence[str] = ("table_name",),
-                   value: str = "watermark") -> DataFrame:
+def _above(old: str, new: str, kind: str) -> Column:
+    return F.col(old).try_cast(KINDS[kind]) > as_kind(F.col(new), kind)
+
+
+def max_watermarks(updates: DataFrame, kind: str | Mapping[str, str] | None = None,
+                   keys: Sequence[str] = ("table_name",), value: str = "watermark") -> DataFrame:
     """Newest non-empty watermark per table, as text.
 
-    Without ``kind`` values are compared in the type they have; with one, text is cast first,
-    so that '9' sorts before '10'. Partial maxima are built per map task, so one busy table
-    does not load one reducer.
+    Values are compared in the type of ``kind``, so that '9' sorts before '10': one kind for all
+    tables, or a mapping from table name to kind. What that leaves open is the ``kind`` column's
+    to say where ``updates`` has one, and else the type of the values. Partial maxima are built per map task,
+    so one busy table does not load one reducer.
     """
     mark = F.col(value)
     if dict(updates.dtypes)[value] == "string":
         mark = F.when(mark != "", mark)
-    if kind is not None:
-        mark = as_kind(mark, kind)
-    newest = updates.groupBy(*keys).agg(F.max(mark).alias(value))
-    return newest.where(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("string"))
+    if isinstance(kind, str):
+        newest = F.max(as_kind(mark, kind)).cast("string")
+    elif kind or "kind" in updates.columns:
+        own = F.col("kind") if "kind" in updates.columns else F.lit("text")
+        if kind:
+            given = F.create_map(*[F.lit(x) for pair in sorted(kind.items()) for x in pair])
+            own = F.coalesce(given[F.col("table_name")], own)
+        typed = {k: F.max(F.when(own == k, as_kind(mark.cast("string"), k))) for k in KINDS}
+        newest = F.coalesce(*[m.cast("string") for m in typed.values()])
+    else:
+        newest = F.max(mark).cast("string")
+    return updates.groupBy(*keys).agg(newest.alias(value)).where(F.col(value).isNotNull())
 
 
 def compare_watermarks(stored: DataFrame, newest: DataFrame, keys: Sequence[str] = ("table_name",),
@@ -50,17 +63,24 @@ def compare_watermarks(stored: DataFrame, newest: DataFrame, keys: Sequence[str]
 
 
 def merged_watermarks(stored: DataFrame, newest: DataFrame, keys: Sequence[str] = ("table_name",),
-                      value: str = "watermark", monotonic_kind: str | None = None) -> DataFrame:
+                      value: str = "watermark",
+                      monotonic_kind: str | Mapping[str, str] | None = None) -> DataFrame:
     """The stored map after the updates; tables without an update keep their value.
 
-    ``monotonic_kind`` keeps the larger value instead, so a mark never moves back.
+    ``monotonic_kind``, one kind or a mapping from table name to kind (``text`` if not in it), keeps the larger
+    value instead, so a mark never moves back. A stored value that is not of the kind gives way.
     """
     old = stored.select(*keys, F.col(value).alias("_old"))
     new = newest.select(*keys, F.col(value).alias("_new"))
     merged = F.coalesce("_new", "_old")
     if monotonic_kind is not None:
         # Marks of tables without an update may be of another kind; they are not compared.
-        older = as_kind(F.col("_old"), monotonic_kind) > as_kind(F.col("_new"), monotonic_kind)
+        if isinstance(monotonic_kind, str):
+            older = _above("_old", "_new", monotonic_kind)
+        else:
+            given = [F.lit(x) for pair in sorted(monotonic_kind.items()) for x in pair]
+            own = F.coalesce(F.create_map(*given)[F.col("table_name")], F.lit("text")) if given else F.lit("text")
+            older = F.coalesce(*[F.when(own == k, _above("_old", "_new", k)) for k in KINDS])
         merged = (F.when(F.col("_new").isNull() | F.col("_old").isNull(), merged)
                   .when(older, F.col("_old")).otherwise(merged))
     return old.join(new, list(keys), "full_outer").select(*keys, merged.alias(value))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,14 @@ from lakeload.sources.configs import (
 
 
 def merge_watermarks(spark: SparkSession, run_path: str, stored_path: str, source: str, run_id: str,
-                     target_path: str | None = None, kind: str | None = None, monotonic: bool = False) -> dict:
+                     target_path: str | None = None, kind: str | Mapping[str, str] | None = None,
+                     monotonic: bool = False) -> dict:
     """Newest watermark per table of one run, compared with and merged into the stored map.
 
+    Marks are compared in ``kind``: one for all tables, or a mapping from table name to kind for
+    tables whose files hold text; the others' kind follows from the type in their files. Tables
+    whose files cannot be read are listed under ``unreadable`` and keep their marks.
+
     The new map goes to ``target_path`` (another folder than it was read from); without one
     nothing is written. The returned changes are one entry per updated table.
     """
@@ -22,10 +29,13 @@ def merge_watermarks(spark: SparkSession, run_path: str, stored_path: str, sourc
     if mine.isEmpty():
         raise ValueError(f"source {source!r} is not in the watermark map")
     result = {"source": source, "run_id": run_id, "updates_processed": 0, "watermarks_changed": 0,
-              "config_updated": False, "changes": []}
-    updates = read_runtime_watermarks(spark, run_path)
+              "config_updated": False, "changes": [], "unreadable": []}
+    updates = read_runtime_watermarks(spark, run_path, result["unreadable"])
     if updates is None:
         return result
+    if not isinstance(kind, str):
+        # One row per table of the run.
+        kind = {r.table_name: r.kind for r in updates.select("table_name", "kind").distinct().collect()} | dict(kind or {})
     newest = watermarks.max_watermarks(updates, kind)
     stored = mine.select("table_name", "watermark")
     compared = watermarks.compare_watermarks(stored, newest).orderBy("table_name").collect()
@@ -36,7 +46,7 @@ def merge_watermarks(spark: SparkSession, run_path: str, stored_path: str, sourc
                  for r in changed])
     if changed and target_path:
         merged = watermarks.merged_watermarks(
-            stored, newest, monotonic_kind=(kind or "text") if monotonic else None)
+            stored, newest, monotonic_kind=kind if monotonic else None)
         others = everything.where(F.col("source") != source)
         write_document(watermark_document(
             others.unionByName(merged.withColumn("source", F.lit(source)))), target_path)

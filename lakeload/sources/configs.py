@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,10 +48,10 @@ def _json_value(column):
 
 
 def watermark_document(marks: DataFrame) -> DataFrame:
-    """The whole map as one JSON document (one row, one entry per table). Whole numbers are
-    written as numbers."""
+    """The whole map as one JSON document (one row, one entry per table). Whole numbers that fit
+    a long are written as numbers, everything else (leading zeros included) as text."""
     name, mark = F.col("table_name"), F.col("watermark")
-    value = F.when(mark.rlike("^[0-9]{1,18}$"), mark).otherwise(
+    value = F.when(mark.rlike("^(0|[1-9][0-9]{0,17})$"), mark).otherwise(
         F.when(mark.isNull(), "null").otherwise(_json_value(mark)))
     entries = marks.groupBy("source").agg(
         F.array_sort(F.collect_list(F.concat_ws(": ", _json_value(name), value))).alias("entries"))
@@ -63,19 +66,47 @@ def write_document(document: DataFrame, path: str) -> None:
     document.coalesce(1).write.mode("overwrite").text(path)
 
 
-def read_runtime_watermarks(spark: SparkSession, run_path: str) -> DataFrame | None:
-    """Watermarks an extraction run left as ``<run_path>/<table>/*.parquet``, all tables in one
-    scan; the table is the file's folder. None when the run left nothing."""
+# Kind of a mark by the type of its column; other types are compared as text.
+KIND_OF_TYPE = {"bigint": "stamp17", "int": "stamp17", "timestamp": "datetime", "timestamp_ntz": "datetime", "date": "date"}
+
+
+def read_runtime_watermarks(spark: SparkSession, run_path: str, unreadable: list[str] | None = None) -> DataFrame | None:
+    """Watermarks an extraction run left as ``<run_path>/<table>/*.parquet``: ``table_name``, the
+    mark as text, and its ``kind``. None when the run left nothing.
+
+    Folders may differ in the type of their marks: file footers are read per table first, then the
+    folders of one type in one scan. A folder without the column has no mark; one that cannot be
+    read is named in ``unreadable``, and fails the call where that is not given.
+    """
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     try:
-        files = spark.read.parquet(f"{run_path.rstrip('/')}/*/*.parquet")
+        listed = spark.read.format("binaryFile").load(f"{run_path.rstrip('/')}/*/*.parquet")
+        # One row per table of the run.
+        names = [r[0] for r in listed.select(F.element_at(F.split("path", "/"), -2)).distinct().orderBy(F.lit(1)).collect()]
     except AnalysisException as error:
         if is_missing_path(error):
             return None
         raise
-    if "watermark" not in files.columns:
-        return None
-    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return files.select(F.url_decode(folder).alias("table_name"), "watermark")
+    kinds: dict[str, list[str]] = {}
+    for name in sorted(names):
+        try:
+            types = dict(spark.read.parquet(f"{run_path.rstrip('/')}/{_glob(name)}").dtypes)
+        except Exception:
+            if unreadable is None:
+                raise
+            unreadable.append(name)
+            continue
+        if "watermark" in types:
+            kinds.setdefault(types["watermark"], []).append(f"{run_path.rstrip('/')}/{_glob(name)}")
+    parts = [spark.read.parquet(*paths).select(
+        F.url_decode(folder).alias("table_name"), F.col("watermark").cast("string").alias("watermark"),
+        F.lit(KIND_OF_TYPE.get(kind, "text")).alias("kind")) for kind, paths in sorted(kinds.items())]
+    return functools.reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def _glob(name: str) -> str:
+    """A folder name as a path pattern that matches it alone."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", name)
 
 
 def read_runplan(spark: SparkSession, path: str) -> DataFrame:

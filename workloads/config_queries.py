@@ -198,17 +198,32 @@ def safe_text_names(spark, sf_dir):
     return fx.table(spark, sf_dir, "documents").select("doc_id", text.safe_identifier(F.col("text")).alias("safe_name"))
 
 
+# The cast text of each source type, as specified. {c} is the quoted column, {p} and {s} are
+# precision and scale.
+CAST_TEXT = """
+  ('decimal', 'CAST({c} AS decimal({p},{s}))'), ('numeric', 'CAST({c} AS decimal({p},{s}))'),
+  ('money', 'CAST({c} AS decimal(19,4))'), ('smallmoney', 'CAST({c} AS decimal(10,4))'),
+  ('tinyint', 'CAST({c} AS smallint)'), ('smallint', 'CAST({c} AS smallint)'), ('int', 'CAST({c} AS int)'),
+  ('bigint', 'CAST({c} AS bigint)'), ('bit', 'CAST({c} AS bit)'), ('float', 'CAST({c} AS float)'),
+  ('real', 'CAST({c} AS real)'), ('date', 'CAST({c} AS date)'), ('datetime', 'CAST({c} AS datetime2(3))'),
+  ('smalldatetime', 'CAST({c} AS datetime2(0))'), ('datetime2', 'CAST({c} AS datetime2(6))'),
+  ('time', 'CONVERT(varchar(8), {c}, 108)'), ('datetimeoffset', 'CAST(SWITCHOFFSET({c}, ''+00:00'') AS datetime2(6))'),
+  ('text', 'CONVERT(varchar(max), {c})'), ('ntext', 'CONVERT(nvarchar(max), {c})'),
+  ('uniqueidentifier', 'CONVERT(varchar(36), {c})'), ('xml', 'CONVERT(nvarchar(max), {c})')"""
+WIDE_CAST_TEXT = CAST_TEXT + """,
+  ('image', 'CONVERT(varbinary(max), {c})'), ('rowversion', 'CAST({c} AS varbinary(8))'),
+  ('timestamp', 'CAST({c} AS varbinary(8))'), ('hierarchyid', '{c}.ToString()'), ('geometry', '{c}.STAsBinary()'),
+  ('geography', '{c}.STAsBinary()'), ('sql_variant', 'CONVERT(nvarchar(max), {c})')"""
+
+
 def cast_sql(wide: bool) -> str:
-    table = {**casts.BASE_CASTS, **casts.WIDE_CASTS} if wide else casts.BASE_CASTS
+    """Types that are not listed are selected as they are."""
     column = "'[' || replace(column_name, ']', ']]') || ']'" if wide else "'[' || column_name || ']'"
-    whens = []
-    for kind, template in table.items():
-        quoted = "'" + template.replace("'", "''") + "'"
-        filled = (f"replace(replace(replace({quoted}, '{{p}}', CAST(coalesce(numeric_precision, 0) AS VARCHAR)),"
-                  f" '{{s}}', CAST(coalesce(numeric_scale, 0) AS VARCHAR)), '{{c}}', {column})")
-        whens.append(f"WHEN '{kind}' THEN {filled}")
-    alias = f"({safe_sql('column_name')})"
-    return f"CASE lower(data_type) {' '.join(whens)} ELSE {column} END || ' AS [' || {alias} || ']'"
+    template = (f"coalesce((SELECT template FROM (VALUES {WIDE_CAST_TEXT if wide else CAST_TEXT}) k(kind, template)"
+                " WHERE kind = lower(data_type)), '{c}')")
+    filled = (f"replace(replace(replace({template}, '{{p}}', CAST(coalesce(numeric_precision, 0) AS VARCHAR)),"
+              f" '{{s}}', CAST(coalesce(numeric_scale, 0) AS VARCHAR)), '{{c}}', {column})")
+    return f"{filled} || ' AS [' || ({safe_sql('column_name')}) || ']'"
 
 
 @query("column_expressions", ctes=META, sql=f"""
@@ -260,7 +275,7 @@ tables_of AS (
 
 def _sources(spark, sf_dir):
     return fx.column_metadata(spark, sf_dir).select(
-        F.concat(F.lit("src_"), F.substring("server_name", 5, 20)).alias("source"),
+        F.concat(F.lit("src_"), F.expr("substring(server_name, 5)")).alias("source"),
         F.col("server_name").alias("server"), F.col("db_name").alias("database")).distinct()
 
 
@@ -276,10 +291,10 @@ def metadata_sources(spark, sf_dir):
         F.count(F.lit(1)).alias("n_columns"), F.countDistinct("obj_name").alias("n_tables"))
 
 
-def _joined_registry(spark, sf_dir, use_load_modes=True):
-    described = _with_source(spark, sf_dir)
+def _settings(spark, sf_dir):
+    """Disabled tables, size classes, load modes, windows and excluded tables, from the metadata."""
     keys = list(registry.TABLE_KEYS)
-    facts = described.groupBy(*keys).agg(
+    facts = _with_source(spark, sf_dir).groupBy(*keys).agg(
         F.count_if(F.col("data_type") == "image").alias("images"), F.sum("max_len").alias("width"),
         F.min("numeric_scale").alias("low_scale"), F.max("column_name").alias("some_column"))
     modes = facts.where("images > 0").select(
@@ -288,10 +303,14 @@ def _joined_registry(spark, sf_dir, use_load_modes=True):
     windows = facts.where("width <= 520").select(
         *keys, F.col("some_column").alias("partition_column"), F.lit("month").alias("granularity"),
         F.lit(12).alias("lookback_months"))
-    return registry.registry_join(
-        metadata.base_queries(described, keys), facts.where("width < 400").select(*keys),
-        facts.where("width > 600").select(*keys, F.lit("L").alias("size_class")), modes, windows,
-        facts.select(*keys, F.when(F.col("low_scale") > 0, 1).otherwise(0).alias("excluded")), use_load_modes)
+    return (facts.where("width < 400").select(*keys),
+            facts.where("width > 600").select(*keys, F.lit("L").alias("size_class")), modes, windows,
+            facts.select(*keys, F.when(F.col("low_scale") > 0, 1).otherwise(0).alias("excluded")))
+
+
+def _joined_registry(spark, sf_dir, use_load_modes=True):
+    queries = metadata.base_queries(_with_source(spark, sf_dir), list(registry.TABLE_KEYS))
+    return registry.registry_join(queries, *_settings(spark, sf_dir), use_load_modes)
 
 
 def joined_registry_sql(use_load_modes: bool) -> str:
@@ -335,9 +354,14 @@ def registry_records(spark, sf_dir):
 
 
 @query("registry_documents", ctes=(fx.COLUMN_METADATA, SOURCES), sql=f"""
-SELECT source, count(*) AS n_tables FROM ({joined_registry_sql(True)}) GROUP BY source""")
+SELECT source, count(*) OVER (PARTITION BY source) AS n_tables, name, CAST(enabled AS VARCHAR) AS enabled, size_class,
+       load_mode, base_query
+FROM ({joined_registry_sql(True)})""")
 def registry_documents(spark, sf_dir):
-    """Documents built per source, then parsed again: every table must be in them."""
+    """Documents built per source, then parsed again: every table must be in them with its settings."""
     documents = registry.registry_documents(_joined_registry(spark, sf_dir))
-    parsed = F.from_json("value", "source STRING, tables ARRAY<STRUCT<name: STRING>>")
-    return documents.select(parsed.alias("d")).select("d.source", F.size("d.tables").cast("bigint").alias("n_tables"))
+    parsed = F.from_json("value", "source STRING, tables ARRAY<STRUCT<name: STRING, enabled: STRING, size_class: STRING,"
+                                  " load_mode: STRING, base_query: STRING>>")
+    documents = documents.select(parsed.alias("d")).select(
+        "d.source", F.size("d.tables").cast("bigint").alias("n_tables"), F.explode("d.tables").alias("t"))
+    return documents.select("source", "n_tables", "t.name", "t.enabled", "t.size_class", "t.load_mode", "t.base_query")

@@ -54,14 +54,56 @@ def registry_violations(spark, sf_dir):
 
 
 def _land_watermarks(spark, sf_dir) -> str:
-    """Runtime watermarks, one folder per table (there are as many as event types)."""
+    """Runtime watermarks, one folder per table."""
     path = scratch_path(spark, "runtime")
-    updates = fx.watermark_updates(spark, sf_dir)
+    updates = fx.watermark_updates(spark, sf_dir).select("table_name", "watermark")
+    updates.withColumn("table", F.col("table_name")).drop("table_name").write.partitionBy("table").parquet(path + "-parts")
     for row in updates.select("table_name").distinct().collect():
-        updates.where(F.col("table_name") == row.table_name).select("watermark").write.parquet(f"{path}/{row.table_name}")
+        (spark.read.parquet(f"{path}-parts/table={row.table_name}").write.parquet(f"{path}/{row.table_name}"))
     return path
 
 
+# Each table's marks in another type; purchases leave files without the column.
+MIXED_MARKS = """
+mixed AS (
+  SELECT 'click' AS table_name, CAST(max(epoch_us(ts)) AS VARCHAR) AS watermark FROM events WHERE event_type = 'click'
+  UNION ALL SELECT 'error', strftime(max(ts), '%Y-%m-%d') FROM events WHERE event_type = 'error'
+  UNION ALL SELECT 'signup', strftime(date_trunc('second', max(ts)), '%Y-%m-%d %H:%M:%S') FROM events WHERE event_type = 'signup'
+  UNION ALL SELECT 'view', lpad(CAST(max(event_id) AS VARCHAR), 12, '0') FROM events WHERE event_type = 'view')"""
+
+
+def _land_mixed_watermarks(spark, sf_dir) -> str:
+    path, events = scratch_path(spark, "runtime"), fx.table(spark, sf_dir, "events")
+    marks = {"click": F.unix_micros(F.col("ts").cast("timestamp")), "error": F.to_date("ts"), "signup": F.date_trunc("second", "ts"),
+             "view": F.lpad(F.col("event_id").cast("string"), 12, "0")}
+    for name, mark in marks.items():
+        events.where(F.col("event_type") == name).select(mark.alias("watermark")).write.parquet(f"{path}/{name}")
+    events.where("event_type = 'purchase'").select("event_id").write.parquet(f"{path}/purchase")
+    return path
+
+
+@query("mixed_watermarks", ctes=(MIXED_MARKS,), sql="SELECT * FROM mixed")
+def mixed_watermarks(spark, sf_dir):
+    """Folders whose marks differ in type, and one without marks."""
+    return watermarks.max_watermarks(configs.read_runtime_watermarks(spark, _land_mixed_watermarks(spark, sf_dir)))
+
+
+@query("mixed_watermark_job", ctes=(MIXED_MARKS,), sql="""
+SELECT 'shop' AS source, table_name, watermark FROM mixed
+UNION ALL SELECT 'shop', 'purchase', '0012'
+UNION ALL SELECT 'pages', CAST(page_id AS VARCHAR), '0' || page_id || ' "' || url || '"' FROM pages""")
+def mixed_watermark_job(spark, sf_dir):
+    """The same folders merged into a map whose other marks have leading zeros and quotes."""
+    stored, target = scratch_path(spark, "marks"), scratch_path(spark, "marks")
+    pages = fx.table(spark, sf_dir, "pages").select(
+        F.lit("pages").alias("source"), F.col("page_id").cast("string").alias("table_name"),
+        F.concat(F.lit("0"), "page_id", F.lit(' "'), "url", F.lit('"')).alias("watermark"))
+    mine = spark.createDataFrame([("shop", "purchase", "0012"), ("shop", "click", "1")], pages.schema)
+    configs.write_document(configs.watermark_document(pages.unionByName(mine)), stored)
+    merge_watermarks(spark, _land_mixed_watermarks(spark, sf_dir), stored, "shop", "run", target, monotonic=True)
+    return configs.read_watermark_map(spark, target)
+
+
 @query("runtime_watermarks", ctes=cq.MARKS, sql="SELECT * FROM newest")
 def runtime_watermarks(spark, sf_dir):
     """All table folders of a run in one scan."""

@@ -9,9 +9,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lakeload.operators import current, merge, storage
+from lakeload.operators import merge, storage
 from lakeload.plans.hash_rewrite import hash_parquet
-from lakeload.plans.silver import aligned
+from lakeload.plans.silver import merge_table
+from lakeload.plans.spec import TableSpec
 from lakeload.session import scratch_path
 from lakeload.sources import bronze, landed, tables, versioned
 from lakeload.streaming import ingest
@@ -39,22 +40,18 @@ def _event_runs(spark, sf_dir):
 
 
 @query("bronze_snapshot", sql="""
-SELECT o_orderstatus, o_orderpriority, '20010801T000000' AS _bronze_load_ts, count(*) AS n_rows, true AS has_file
-FROM orders GROUP BY ALL""")
+SELECT *, '20010801T000000' AS _bronze_load_ts, true AS has_file FROM orders""")
 def bronze_snapshot(spark, sf_dir):
     """Replace a table twice; only the last contents are left."""
     target = f"{_database(spark)}.orders"
     orders = fx.table(spark, sf_dir, "orders")
     bronze.write_snapshot(spark, target, landed.add_load_metadata(orders, fx.PREVIOUS_RUN), fx.PREVIOUS_RUN)
     bronze.write_snapshot(spark, target, landed.add_load_metadata(orders, fx.THIS_RUN), fx.THIS_RUN)
-    return spark.table(target).groupBy("o_orderstatus", "o_orderpriority", "_bronze_load_ts").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.every(F.contains("_bronze_filename", F.lit("orders"))).alias("has_file"))
+    return spark.table(target).withColumn("has_file", F.contains("_bronze_filename", F.lit("orders"))).drop("_bronze_filename")
 
 
 @query("bronze_append_history", sql=f"""
-SELECT {RUN_SQL} AS _bronze_load_ts, event_type, count(*) AS n_rows, count(DISTINCT user_id) AS n_users
-FROM events GROUP BY ALL""")
+SELECT *, {RUN_SQL} AS _bronze_load_ts FROM events""")
 def bronze_append_history(spark, sf_dir):
     """Three runs appended, one of them twice; the repeated run must not double."""
     target = f"{_database(spark)}.events"
@@ -62,8 +59,7 @@ def bronze_append_history(spark, sf_dir):
         bronze.append_run(spark, target, rows, run)
         if run == EVENT_RUNS[1]:
             bronze.append_run(spark, target, rows, run)
-    return spark.table(target).groupBy("_bronze_load_ts", "event_type").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
+    return spark.table(target)
 
 
 @query("window_load_partitions", sql="""
@@ -105,23 +101,15 @@ SELECT user_id, event_id, event_type, first_run AS _silver_inserted_ts, run AS _
 FROM (SELECT n.* EXCLUDE (first_run), (SELECT min(run) FROM runs r WHERE r.user_id = n.user_id) AS first_run,
              false AS is_deleted FROM newest n)""")
 def stored_merge(spark, sf_dir):
-    """Three runs through history, current state and bucketed silver versions."""
+    """Three runs through history, current state and bucketed silver versions, by the merge job."""
     database = _database(spark)
+    spec = TableSpec("events", "incremental", f"{database}.events", f"{database}.silver", ("user_id",), "event_id")
     for run, rows in _event_runs(spark, sf_dir):
-        bronze.append_run(spark, f"{database}.events", rows, run)
-        base = versioned.version_before(spark, f"{database}.silver", run)
-        size = tables.table_bytes(spark, f"{database}.events") + (tables.table_bytes(spark, base.table) if base else 0)
-        buckets = versioned.bucket_count(spark, base, size)
-        history = current.loads_until(spark.table(f"{database}.events"), run)
-        source = merge.hashed_source(
-            history, ["user_id"], [F.col("_bronze_load_ts").desc(), F.col("event_id").desc()], unique_order=True)
-        state = merge.merge_silver(
-            versioned.read_version(spark, base) if base else None, aligned(source, ["user_id"], buckets),
-            ["user_id"], run)
-        versioned.write_version(
-            spark, f"{database}.silver", state, run, ["user_id"], buckets, laid_out=True,
-            metrics=merge.merge_metrics(), drop_columns=[merge.CHANGE, merge.IN_SOURCE])
-    return spark.table(f"{database}.silver").select(
+        bronze.append_run(spark, spec.bronze_table, rows, run)
+        result = merge_table(spark, spec, "shop", "id", run)
+        if result["status"] != "SUCCESS":
+            raise RuntimeError(result["error_message"])
+    return spark.table(spec.silver_table).select(
         "user_id", "event_id", "event_type", "_silver_inserted_ts", "_silver_updated_ts", "is_deleted")
 
 
@@ -142,15 +130,13 @@ def state_versions(spark, sf_dir):
 
 
 @query("compacted_table", sql="""
-SELECT l_returnflag, l_linestatus, count(*) AS n_rows, CAST(sum(l_partkey) AS BIGINT) AS part_sum
-FROM lineitem GROUP BY ALL""")
+SELECT * FROM lineitem""")
 def compacted_table(spark, sf_dir):
     """A table rewritten in ranges of its clustering columns."""
     target = f"{_database(spark)}.lineitem"
     versioned.write_version(spark, target, fx.table(spark, sf_dir, "lineitem"), fx.THIS_RUN)
     versioned.compact(spark, target, ["l_shipdate", "l_partkey"])
-    return spark.table(target).groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("l_partkey").alias("part_sum"))
+    return spark.table(target)
 
 
 @query("exported_table", sql="SELECT * FROM customer")
@@ -169,8 +155,7 @@ def _land_events(spark, sf_dir, kind="events"):
 
 
 @query("stream_ingest", sql=f"""
-SELECT {RUN_SQL} AS _bronze_load_ts, event_type, count(*) AS n_rows, count(DISTINCT event_id) AS n_events
-FROM events GROUP BY ALL""")
+SELECT *, {RUN_SQL} AS _bronze_load_ts FROM events""")
 def stream_ingest(spark, sf_dir):
     """Landed runs picked up by a stream; a second start finds nothing new."""
     root, target = _land_events(spark, sf_dir), f"{_database(spark)}.events"
@@ -179,21 +164,41 @@ def stream_ingest(spark, sf_dir):
     for _ in range(2):
         stream = ingest.landed_stream(spark, root, "shop", "events", schema)
         ingest.ingest(spark, stream, target, checkpoint).awaitTermination()
-    return spark.table(target).groupBy("_bronze_load_ts", "event_type").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_id").alias("n_events"))
+    return spark.table(target).drop(ingest.BATCH_COLUMN, "_bronze_filename")
+
+
+TEXT_BYTES = """
+text_bytes AS (
+  SELECT 'source=' || source AS source, 'lang=' || lang AS lang, strlen(replace(text, chr(10), ' ')) + 1 AS bytes
+  FROM documents)"""
+
+
+def _land_text(spark, sf_dir):
+    """Documents as plain text lines, one file per source and language."""
+    root = scratch_path(spark, "text")
+    docs = fx.table(spark, sf_dir, "documents").select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("value"), "source", "lang")
+    docs.repartition("source", "lang").write.partitionBy("source", "lang").text(root)
+    return root
 
 
-@query("storage_by_level")
+@query("storage_by_level", ctes=(TEXT_BYTES,), sql="""
+SELECT source AS folder, CAST(sum(bytes) AS BIGINT) AS size_bytes, count(DISTINCT lang) AS n_files
+FROM text_bytes WHERE lang <> 'lang=en' GROUP BY source
+UNION ALL SELECT source || '/' || lang, CAST(sum(bytes) AS BIGINT), CAST(1 AS BIGINT) FROM text_bytes WHERE lang = 'lang=en' GROUP BY ALL""")
 def storage_by_level(spark, sf_dir):
-    """Bytes and files per day folder of landed files."""
-    files = storage.file_sizes(spark, _land_events(spark, sf_dir))
-    return storage.size_by_level(storage.filter_levels(files, {2: "2024"}), 4)
+    """Bytes and files per source folder without English, and per language folder of English."""
+    files = storage.file_sizes(spark, _land_text(spark, sf_dir))
+    english = storage.size_by_level(storage.filter_levels(files, {2: "lang=en"}), 2)
+    return storage.size_by_level(files.where(F.get("levels", F.lit(1)) != "lang=en"), 1).unionByName(english)
 
 
-@query("largest_folders")
+@query("largest_folders", ctes=(TEXT_BYTES,), sql="""
+SELECT source || '/' || lang AS folder, CAST(1 AS BIGINT) AS n_files, round(sum(bytes) / 1048576, 2) AS size_mb,
+       round(sum(bytes) / 1073741824, 2) AS size_gb
+FROM text_bytes GROUP BY source, lang ORDER BY sum(bytes) DESC, folder LIMIT 20""")
 def largest_folders(spark, sf_dir):
-    files = storage.file_sizes(spark, _land_events(spark, sf_dir))
-    return storage.largest_folders(storage.size_by_level(files, 6))
+    files = storage.file_sizes(spark, _land_text(spark, sf_dir))
+    return storage.largest_folders(storage.size_by_level(files, 2))
 
 
 @query("null_key_rows", sql="""

@@ -30,15 +30,16 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def with_results(row: str, columns: list[str], results: dict[str, Column]) -> list[Column]:
+def with_results(df: DataFrame, row: str, columns: list[str], results: dict[str, Column]) -> DataFrame:
     """Columns of the struct ``row`` followed by ``results``; a result replaces a column of its name."""
-    return [F.col(row)[c].alias(c) for c in columns if c not in results] + \
-           [value.alias(name) for name, value in results.items()]
+    found = df.select(F.col(row).alias("row"), F.struct(*[v.alias(n) for n, v in results.items()]).alias("found"))
+    return found.select(*[F.col("row")[c].alias(c) for c in columns if c not in results],
+                        *[F.col("found")[n].alias(n) for n in results])
 
 
 def pack(columns: list[str]) -> Column:
     """The given columns as one struct, so that their names cannot clash with an operator's own."""
-    return F.struct(*[F.col(f"`{c}`").alias(c) for c in columns], F.lit(0).alias("_"))
+    return F.struct(*([F.col(f"`{c}`").alias(c) for c in columns] or [F.lit(0).alias("none")]))
 
 
 def fresh(df: DataFrame, name: str) -> str:

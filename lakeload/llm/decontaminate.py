@@ -207,14 +207,15 @@ class ItemIndex:
                     question, answer = (overlap(p, passage) for p in self.parts[item])
                     if min(question, answer) >= self.min_overlap:
                         best[item] = max(best.get(item, (0.0,)), (score, question, answer))
-        return sorted((self.ids[item], *found) for item, found in best.items())
+        return [(self.ids[item], *best[item]) for item in sorted(best)]
 
 
 def _item_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         terms = [(i, len(words), w) for i, text in zip(batch["shard"], batch["text"], strict=True)
                  for words in [words_of(text)] for w in set(words)]
-        yield pd.DataFrame(terms, columns=["shard", "n", "term"])
+        if terms:
+            yield pd.DataFrame(terms, columns=["shard", "n", "term"])
 
 
 def item_indexes(items: DataFrame, threshold: float, min_overlap: float, shard_items: int, item_id: str,

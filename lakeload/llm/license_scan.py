@@ -110,7 +110,8 @@ def template_word_counts(docs: DataFrame, templates=TEMPLATES, text: str = "text
             for body in batch["text"]:
                 if body:
                     seen.update(vocabulary.intersection(words_of(body)))
-        yield pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())}, columns=["word", "n"])
+        if seen:
+            yield pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())}, columns=["word", "n"])
 
     counted = docs.select(F.col(f"`{text}`").cast("binary").alias("text")).mapInPandas(count, "word string, n long")
     return {r["word"]: r["n"] for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
@@ -147,8 +148,7 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=
 
     @F.pandas_udf("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
     def scanned(bodies: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame([scan(b) for b in bodies], columns=names)
-        return out.astype({"first_word": "Int64", "last_word": "Int64"})
+        return pd.DataFrame([scan(b) for b in bodies], columns=names, dtype=object)
 
     out = docs.withColumn("score", scanned(F.col(f"`{text}`").cast("binary")))
     return out.withColumns({name: F.col("score")[name] for name in names})

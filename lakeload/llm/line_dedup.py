@@ -52,8 +52,8 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     joined = base.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("body") == F.col("gone_body")), "left")
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     lines = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(kept, lambda i: F.col("lines")[i]))
-    columns = with_results("row", others, {
+    joined = joined.withColumn("gone", F.when(F.size("gone") > 0, F.col("gone")))
+    return with_results(joined, "row", others, {
         n_lines: F.size("lines").cast("long"),
         n_dropped: F.coalesce(F.size("gone"), F.lit(0)).cast("long"),
         text: F.array_join(lines, "\n")})
-    return joined.withColumn("gone", F.when(F.size("gone") > 0, F.col("gone"))).select(*columns)

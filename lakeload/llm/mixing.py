@@ -106,6 +106,6 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
               .join(totals.join(targets, "src"), ["src", "range"]))
     start = F.col("before") + F.col("upto") - F.col("size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - start))
-    return placed.select(*with_results("row", keep, {
+    return with_results(placed, "row", keep, {
         "size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"),
-        "epochs": F.col("epochs"), "taken": (F.col("size") * F.col("epochs") + part).cast("long")}))
+        "epochs": F.col("epochs"), "taken": (F.col("size") * F.col("epochs") + part).cast("long")})

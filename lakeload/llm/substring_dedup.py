@@ -174,9 +174,10 @@ def _remove(length: int):
                     at = high
                 kept += words[at:]
                 rows.append((len(words) - len(kept), _digest(kept), [{"first": a, "end": b} for a, b in spans]))
-            out = batch[["id", "crc"]].copy()
-            out["n_removed"], out["kept"], out["spans"] = (list(x) for x in zip(*rows, strict=True)) if rows else ([],) * 3
-            yield out
+            if rows:
+                out = batch[["id", "crc"]].copy()
+                out["n_removed"], out["kept"], out["spans"] = (list(x) for x in zip(*rows, strict=True))
+                yield out
 
     return run
 

@@ -30,6 +30,7 @@ PREFIXES = (4, 5, 6, 7, 8)
 MAX_TERMS = 20_000
 MAX_VOTERS = 300
 PATTERNS = 4
+SEED_WEIGHT = 2.0
 _WORDS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -88,30 +89,40 @@ def label_model(votes: np.ndarray, labels: np.ndarray, seeds: np.ndarray, rounds
     told = np.where(known, np.where(labels == 1, 1.0, -1.0) * np.log(0.98 / 0.02), 0.0)
     q = np.where(known, np.where(labels == 1, 0.98, 0.02), np.where(seeds, 0.9, 0.05))
     weight = np.ones(votes.shape[1])
-    for _ in range(rounds):
-        rate1 = (q @ votes + 0.5) / (q.sum() + 1)
-        rate0 = ((1 - q) @ votes + 0.5) / ((1 - q).sum() + 1)
+    # Where labels of both classes are at hand, rows without one count for a quarter of them together:
+    # else a pair of voters that copy each other would become the class.
+    anchored = (labels == 1).sum() >= 5 and (labels == 0).sum() >= 5
+    share = min(1.0, 0.25 * known.sum() / max(1, (~known).sum())) if anchored else 1.0
+    count = np.where(known, 1.0, share)
+    for turn in range(rounds):
+        use = count * known if anchored and turn == 0 else count
+        rate1 = ((use * q) @ votes + 0.5) / ((use * q).sum() + 1)
+        rate0 = ((use * (1 - q)) @ votes + 0.5) / ((use * (1 - q)).sum() + 1)
         rest = votes - (q[:, None] * rate1 + (1 - q)[:, None] * rate0)
         spread = np.sqrt((rest ** 2).mean(axis=0)) + 1e-9
         related = np.abs((rest.T @ rest) / max(1, len(votes)) / spread[:, None] / spread[None, :])
         weight = 1 / np.maximum(1.0, np.where(related > 0.2, related, 0).sum(axis=1))
-        prior = np.clip(q.mean() if len(q) else 0.1, 1e-3, 0.5)
+        prior = np.clip((count * q).sum() / max(1e-9, count.sum()), 1e-3, 0.5)
         gain1 = weight * np.log(rate1 / rate0)
         gain0 = weight * np.log((1 - rate1) / (1 - rate0))
         q = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + votes @ gain1 + (1 - votes) @ gain0 + told, -50, 50)))
     return q, rate1, rate0, weight
 
 
-def logistic(features: np.ndarray, target: np.ndarray, ridge: float = 0.5, rounds: int = 30) -> np.ndarray:
-    """Weights and bias (last) of a ridge logistic regression on soft labels, by Newton steps."""
+def logistic(features: np.ndarray, target: np.ndarray, expected: np.ndarray, ridge: float = 0.5,
+             rounds: int = 30) -> np.ndarray:
+    """Weights and bias (last) of a logistic regression on soft labels, by Newton steps.
+
+    The ridge pulls weights towards ``expected``, which is what a voter that never fired keeps.
+    """
     x = np.hstack([features, np.ones((len(features), 1))])
-    w = np.zeros(x.shape[1])
-    w[-1] = -2.0
+    goal = np.append(expected, -2.0)
+    w = goal.copy()
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        slope = x.T @ (p - target) + penalty * w + np.where(np.arange(len(w)) == len(w) - 1, penalty * 2.0, 0)
+        slope = x.T @ (p - target) + penalty * (w - goal)
         curve = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(curve, slope)
         w -= step
@@ -127,7 +138,8 @@ def _count_terms(wanted: frozenset | None):
             for text in batch["text"]:
                 terms = terms_of(text)
                 seen.update(terms if wanted is None else terms & wanted)
-        yield pd.DataFrame({"term": list(seen), "n": list(seen.values())}, columns=["term", "n"])
+        if seen:
+            yield pd.DataFrame({"term": list(seen), "n": list(seen.values())}, columns=["term", "n"])
 
     return run
 
@@ -212,7 +224,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, m
     if not len(rows):
         every, marks, seen = np.zeros((1, len(terms) + PATTERNS)), np.array([-1]), np.array([False])
     posterior, rate1, rate0, weight = label_model(every, marks, seen)
-    w = logistic(every, posterior)
+    w = logistic(every, posterior, np.where(np.arange(every.shape[1]) < len(seeds), SEED_WEIGHT, 0.0))
     return ToxicityModel(
         {t: float(x) for t, x in zip(terms, w, strict=False)}, tuple(float(x) for x in w[len(terms):-1]), float(w[-1]),
         tuple((t.decode(errors="replace"), float(a), float(b), float(c))

@@ -38,9 +38,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates; repeated rows of it stay together."""
+    name = fresh(docs, "gone")
     gone = (jaccard_components(docs.select("doc_id", "text"))
-            .where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+            .where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

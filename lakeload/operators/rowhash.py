@@ -46,10 +46,10 @@ def add_row_hash(df: DataFrame, hash_column: str = "row_hash", include_cols: Seq
 def add_row_hash_partitioned(df: DataFrame, business_keys: Sequence[str], **options) -> DataFrame:
     """Row hash on data laid out by business key.
 
-    The shuffle is only worth its cost when the next join or window uses the same keys; it is
-    then reused instead of repeated.
+    Rows of a key come together as far as partitions of a sensible size allow: one key with a
+    third of the rows is spread over several.
     """
-    return add_row_hash(df.repartition(*[F.col(k) for k in business_keys]), **options)
+    return add_row_hash(df.hint("rebalance", *[F.col(k) for k in business_keys]), **options)
 
 
 def add_business_hash(df: DataFrame, hash_column: str = "row_hash", **options) -> DataFrame:

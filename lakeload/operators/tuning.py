@@ -116,38 +116,38 @@ def recommend_workers(summaries: DataFrame, default_workers: int = 10, min_worke
     is approached in steps of two from the last run. A source without usable runs keeps its
     last count.
     """
-    lookback = max(1, min(lookback_runs, MAX_LOOKBACK))
-    recent = last_runs(summaries, lookback, tie_breakers, rank_column="_age")
-    last = recent.groupBy("source").agg(
-        F.coalesce(F.max(F.when(F.col("_age") == 1, F.col("workers"))), F.lit(default_workers)).alias("last_workers"))
-    usable = recent.where(
-        F.col("workers").isNotNull() & (F.col("duration_seconds") > 0) & (F.col("total_rows") > 0)
-        & (F.coalesce("efficiency_pct", F.lit(MIN_EFFICIENCY)) >= MIN_EFFICIENCY))
-    rate = F.col("total_rows") / F.col("duration_seconds")
+    if not 1 <= lookback_runs <= MAX_LOOKBACK:
+        raise ValueError(f"lookback_runs must be 1 to {MAX_LOOKBACK}, not {lookback_runs}")
+    recent = last_runs(summaries, lookback_runs, tie_breakers, rank_column="_age")
+    usable = (F.col("workers").isNotNull() & (F.col("duration_seconds") > 0) & (F.col("total_rows") > 0)
+              & (F.coalesce("efficiency_pct", F.lit(MIN_EFFICIENCY)) >= MIN_EFFICIENCY))
+    rate = F.try_divide("total_rows", "duration_seconds")
     metric = F.coalesce("efficiency_pct", F.lit(0.0)) if optimize_for == "efficiency" else rate
     # At most five runs per source are left, so the exact median and the list are tiny.
-    per_count = usable.groupBy("source", "workers").agg(
-        F.avg(metric).alias("metric"), F.collect_list("total_rows").alias("rows"))
+    per_count = recent.groupBy("source", "workers").agg(
+        F.avg(F.when(usable, metric)).alias("metric"), F.collect_list(F.when(usable, F.col("total_rows"))).alias("rows"),
+        F.max(F.when(F.col("_age") == 1, F.col("workers"))).alias("last"))
     per_source = per_count.groupBy("source").agg(
         F.max("metric").alias("best"),
-        F.collect_list(F.struct("workers", "metric")).alias("counts"),
-        F.array_sort(F.flatten(F.collect_list("rows"))).alias("rows"))
+        F.collect_list(F.when(F.col("metric").isNotNull(), F.struct("workers", "metric"))).alias("counts"),
+        F.array_sort(F.flatten(F.collect_list("rows"))).alias("rows"),
+        F.coalesce(F.max("last"), F.lit(default_workers)).alias("last_workers"))
     good = F.filter("counts", lambda c: c["metric"] >= CLOSE_TO_BEST * F.col("best"))
     smallest = F.array_min(F.transform(good, lambda c: c["workers"]))
     middle = (F.size("rows") / 2).cast("int")
     median = F.when(F.size("rows") % 2 == 1, F.get("rows", middle)).otherwise(
         ((F.get("rows", middle - 1) + F.get("rows", middle)) / 2).cast("bigint"))
+    wanted = F.greatest(F.lit(min_workers), F.least(
+        F.lit(max_workers), smallest, _per_threshold(F.col("median_rows"), caps, max_workers)))
     target = per_source.withColumn("median_rows", median).select(
-        "source", "median_rows", F.round("best", 0).alias("best_metric"),
-        F.greatest(F.lit(min_workers), F.least(
-            F.lit(max_workers), smallest,
-            _per_threshold(F.col("median_rows"), caps, max_workers))).cast("bigint").alias("target_workers"))
+        "source", "median_rows", "last_workers", F.round("best", 0).alias("best_metric"),
+        F.when(F.size("counts") > 0, wanted).cast("bigint").alias("target_workers"))
     goal, now = F.col("target_workers"), F.col("last_workers")
     step = (F.when(goal.isNull(), now)
             .when(goal > now, F.least(now + MAX_STEP, goal, F.lit(max_workers)))
             .when(goal < now, F.greatest(now - MAX_STEP, goal, F.lit(min_workers)))
             .otherwise(now))
-    return last.join(target, ["source"], "left").select(
+    return target.select(
         "source", "median_rows", "best_metric", now.cast("bigint").alias("last_workers"), "target_workers",
         step.cast("bigint").alias("recommended_workers"))
 

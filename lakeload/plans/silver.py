@@ -16,15 +16,18 @@ from lakeload.plans.bronze import MESSAGE_LIMIT, utc_now
 from lakeload.plans.spec import TableSpec
 from lakeload.schemas import LOG_SCHEMAS, SILVER_LOG
 from lakeload.sources import bronze, versioned
-from lakeload.sources.tables import is_view, quoted, table_bytes, table_exists
+from lakeload.sources.tables import described, is_view, quoted, table_bytes, table_exists
 
 # Fixed value: message that readers of the log look for.
 NO_KEYS = "Business keys not defined in table config"
 REJECTED_SUFFIX = "__rejected"
+# Properties of a silver version: when bronze was read (seconds), and when that table was created.
+READ_AT, STARTED = "lakeload.read_at", "lakeload.bronze_started"
+CLOCK_SLACK = 1
 
 
 def merge_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str, run_ts: str,
-                delete_modes: Sequence[str] = ("incremental",), only_new_loads: bool = False) -> dict:
+                delete_modes: Sequence[str] = ("incremental",), only_new_loads: bool | None = None) -> dict:
     """Merge the current bronze state into silver; the outcome is the returned log record.
 
     Soft deletes are applied for the load modes in ``delete_modes`` and for tables that ask for
@@ -34,10 +37,11 @@ def merge_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str,
     those again, in order, each from bronze as it was at its run; readers see the newest run
     throughout.
 
-    ``only_new_loads`` reads, of a load history, just the runs after the version merged into.
-    The result is the same as long as no run was loaded late or rewritten, and the cost is that
-    of the new runs instead of the whole history; rows missing from the new runs are not
-    deletes then.
+    Of a load history a merge reads just the runs after the version it builds on, so its cost is
+    that of the new runs. It reads the whole history when an older run was loaded or rewritten
+    since, or the history was started over: only then can a newer row be already there, or rows
+    have gone. ``only_new_loads`` decides otherwise: False always reads everything, True never
+    does.
     """
     started = utc_now()
     record = dict.fromkeys(LOG_SCHEMAS[SILVER_LOG].fieldNames())
@@ -73,13 +77,15 @@ def bronze_as_of(spark: SparkSession, table: str, run_ts: str) -> DataFrame:
 
 
 def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequence[str],
-           only_new_loads: bool) -> tuple[dict, str | None]:
+           only_new_loads: bool | None) -> tuple[dict, str | None]:
     keys = list(spec.business_keys)
     history = spec.load_mode == "incremental"
     base = versioned.version_before(spark, spec.silver_table, run_ts)
     rows = bronze_as_of(spark, spec.bronze_table, run_ts)
     order = []
-    partial = history and only_new_loads and base is not None
+    read_at = int(utc_now().timestamp())
+    partial = history and base is not None and (
+        _grown_only(spark, spec, rows, base) if only_new_loads is None else only_new_loads)
     if history:
         rows = loads_until(rows, run_ts, after=base.run_ts if partial else None)
         order.append(F.col(LOAD_COLUMN).desc())
@@ -92,11 +98,27 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
     merged = merge.merge_silver(previous, aligned(current, keys, buckets), keys, run_ts, deletes)
     metrics = versioned.write_version(
         spark, spec.silver_table, merged, run_ts, bucket_by=keys, buckets=buckets, laid_out=True,
-        metrics=merge.merge_metrics(), drop_columns=[merge.CHANGE, merge.IN_SOURCE])
+        metrics=merge.merge_metrics(), drop_columns=[merge.CHANGE, merge.IN_SOURCE],
+        properties={READ_AT: str(read_at), STARTED: described(spark, spec.bronze_table, "Created Time") or ""})
     metrics.pop("rows")
     return metrics, _set_aside(spark, spec, rows, keys, run_ts, base.run_ts if base and history else None)
 
 
+def _grown_only(spark: SparkSession, spec: TableSpec, rows: DataFrame, base: versioned.Version) -> bool:
+    """Whether all that happened to a history since a silver version are later runs.
+
+    Files know when they were written; the filter on that time is applied to the file listing, so
+    files of older runs are not opened.
+    """
+    known = versioned.version_properties(spark, base)
+    if READ_AT not in known or known.get(STARTED) != (described(spark, spec.bronze_table, "Created Time") or ""):
+        return False
+    # Store and driver clocks may differ a little, and a run may have been written while the merge read.
+    since = F.timestamp_seconds(F.lit(int(known[READ_AT]) - CLOCK_SLACK))
+    late = rows.where((F.col(LOAD_COLUMN) <= base.run_ts) & (F.col("_metadata.file_modification_time") > since))
+    return late.limit(1).isEmpty()
+
+
 def _expected_bytes(spark: SparkSession, spec: TableSpec, run_ts: str, base: versioned.Version | None) -> int:
     """Upper bound for the size of the next state: the last one plus what came in."""
     table = versioned.published(spark, spec.bronze_table) or spec.bronze_table

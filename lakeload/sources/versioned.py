@@ -19,7 +19,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -85,6 +85,10 @@ def version_as_of(spark: SparkSession, name: str, run_ts: str | None = None) ->
     return known[-1] if known else None
 
 
+def version_properties(spark: SparkSession, version: Version) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(version.table)}").collect()}
+
+
 def version_rows(spark: SparkSession, version: Version) -> int | None:
     """Row count of a version, as counted when it was written."""
     row = (spark.sql(f"SHOW TBLPROPERTIES {quoted(version.table)}")
@@ -133,7 +137,7 @@ def write_version(spark: SparkSession, name: str, df: DataFrame, run_ts: str,
                   bucket_by: Sequence[str] = (), buckets: int | None = None,
                   partition_by: Sequence[str] = (), metrics: Sequence[Column] = (),
                   drop_columns: Sequence[str] = (), max_rows_per_file: int | None = None,
-                  laid_out: bool = False) -> dict[str, int]:
+                  laid_out: bool = False, properties: Mapping[str, str] | None = None) -> dict[str, int]:
     """Write one version; returns its row count ``rows`` and the given metrics. It is published
     unless a later run has a version already.
 
@@ -162,7 +166,9 @@ def write_version(spark: SparkSession, name: str, df: DataFrame, run_ts: str,
         writer = writer.bucketBy(buckets, *bucket_by)
     writer.saveAsTable(quoted(target))
     observed = observation.get
-    spark.sql(f"ALTER TABLE {quoted(target)} SET TBLPROPERTIES ('{ROWS_PROPERTY}' = '{observed['rows']}')")
+    known = {ROWS_PROPERTY: str(observed["rows"]), **(properties or {})}
+    entries = ", ".join(f"'{k}' = '{v}'" for k, v in known.items())
+    spark.sql(f"ALTER TABLE {quoted(target)} SET TBLPROPERTIES ({entries})")
     known = versions(spark, name)
     if not any(v.run_ts > run_ts.upper() for v in known) or published(spark, name) is None:
         publish(spark, name, target)

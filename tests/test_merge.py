@@ -1,5 +1,6 @@
 """The merge truth table against a plain-Python model, on generated states."""
 
+import time
 import uuid
 
 from hypothesis import HealthCheck, given, settings
@@ -154,3 +155,41 @@ def test_one_key_with_a_third_of_the_rows(spark):
     for k, day, v in rows:
         want[k] = max(want.get(k, (0, 0)), (day, v))
     assert got == {k: v for k, (_, v) in want.items()}
+
+
+def test_history_merge_reads_new_runs_only(spark, sf_dir, monkeypatch):
+    """A merge opens the runs after its base, unless an older run came in since or the history was restarted."""
+    from lakeload.plans import silver
+    from workloads import fixtures as fx
+
+    monkeypatch.setattr(silver, "CLOCK_SLACK", -1)
+    name = f"m_{uuid.uuid4().hex[:8]}"
+    spec = TableSpec("t", "incremental", f"{name}.h", f"{name}.s", ("user_id",), "event_id")
+    events = fx.table(spark, sf_dir, "events")
+    runs = ["20240101T000000", "20240102T000000", "20240103T000000", "20240104T000000"]
+    parts = [events.where(F.col("event_id") % 4 == i) for i in range(4)]
+    seen = []
+    original = silver._grown_only
+    monkeypatch.setattr(silver, "_grown_only", lambda *a: seen.append(original(*a)) or seen[-1])
+
+    def merged(run):
+        result = merge_table(spark, spec, "s", "id", run)
+        assert result["status"] == "SUCCESS", result["error_message"]
+        time.sleep(2.1)
+        return result
+
+    for i in (0, 2):
+        bronze.append_run(spark, spec.bronze_table, parts[i], runs[i])
+        result = merged(runs[i])
+    assert seen == [True] and result["bronze_rows"] == parts[2].select("user_id").distinct().count()
+    bronze.append_run(spark, spec.bronze_table, parts[1], runs[1])
+    bronze.append_run(spark, spec.bronze_table, parts[3], runs[3])
+    result = merged(runs[3])
+    assert seen[-1] is False and result["bronze_rows"] == events.select("user_id").distinct().count()
+    state = spark.table(spec.silver_table).select("user_id", "event_id")
+    newest = current.latest_rows(spark.table(spec.bronze_table), ["user_id"], [F.col("_bronze_load_ts").desc(), F.col("event_id").desc()])
+    assert state.exceptAll(newest.select("user_id", "event_id")).isEmpty() and state.count() == newest.count()
+    bronze.drop_target(spark, spec.bronze_table)
+    bronze.append_run(spark, spec.bronze_table, parts[0], "20240105T000000")
+    gone = merged("20240105T000000")
+    assert seen[-1] is False and gone["rows_deleted"] == state.join(parts[0], "user_id", "left_anti").count()

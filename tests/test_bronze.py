@@ -222,3 +222,52 @@ def test_local_session_without_shared_folder():
     Fake.sparkContext.master = "yarn"
     with pytest.raises(RuntimeError):
         session.checkpoint_root(Fake)
+
+
+def test_form_changes_are_refused_before_anything_is_written(spark, sf_dir):
+    import os
+
+    orders = fx.typed_orders(spark, sf_dir)
+    history, snapshot = fresh("history"), fresh("snapshot")
+    bronze.append_run(spark, history, orders, "20240101T000000")
+    for keep in (True, False):
+        with pytest.raises(bronze.FormConflict):
+            bronze.write_snapshot(spark, history, orders, "20240102T000000", keep_versions=keep)
+    assert spark.table(history).count() == orders.count() and not versioned.versions(spark, history)
+    bronze.write_snapshot(spark, snapshot, orders, "20240101T000000")
+    plain = fresh("plain")
+    bronze.write_snapshot(spark, plain, orders, "20240101T000000", keep_versions=False)
+    for target in (snapshot, plain):
+        with pytest.raises(bronze.FormConflict):
+            bronze.append_run(spark, target, orders, "20240102T000000")
+        assert spark.table(target).count() == orders.count()
+    assert not os.path.exists("None")
+
+
+def test_retention_and_compaction_keep_layout(spark, sf_dir):
+    orders = fx.typed_orders(spark, sf_dir)
+    target = fresh("orders")
+    for day in (1, 2, 3):
+        bronze.write_snapshot(spark, target, orders, f"2024010{day}T000000")
+    assert len(versioned.versions(spark, target)) == 3
+    bronze.write_snapshot(spark, target, orders, "20240104T000000", retention_hours=24)
+    assert [v.run_ts for v in versioned.versions(spark, target)] == ["20240104T000000"]
+    monthly = fresh("monthly")
+    bronze.write_window(spark, monthly, orders, "20240101T000000", "o_orderdate", by_month=True)
+    versioned.compact(spark, monthly)
+    assert tables.partition_columns(spark, versioned.published(spark, monthly)) == ["p_year", "p_month"]
+    state = fresh("state")
+    versioned.write_version(spark, state, orders, "20240101T000000", ["o_orderkey"], 3)
+    versioned.compact(spark, state)
+    version = versioned.version_as_of(spark, state)
+    assert versioned.stored_buckets(spark, version) == 3 and spark.table(state).count() == orders.count()
+
+
+def test_batch_load_into_a_streamed_history(spark, sf_dir):
+    from lakeload.streaming import ingest
+
+    target, orders = fresh("orders"), fx.typed_orders(spark, sf_dir)
+    ingest.ensure_history(spark, target, orders.withColumn("_bronze_load_ts", F.lit("x")))
+    for _ in range(2):
+        bronze.append_run(spark, target, orders, "20240101T000000")
+    assert spark.table(target).count() == orders.count()

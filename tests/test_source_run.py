@@ -203,3 +203,31 @@ def test_rebuild_of_a_plain_table(spark, sf_dir, tmp_path):
     # A failed load leaves the published version alone.
     assert load_table(spark, spec, "crm", "id", RUNS[0], root)["status"] == "FAILED"
     assert spark.table(f"{name}.orders").count() == orders.count()
+
+
+def test_two_sources_at_once(spark, sf_dir, tmp_path):
+    """Runs that write the same log tables at the same time lose no row of each other."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    nation, run = fx.table(spark, sf_dir, "nation"), RUNS[0]
+    sources = [f"s{i}{uuid.uuid4().hex[:6]}" for i in range(2)]
+    for source in sources:
+        for name in ("a", "b"):
+            nation.write.parquet(landed.landed_path(str(tmp_path), source, run, f"{source}{name}"))
+    registries = [spark.createDataFrame(
+        [(s, f"{s}{n}", "snapshot", True, s, ["n_nationkey"]) for n in ("a", "b")],
+        "source string, name string, load_mode string, enabled boolean, delta_schema string, business_keys array<string>")
+        for s in sources]
+    paths = []
+    for source, tables in zip(sources, registries):
+        path = str(tmp_path / f"{source}.json")
+        document = {"source": source, "tables": [r.asDict() for r in tables.drop("source").collect()]}
+        (tmp_path / f"{source}.json").write_text(json.dumps(document))
+        paths.append(path)
+    with ThreadPoolExecutor(2) as pool:
+        results = list(pool.map(lambda sp: run_source(
+            spark, configs.read_registry(spark, sp[1]), sp[0], run, str(tmp_path), workers=2), zip(sources, paths)))
+    assert [r["status"] for r in results] == ["SUCCESS"] * 2
+    for source in sources:
+        for table, n in ((BRONZE_LOG, 2), (SILVER_LOG, 2), (BRONZE_SUMMARY, 1), (SILVER_SUMMARY, 1)):
+            assert spark.table(table).where(F.col("source") == source).count() == n, table

@@ -10,9 +10,12 @@ the smaller partner, for the next one. Two rules keep this exact:
   a set with fewer signs its empty ones too;
 * words are hashed to 64 bits and what shares a signature is compared on the texts themselves.
 
-Signatures are shuffled and sorted once; each bucket of a signature links its members to its first one, so
-a bucket of n rows gives n - 1 candidates. Only buckets that still hold several components after those
-candidates were compared have their remaining pairs compared, component against component.
+Signatures are shuffled and sorted once; those held by one set only are done with. In the other buckets
+members are told apart by counts of their elements in hash ranges: the counts of similar sets differ by no
+more than the sets may, so a passage that many different texts share gives no candidates. A bucket links its
+members to the one nearest its centre, and other pairs follow directly if they are few. A bucket with many
+more (a group of near copies) is looked at again when the components of the first links are known, and then
+only for pairs of different components. So no group is ever turned into all its pairs.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from lakeload.llm.components import connected_components
 from lakeload.llm.shingles import Shingler, mix
 
 NO_ID = 2 ** 63 - 1
+COARSE, FINE = 64, 256
+BLOCK = 256
 
 
 class Bands:
@@ -55,7 +60,7 @@ class Bands:
 
     def partitions(self, band: int) -> int:
         bound = self.differ(2 * self.last(band)) + 1
-        return bound + bound // 10 + (bound > 3)
+        return 1 if bound == 1 else bound + bound // 10 + 3
 
 
 def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
@@ -78,78 +83,217 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _columns(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes | None]]:
-    return zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+def counts_in_ranges(shingles: np.ndarray, ranges: int) -> bytes:
+    """Elements per hash range, one byte each. Their differences never exceed those of the sets."""
+    place = (mix(shingles, 203) >> np.uint64(64 - ranges.bit_length() + 1)).astype(np.int64)
+    return np.minimum(np.bincount(place, minlength=ranges), 255).astype(np.uint8).tobytes()
 
 
-def _describe(width: int):
-    """(id, n, c1, c2): size of the set, and two sums that tell sets apart."""
+def _describe(width: int, num: int, den: int):
+    """One row per text: (id, n, c1, c2, coarse, fine, sigs).
+
+    The size of its set, two sums that tell sets apart, counts in hash ranges, and the signatures. Of equal sets within
+    a task only the first one signs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(width)
+        shingler, bands, seen = Shingler(width), Bands(num, den), set()
+        none = np.empty(0, np.uint64)
         for batch in batches:
-            rows = []
-            for _, text in _columns(batch):
+            rows, coarse, fine, sigs = [], [], [], []
+            for text in batch.column(1):
                 shingles = shingler(text.as_py())
-                rows.append((len(shingles), int(mix(shingles, 201).sum(dtype=np.uint64)),
-                             int(mix(shingles, 202).sum(dtype=np.uint64))))
-            table = np.array(rows, dtype=np.uint64).reshape(-1, 3).astype(np.int64)
+                key = (len(shingles), int(mix(shingles, 201).sum(dtype=np.uint64)), int(mix(shingles, 202).sum(dtype=np.uint64)))
+                rows.append(key)
+                fine.append(counts_in_ranges(shingles, FINE))
+                coarse.append(_coarser(fine[-1]))
+                sigs.append(none if key in seen or not len(shingles) else signatures(shingles, bands))
+                if len(seen) > 100_000:
+                    seen.clear()
+                seen.add(key)
+            table = np.array(rows, dtype=np.uint64).reshape(-1, 3).view(np.int64)
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in sigs]))).astype(np.int32)
+            flat = np.concatenate(sigs or [none]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(table[:, i]) for i in range(3))], names=["id", "n", "c1", "c2"])
+                [batch.column(0), *(pa.array(table[:, i]) for i in range(3)), pa.array(coarse, pa.binary()),
+                 pa.array(fine, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                names=["id", "n", "c1", "c2", "coarse", "fine", "sigs"])
 
     return run
 
 
-def _sign(width: int, num: int, den: int, piece: int = 200_000):
-    """(sig, id) of every set; of equal sets within a task only one signs."""
+def _coarser(fine: bytes) -> bytes:
+    """The counts of ``fine`` in fewer ranges."""
+    sums = np.frombuffer(fine, np.uint8).reshape(COARSE, -1).sum(axis=1, dtype=np.int64)
+    return np.minimum(sums, 255).astype(np.uint8).tobytes()
+
+
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.Array], np.ndarray, np.ndarray]]:
+    """Columns of rows sorted by their first one, cut so that no bucket is divided; starts and sizes of buckets."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sig = batch.column(0).to_numpy()
+        start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+        if held and len(start) == 1 and held[-1].column(0)[-1].as_py() == sig[0]:
+            held.append(pa.Table.from_batches([batch]))
+            continue
+        cut = int(start[-1])
+        if held or cut:
+            yield _cut(pa.concat_tables([*held, pa.Table.from_batches([batch.slice(0, cut)])]))
+        held = [pa.Table.from_batches([batch.slice(cut)])]
+    if held:
+        yield _cut(pa.concat_tables(held))
+
+
+def _cut(table: pa.Table) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
+    columns = [c.combine_chunks() for c in table.columns]
+    sig = columns[0].to_numpy()
+    start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+    return columns, start, np.diff(np.append(start, len(sig)))
+
+
+def _several(columns: list[pa.Array]) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
+    """Rows sorted by (sig, id) without repeats and without buckets of one id; starts and sizes of the rest."""
+    sig, doc = columns[0].to_numpy(), columns[1].to_numpy()
+    fresh = np.concatenate(([True], (doc[1:] != doc[:-1]) | (sig[1:] != sig[:-1])))
+    start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+    several = np.repeat(np.add.reduceat(fresh.astype(np.int64), start) > 1, np.diff(np.append(start, len(sig))))
+    keep = pa.array(np.flatnonzero(fresh & several))
+    kept = [c.take(keep) for c in columns]
+    sig = kept[0].to_numpy()
+    start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1]))) if len(sig) else np.empty(0, np.int64)
+    return kept, start, np.diff(np.append(start, len(sig)))
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sig, id), once each, of signatures that several ids hold."""
+    for columns, _, _ in _whole_buckets(batches):
+        yield pa.RecordBatch.from_arrays(_several(columns)[0], names=["sig", "id"])
+
+
+def _counts(column: pa.Array, ranges: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, ranges).astype(np.int16)
+
+
+class _Bound:
+    """Whether sets can be similar, by their sizes and counts."""
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den = num, den
+
+    def __call__(self, n, counts, m, others) -> np.ndarray:
+        apart = np.abs(others - counts).sum(axis=-1)
+        return (apart <= (n + m) * (self.den - self.num) // (self.den + self.num)) \
+            & (self.den * np.minimum(n, m) >= self.num * np.maximum(n, m))
+
+
+def _candidates(num: int, den: int):
+    """(a, b, sig): pairs to compare, and with null b the members of buckets to look at again."""
+    near = _Bound(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, bands, seen = Shingler(width), Bands(num, den), set()
-        sigs, ids, held = [], [], 0
+        for columns, _, _ in _whole_buckets(batches):
+            (sig, doc, size_of, coarse), start, size = _several(columns)
+            if not len(start):
+                continue
+            sig, doc, n, counts = sig.to_numpy(), doc.to_numpy(), size_of.to_numpy(), _counts(coarse, COARSE)
+            two = start[size == 2]
+            two = two[near(n[two], counts[two], n[two + 1], counts[two + 1]) & (doc[two] != doc[two + 1])]
+            ones, others, again = [doc[two + 1]], [doc[two]], []
+            for s, m in zip(start[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+                ids, sizes, own = doc[s:s + m], n[s:s + m], counts[s:s + m]
+                centre = int(np.abs(own - own.sum(axis=0) // m).sum(axis=1).argmin())
+                linked = near(sizes[centre], own[centre], sizes, own)
+                ones.append(ids[linked])
+                others.append(np.full(int(linked.sum()), ids[centre]))
+                rest, found, many = np.flatnonzero(~linked), [], int(linked.sum()) > 2
+                for i in rest.tolist():
+                    good = near(sizes[i], own[i], sizes, own)
+                    good &= linked | (np.arange(m) > i)
+                    good[centre] = False
+                    found.append((i, np.flatnonzero(good)))
+                    if sum(len(g) for _, g in found) > 4 * m:
+                        many = True
+                        break
+                if many:
+                    again.append(np.arange(s, s + m))
+                else:
+                    for i, good in found:
+                        ones.append(np.full(len(good), ids[i]))
+                        others.append(ids[good])
+            a, b = np.concatenate(ones), np.concatenate(others)
+            pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)])[:, a != b], axis=1)
+            more = np.concatenate(again) if again else np.empty(0, np.int64)
+            k = pairs.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([pairs[0], doc[more]])), pa.concat_arrays([pa.array(pairs[1]), pa.nulls(len(more), pa.int64())]),
+                 pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(sig[more])])], names=["a", "b", "sig"])
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(ids))], names=["sig", "id"])
+    return run
 
-        for batch in batches:
-            for doc, text in _columns(batch):
-                shingles = shingler(text.as_py())
-                if not len(shingles):
-                    continue
-                key = (len(shingles), int(mix(shingles, 201).sum(dtype=np.uint64)),
-                       int(mix(shingles, 202).sum(dtype=np.uint64)))
-                if key in seen:
+
+def _across(num: int, den: int):
+    """(a, root, others): for a member of a bucket, the ids in another component that may be similar to it.
+
+    Of two components of a bucket the larger one is looked through for each member of the smaller.
+    """
+    near = _Bound(num, den)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, doc, root, size_of, fine), start, size in _whole_buckets(batches):
+            doc, root, n, counts = doc.to_numpy(), root.to_numpy(), size_of.to_numpy(), _counts(fine, FINE)
+            rough = counts.reshape(len(counts), COARSE, -1).sum(axis=2)
+            rows: list[tuple[int, int, np.ndarray]] = []
+            for s, m in zip(start.tolist(), size.tolist(), strict=True):
+                part = slice(s, s + m)
+                names, count = np.unique(root[part], return_counts=True)
+                if len(names) < 2:
                     continue
-                if len(seen) > 100_000:
-                    seen.clear()
-                seen.add(key)
-                sigs.append(signatures(shingles, bands))
-                ids.append(np.full(len(sigs[-1]), doc, np.int64))
-                held += len(sigs[-1])
-                if held >= piece:
-                    yield out()
-                    sigs, ids, held = [], [], 0
-        if held:
-            yield out()
+                small = root[part] != names[count.argmax()]
+                for i in (s + np.flatnonzero(small)).tolist():
+                    open_ = (root[part] != root[i]) & (~small | (np.arange(s, s + m) > i))
+                    j = s + np.flatnonzero(open_)
+                    j = j[near(n[i], rough[i], n[j], rough[j])]
+                    j = j[near(n[i], counts[i], n[j], counts[j])]
+                    j = j[doc[j] != doc[i]]
+                    rows += [(doc[i], r, doc[j[root[j] == r]]) for r in np.unique(root[j])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                 pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["a", "root", "others"])
 
     return run
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, id, hub) from rows sorted by (sig, id): every member but the first of each bucket, once."""
-    last_sig = hub = last_id = None
-    for batch in batches:
-        sig, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if not len(sig):
-            continue
-        start = np.concatenate(([last_sig is None or sig[0] != last_sig], sig[1:] != sig[:-1]))
-        repeat = np.concatenate(([not start[0] and doc[0] == last_id], ~start[1:] & (doc[1:] == doc[:-1])))
-        at = np.maximum.accumulate(np.where(start, np.arange(len(sig)), -1))
-        first = np.where(at >= 0, doc[np.maximum(at, 0)], 0 if hub is None else hub)
-        keep = ~start & ~repeat
-        last_sig, hub, last_id = sig[-1], first[-1], doc[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(doc[keep]), pa.array(first[keep])],
-                                         names=["sig", "id", "hub"])
+def _joined_lists(table: pa.Table) -> pa.Table:
+    """(a, b, root), once each, from the lists of one (a, root)."""
+    others = np.unique(table.column("others").combine_chunks().flatten().to_numpy())
+    k = len(others)
+    return pa.table({"a": pa.array(np.full(k, table.column("a")[0].as_py(), np.int64)), "b": pa.array(others),
+                     "root": pa.array(np.full(k, table.column("root")[0].as_py(), np.int64))})
+
+
+def _similar_in_block(width: int, num: int, den: int):
+    """(a, b) of a block's pairs whose texts are similar enough; each text comes once."""
+
+    def run(texts: pa.Table, pairs: pa.Table) -> pa.Table:
+        shingler, sets = Shingler(width), {}
+        for doc, text in zip(texts.column("id").to_pylist(), texts.column("text"), strict=True):
+            sets.setdefault(doc, []).append(shingler(text.as_py()))
+        good = [(a, b) for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True)
+                if any(_close(x, y, num, den) for x in sets.get(a, ()) for y in sets.get(b, ()))]
+        return pa.table({"a": pa.array([g[0] for g in good], pa.int64()), "b": pa.array([g[1] for g in good], pa.int64())})
+
+    return run
+
+
+def _close(one: np.ndarray, two: np.ndarray, num: int, den: int) -> bool:
+    small, large = sorted((len(one), len(two)))
+    if small == 0 or den * small < num * large:
+        return False
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return den * common >= num * (small + large - common)
 
 
 def _similar(width: int, num: int, den: int):
@@ -172,11 +316,7 @@ def _similar(width: int, num: int, den: int):
             good = []
             for i in range(len(a)):
                 one, two = (shingles(x, batch.column(c)[i].as_py() or b"") for x, c in ((a[i], 2), (b[i], 3)))
-                small, large = sorted((len(one), len(two)))
-                if small == 0 or den * small < num * large:
-                    continue
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                if den * common >= num * (small + large - common):
+                if _close(one, two, num, den):
                     good.append(i)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ([a[i] for i in good], [b[i] for i in good])],
                                              names=["a", "b"])
@@ -199,35 +339,39 @@ def jaccard_components(docs: DataFrame, similarity: tuple[int, int] = (80, 100),
     num, den = similarity
     base = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("id"),
                        F.col(f"`{text}`").cast("binary").alias("text"))
-    sets = stored(base.mapInArrow(_describe(width), "id long, n long, c1 long, c2 long"), "sets")
-    spark = docs.sparkSession
-    signed = base.mapInArrow(_sign(width, num, den), "sig long, id long")
-    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    members = stored(signed.repartition(count, "sig").sortWithinPartitions("sig", "id")
-                     .mapInArrow(_buckets, "sig long, id long, hub long"), "buckets")
-
-    same = sets.where("n > 0").select("id", F.struct("n", "c1", "c2").alias("set")).distinct()
-    same = same.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
-    cells = same.groupBy("set", "salt").agg(F.min("id").alias("least"))
-    firsts = (cells.groupBy("set").agg(F.min("least").alias("b"), F.collect_list("salt").alias("salts"))
-              .select("set", "b", F.explode("salts").alias("salt")))
-    copies = stored(same.join(firsts, ["set", "salt"]).where("id <> b").select(F.col("id").alias("a"), "b"), "copies")
-
-    candidates = stored(members.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    wanted = candidates.select(F.col("a").alias("id")).unionAll(candidates.select(F.col("b").alias("id"))).distinct()
+    sets = stored(base.mapInArrow(
+        _describe(width, num, den),
+        "id long, n long, c1 long, c2 long, coarse binary, fine binary, sigs array<long>"), "sets")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    signed = sets.select(F.explode("sigs").alias("sig"), "id")
+    members = stored(signed.repartition(parts, "sig").sortWithinPartitions("sig", "id")
+                     .mapInArrow(_shared, "sig long, id long"), "members")
+    # Equal sets are one member of a bucket from here on, under their smallest id.
+    classes = stored(_classes(sets), "classes")
+    first = sets.join(classes, ["id", "n", "c1", "c2"]).select(F.col("id").alias("of"), F.col("b").alias("id"), "n", "coarse")
+    counted = members.select("sig", F.col("id").alias("of")).join(first, "of").select("sig", "id", "n", "coarse")
+    found = stored(counted.repartition(parts, "sig").sortWithinPartitions("sig", "id")
+                   .mapInArrow(_candidates(num, den), "a long, b long, sig long"), "candidates")
+
+    pairs = stored(found.where("b is not null").select("a", "b").distinct(), "pairs")
+    wanted = found.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     texts = stored(base.join(wanted, "id"), "texts")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-        two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-        return (pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
-                .mapInArrow(_similar(width, num, den), "a long, b long"))
-
-    links = stored(verified(candidates).unionAll(copies), "links")
+    links = stored(_verified(texts, pairs, width, num, den)
+                   .unionAll(classes.where("id <> b").select(F.col("id").alias("a"), "b")), "similar")
     roots = connected_components(links)
-    left = _unresolved(members, roots, candidates)
-    if not left.isEmpty():
-        roots = connected_components(links.unionAll(verified(left)))
+
+    again = (found.where("b is null").select("sig", F.col("a").alias("id")).join(roots, F.col("id") == F.col("node"), "left")
+             .select("sig", "id", F.coalesce("root", "id").alias("root")))
+    open_ = (again.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+             .where("low <> high").select("sig"))
+    fine = again.join(open_, "sig").join(sets.where("n > 0").select("id", "n", "fine"), "id")
+    lists = (fine.select("sig", "id", "root", "n", "fine").repartition(parts, "sig").sortWithinPartitions("sig", "id")
+             .mapInArrow(_across(num, den), "a long, root long, others array<long>"))
+    rest = stored(lists.groupBy("a", "root").applyInArrow(_joined_lists, "a long, b long, root long")
+                  .join(pairs.unionAll(pairs.select("b", "a")), ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+                                     .unionAll(_verified_in_blocks(texts, rest, width, num, den)))
     out = sets.join(roots, sets["id"] == roots["node"], "left")
     component = F.coalesce("root", "id")
     return out.select(
@@ -235,15 +379,38 @@ def jaccard_components(docs: DataFrame, similarity: tuple[int, int] = (80, 100),
         F.when(component != NO_ID, component).alias("component_id"))
 
 
-def _unresolved(members: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of a bucket that lie in different components and were not compared."""
-    of = roots.select(F.col("node").alias("id"), "root")
-    every = members.select("sig", "id").unionAll(members.select("sig", F.col("hub").alias("id")).distinct())
-    placed = every.join(of, "id", "left").select("sig", "id", F.coalesce("root", "id").alias("root"))
-    open_ = (placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-             .where("low <> high").select("sig"))
-    placed = stored(placed.join(open_, "sig"), "open")
-    other = placed.select("sig", F.col("id").alias("b"), F.col("root").alias("root_b"))
-    pairs = (placed.select("sig", F.col("id").alias("a"), F.col("root").alias("root_a")).join(other, "sig")
-             .where("a > b and root_a <> root_b").select("a", "b").distinct())
-    return stored(pairs.join(done, ["a", "b"], "left_anti"), "rest")
+def _classes(sets: DataFrame) -> DataFrame:
+    """(id, n, c1, c2, b): every set with the smallest id that has the same one; per salted cell first."""
+    key = ["n", "c1", "c2"]
+    same = sets.where("n > 0").select("id", *key).distinct().withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
+    cells = same.groupBy(*key, "salt").agg(F.min("id").alias("least"))
+    firsts = (cells.groupBy(*key).agg(F.min("least").alias("b"), F.collect_list("salt").alias("salts"))
+              .select(*key, "b", F.explode("salts").alias("salt")))
+    return same.join(firsts, [*key, "salt"]).select("id", *key, "b")
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose texts are similar."""
+    one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    return (pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
+            .mapInArrow(_similar(width, num, den), "a long, b long"))
+
+
+def _verified_in_blocks(texts: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The same for many pairs (a, b) with b in few components ``root``.
+
+    The pairs of a component are dealt into blocks of about ``BLOCK`` documents on either side, and a
+    block gets each of its texts once instead of once per pair.
+    """
+    def chunks(name: str) -> F.Column:
+        return F.ceil(F.approx_count_distinct(name) / F.lit(BLOCK)).cast("long")
+
+    sizes = pairs.groupBy("root").agg(chunks("a").alias("na"), chunks("b").alias("nb"))
+    block = ["root", "ca", "cb"]
+    dealt = stored(pairs.join(sizes, "root").select(
+        "root", F.pmod(F.xxhash64("a"), "na").alias("ca"), F.pmod(F.xxhash64("b"), "nb").alias("cb"), "a", "b"), "blocks")
+    needed = dealt.select(*block, F.col("a").alias("id")).unionAll(dealt.select(*block, F.col("b").alias("id"))).distinct()
+    left = needed.join(texts, "id").select(*[F.col(c).alias(f"of_{c}") for c in block], "id", "text")
+    return left.groupBy(*[f"of_{c}" for c in block]).cogroup(dealt.groupBy(*block)).applyInArrow(
+        _similar_in_block(width, num, den), "a long, b long")

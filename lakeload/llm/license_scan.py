@@ -1,21 +1,21 @@
 """License scans: phrases at word level, and an exact set-similarity join of text blocks with templates.
 
-A block is one line of a document. A template matches a block that contains at least ``threshold`` of the
-template's distinct words. All words that occur in templates are ordered by the number of documents holding
+A block is any run of words twice as long as the template, wherever lines end. A template matches a block that
+contains at least ``threshold`` of the template's distinct words. All words that occur in templates are ordered by the number of documents holding
 them, counted over the whole table. With overlap ``need = ceil(threshold * |template|)``:
 
 * prefix filter: one of the first ``|template| - need + 1`` words of the template is in the block;
 * length filter: the block has at least ``need`` distinct words;
 * positional filter: from the first common word on, enough words are left on both sides.
 
-What passes is counted exactly. Templates are a fixed list, so they travel with the function; documents are
+The filters run on the words of the whole document first, which hold those of every block; templates that pass are
+counted exactly in all blocks by one pass over the places of their words. Templates are a fixed list, so they travel with the function; documents are
 read twice (counts, scan) and never shuffled.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 from fractions import Fraction
@@ -71,17 +71,53 @@ class TemplateIndex:
     def __init__(self, templates, counts: dict[str, int], threshold: float):
         vocabulary = sorted({w for _, text in templates for w in text.split()}, key=lambda w: (counts.get(w, 0), w))
         self.rank = {w.encode(): i for i, w in enumerate(vocabulary)}
-        self.templates, self.prefix = [], {}
+        self.templates, self.widths, self.prefix = [], [], {}
         for label, text in templates:
             ranks = sorted({self.rank[w.encode()] for w in text.split()})
             need = max(1, math.ceil(Fraction(str(threshold)) * len(ranks)))
             for place, word in enumerate(ranks[: len(ranks) - need + 1]):
                 self.prefix.setdefault(word, []).append((len(self.templates), place))
             self.templates.append((label, frozenset(ranks), need, len(ranks)))
+            self.widths.append(2 * len(text.split()))
         self.rare = frozenset(w for w, i in self.rank.items() if i in self.prefix)
 
     def matches(self, words: list[bytes]) -> list[tuple[str, float]]:
         """(label, share of the template found) of all templates that the block contains."""
+        return [(self.templates[n][0], overlap / self.templates[n][3]) for n, overlap in self._contained(words)]
+
+    def matches_in_blocks(self, words: list[bytes]) -> list[tuple[str, float]]:
+        """(label, largest share found) of all templates that some block of the text contains."""
+        passed = self._contained(words)
+        known = [(at, self.rank[w]) for at, w in enumerate(words) if w in self.rank] if passed else []
+        found = []
+        for number, _ in passed:
+            label, _, need, size = self.templates[number]
+            overlap = self._largest(number, known)
+            if overlap >= need:
+                found.append((label, overlap / size))
+        return found
+
+    def _largest(self, number: int, known: list[tuple[int, int]]) -> int:
+        """The most distinct words of a template that one block holds; ``known`` has (place, rank) in order."""
+        _, ranks, _, size = self.templates[number]
+        width, own = self.widths[number], [k for k in known if k[1] in ranks]
+        held: Counter = Counter()
+        best = first = 0
+        for at, rank in own:
+            held[rank] += 1
+            while own[first][0] <= at - width:
+                gone = own[first][1]
+                held[gone] -= 1
+                if not held[gone]:
+                    del held[gone]
+                first += 1
+            best = max(best, len(held))
+            if best == size:
+                break
+        return best
+
+    def _contained(self, words: list[bytes]) -> list[tuple[int, int]]:
+        """(number, overlap) of all templates that the words contain."""
         distinct = set(words)
         block = sorted(self.rank[w] for w in distinct if w in self.rank)
         found, tried = [], set()
@@ -90,13 +126,13 @@ class TemplateIndex:
                 if number in tried:
                     continue
                 tried.add(number)
-                label, ranks, need, size = self.templates[number]
+                _, ranks, need, size = self.templates[number]
                 left = min(len(block) - place, size - template_place)
                 if len(distinct) < need or left < need:
                     continue
                 overlap = len(ranks.intersection(block))
                 if overlap >= need:
-                    found.append((label, overlap / size))
+                    found.append((number, overlap))
         return found
 
 
@@ -128,7 +164,6 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=
     words. Repeated rows stay, no rows give no rows.
     """
     index = TemplateIndex(templates, template_word_counts(docs, templates, text), threshold)
-    line_end = re.compile(b"\n")
 
     def scan(body: bytes | None) -> tuple:
         words = words_of(body) if body else []
@@ -136,10 +171,9 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=
         base = {label for _, label in places}
         labels, score = set(base), 1.0 if places else 0.0
         if not index.rare.isdisjoint(words):
-            for line in line_end.split(body):
-                for label, share in index.matches(words_of(line)):
-                    labels.add(label)
-                    score = max(score, share)
+            for label, share in index.matches_in_blocks(words):
+                labels.add(label)
+                score = max(score, share)
         starts = [at for at, _ in places]
         return (len(words), len(places), min(starts, default=None), max(starts, default=None),
                 ",".join(sorted(base)), ",".join(sorted(labels)), score)

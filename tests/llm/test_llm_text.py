@@ -127,6 +127,42 @@ def test_template_join_finds_every_match():
         assert set(index.matches([w.encode() for w in block])) == want
 
 
+def test_license_notices_across_lines(spark):
+    """Notices wrapped as in source files, at every offset; words strewn over a long line are no notice."""
+    import textwrap
+
+    cases, want = [], {}
+    for number, (label, text) in enumerate(license_scan.TEMPLATES):
+        for width in (20, 40, 72):
+            cases.append((len(cases), "\n".join(f"# {line}" for line in textwrap.wrap(text, width))))
+            want[len(cases) - 1] = label
+        for before in range(0, 2 * len(text.split()), 3):
+            cases.append((len(cases), "other " * before + "\n".join(textwrap.wrap(text, 30)) + " other" * 50))
+            want[len(cases) - 1] = label
+        cases.append((len(cases), "".join(w + " other" * 40 + " " for w in text.split())))
+        want[len(cases) - 1] = None
+    got = {r.doc_id: r for r in license_scan.scan_licenses(spark.createDataFrame(cases, "doc_id long, text string")).collect()}
+    for i, label in want.items():
+        assert got[i].labels == "" if label is None else label in got[i].labels.split(",") and got[i].score == 1, cases[i]
+
+
+def test_license_blocks_are_exact():
+    import random
+
+    pick = random.Random(3)
+    words = [w for _, t in license_scan.TEMPLATES for w in t.split()]
+    index = license_scan.TemplateIndex(license_scan.TEMPLATES, {w: pick.randrange(50) for w in words}, 0.8)
+    for _ in range(60):
+        label, text = pick.choice(license_scan.TEMPLATES)
+        own = []
+        for w in text.split():
+            own += ([w] if pick.random() < 0.95 else []) + ["other"] * pick.choice((0, 0, 1, 2))
+        block = ["other"] * pick.randrange(40) + own + pick.choices(words, k=pick.randrange(30))
+        most = max(len(set(text.split()) & set(block[k:k + 2 * len(text.split())])) for k in range(len(block)))
+        size = len(set(text.split()))
+        assert ((label, most / size) in index.matches_in_blocks([w.encode() for w in block])) == (10 * most >= 8 * size)
+
+
 def test_license_query(spark, sf_dir):
     """The base part of the query against a plain version."""
     import re

@@ -163,6 +163,32 @@ def test_license_blocks_are_exact():
         assert ((label, most / size) in index.matches_in_blocks([w.encode() for w in block])) == (10 * most >= 8 * size)
 
 
+def test_licenses_of_one_family_are_told_apart(spark):
+    lgpl = ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+            "License as published by the Free Software Foundation; either version 3 of the License")
+    cases = {
+        "Released under the BSD license.": "", "Released under the BSD license.\nMit freundlichen Grüßen": "",
+        "Licensed under CC BY 4.0": "", "Licensed under CC BY-SA 4.0": "", "Licensed under CC NC 4.0": "cc-by-nc",
+        "This work is licensed under the GNU General Public License version 2": "",
+        "This work is licensed under the GNU General Public License version 2. See our manual, version 3": "",
+        "This work is licensed under the GNU Affero General Public License version 3": "",
+        "This work is licensed under the GNU General Public License v3": "gpl-3",
+        "This work is licensed under the GNU General Public License, version 2 or version 3": "gpl-3",
+        "Licensed under the Apache License 2.0": "apache-2", "Licensed under the Apache 2.0 License": "apache-2",
+        "Licensed under the Apache License, Version 1.1": "", "Released under the MIT open source license": "mit", lgpl: "",
+        lgpl.replace("Lesser ", "").replace("library", "program"): "gpl",
+        "You can redistribute it and/or modify it under the terms of the CeCILL license": "",
+        "This Source Code Form is subject to the terms of the Common Public License": "",
+        "Permission to use, copy, modify, and/or distribute this software and its documentation for any purpose is hereby granted": "",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software": "",
+        "Redistribution and use in source and binary forms, with or without modification, are not permitted": "",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": ""}
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(docs).collect()}
+    assert {text: got[i] for i, text in enumerate(cases)} == cases
+
+
 def test_license_query(spark, sf_dir):
     """The base part of the query against a plain version."""
     import re

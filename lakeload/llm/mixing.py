@@ -5,7 +5,9 @@ source is a weighted sample without replacement. A source whose target exceeds i
 document as often as whole epochs fit, and the sampled order decides on the remaining fraction.
 
 The prefix sums never sort a whole source in one task: keys fall into ranges, range totals are summed in
-order (a bounded number of rows per source), and rows are sorted within their range only.
+order (a bounded number of rows per source), and rows are sorted within their range only. Ranges are cut evenly
+on the logarithm of the key. A weight only shifts that, so whatever the weights are, a range draws no more than
+about one in ``ranges`` of a source's documents.
 """
 
 from __future__ import annotations
@@ -35,6 +37,14 @@ def quality_weight(text: Column, size: Column) -> Column:
     return F.coalesce(F.lit(1.0) / (F.lit(1.0) + F.abs(mean - F.lit(TYPICAL_WORD)) / F.lit(TYPICAL_WORD)), F.lit(1.0))
 
 
+def key_range(key: Column, ranges: int) -> Column:
+    """The range of an exponential key over any weight; in the order of the keys.
+
+    The logarithm to base 2 of an exponential variable has a density of at most ln 2 / e, just over a quarter.
+    """
+    return F.floor(F.log2(key) * F.lit(ranges / 4.0)).cast("int")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3,
                    budget: int | None = None) -> DataFrame:
     """Words each source should give: ``src, source_size, target``.
@@ -88,8 +98,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
         body.alias("body"))
     key = -F.log(uniform(F.col("id"), seed)) / quality_weight(F.col("body"), F.col("size"))
     keyed = sized.select("row", "id", "size", "src", key.alias("key"))
-    place = F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * ranges)
-    rows = stored(keyed.withColumn("range", F.least(place, F.lit(ranges - 1)).cast("int")), "mix")
+    rows = stored(keyed.withColumn("range", key_range(F.col("key"), ranges)), "mix")
 
     totals = rows.groupBy("src", "range").agg(F.sum("size").alias("range_size"))
     in_order = Window.partitionBy("src").orderBy("range")

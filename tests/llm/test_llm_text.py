@@ -58,6 +58,19 @@ def test_mixing_awkward_rows(spark):
     assert mixing.mix_sources(docs.where("text is null")).agg(F.sum("taken")).first()[0] == 0
 
 
+@pytest.mark.parametrize("chars", [6, 1000, 100_000])
+def test_mixing_ranges_are_even(spark, monkeypatch, chars):
+    """No range holds much of a source, also where texts have hardly any blanks."""
+    seen, stored = [], mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df, name: seen.append(stored(df, name)) or seen[-1])
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"),
+                                      F.expr(f"CASE WHEN id % 10 = 0 THEN 'short' ELSE repeat('x', {chars}) END").alias("text"))
+    got = mixing.mix_sources(docs, keep=["doc_id"], budget=7_777)
+    assert got.agg(F.sum("taken")).first()[0] == 7_777
+    per_range = [r["count"] for r in seen[0].groupBy("range").count().collect()]
+    assert sum(per_range) == 20_000 and max(per_range) <= 40
+
+
 @pytest.mark.parametrize("sizes", [{"a": 5}, {"a": 1, "b": 1000, "c": 3}, {"a": 0, "b": 10}, {None: 7, "": 7, "z": 7, "é": 90}, {"a": 0}])
 def test_source_targets(spark, sizes):
     df = spark.createDataFrame([(("1" if s is None else "0" + s), n) for s, n in sizes.items()], "src string, source_size long")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeload.llm.book import query
 from lakeload.llm.common import table
 from lakeload.llm.exact_dedup import exact_duplicates
+from lakeload.llm.whitening import whiten
 
 EXACT_SQL = """
 WITH plain AS (
@@ -23,3 +25,9 @@ WINDOW best AS (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST)
 @query("op13_exact_dedup", EXACT_SQL)
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whiten(table(spark, sf_dir, "embeddings"))
+    return done.withColumn("deviation", F.col("deviation").try_cast("long"))

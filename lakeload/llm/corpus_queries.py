@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeload.llm.book import query
 from lakeload.llm.common import table
 from lakeload.llm.exact_dedup import exact_duplicates
+from lakeload.llm.token_alignment import align_tokenizers
 from lakeload.llm.whitening import whiten
 
 EXACT_SQL = """
@@ -21,6 +22,13 @@ FROM plain
 WINDOW best AS (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST)
 """
 
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query("op11_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
 
 @query("op13_exact_dedup", EXACT_SQL)
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

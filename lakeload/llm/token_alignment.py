@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,16 @@ from lakeload.llm.common import stored
 # A blank that follows a visible character begins a piece; further white space stays with what stands before it.
 _PIECE = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
 _SPACE = "▁"
+# Fixed value: how byte-level vocabularies of this kind cut text into words.
+_WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Bounds of one block, and of the pieces remembered from one block to the next.
-BLOCK_CHARS = 4_000_000
-KNOWN_CHARS = 8_000_000
+BLOCK_CHARS = 1_000_000
+KNOWN_CHARS = 1_500_000
+ALIGNED_AT_ONCE = 1 << 14
+# Groups with more links than this are counted by their distinct ids.
+SMALL_GROUP = 256
+_ID = 1 << 20
+_NONE = np.empty(0, np.int64)
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -47,20 +56,28 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class TokenizerPair:
-    """Tokenizer A (byte-level BPE) and B (pieces with byte fallback), giving ids and byte lengths of pieces."""
+    """Tokenizer A (byte-level BPE) and B (pieces with byte fallback), giving ids and byte lengths of pieces.
+
+    A's ids must rise in the order of its merges; the merge of lowest id is then always the next one to apply, which is how
+    the encoder used for it works, several times faster than by looking up merges.
+    """
 
     def __init__(self, byte_bpe: str, piece_bpe: str):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(byte_bpe)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
-        alphabet = _byte_alphabet()
-        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        with open(byte_bpe, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        alphabet, vocabulary = _byte_alphabet(), model["vocab"]
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for entry, number in vocabulary.items():
             self.a_bytes[number] = bytes(alphabet[c] for c in entry)
+        merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if merged != sorted(merged):
+            raise ValueError("the ids of the first vocabulary do not rise with its merges")
+        usable = {data: number for number, data in enumerate(self.a_bytes) if number <= merged[-1]}
+        self.a = tiktoken.Encoding("a", pat_str=_WORDS, mergeable_ranks=usable, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
         self.b_bytes = []
         for number in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(number)
@@ -72,21 +89,23 @@ class TokenizerPair:
             if b" " in data.lstrip(b" "):
                 raise ValueError(f"piece {number} of the second vocabulary holds a blank after a visible character")
         self.space = self.b.piece_to_id(_SPACE)
-        self.a_names = [str(i) for i in range(len(self.a_bytes))]
-        self.b_names = [str(i) for i in range(len(self.b_bytes))]
+        self.a_sizes = np.fromiter(map(len, self.a_bytes), np.int64, len(self.a_bytes))
+        self.b_sizes = np.fromiter(map(len, self.b_bytes), np.int64, len(self.b_bytes))
+        # An id and what follows it: A within a group, A before B, B within a group, B at the end of one.
+        count = max(len(self.a_bytes), len(self.b_bytes))
+        if count > _ID:
+            raise ValueError(f"vocabularies of more than {_ID} entries")
+        self.names = np.array([[f"{i}{mark}" for i in range(count)] for mark in ",|,;"], dtype=object)
 
     def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of pieces, each of which begins with a blank; B adds a blank of its own to any text but the empty one."""
-        a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+        a = list(map(self.a.encode_ordinary, pieces))
         b = self.b.encode([p[1:] for p in pieces], num_threads=1)
         return a, [ids if len(p) > 1 else [self.space] for ids, p in zip(b, pieces, strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
 def tokenizer_pair(byte_bpe: str, piece_bpe: str) -> TokenizerPair:
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return TokenizerPair(byte_bpe, piece_bpe)
 
 
@@ -99,132 +118,163 @@ def coalesce(starts: np.ndarray, ends: np.ndarray, side: np.ndarray) -> tuple[np
 
 
 @dataclass
-class Piece:
-    """What one piece adds to its document; ``groups`` is None where the tokens' bytes are not the piece's."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str | None
+class Pieces:
+    """Aligned pieces: token and group counts, the groups as text (None where the tokens' bytes are not the piece's), and the
+    distinct linked pairs (A id * 2^20 + B id) of all pieces, ``n_pairs`` for each, with the number of their links."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    groups: list[str | None]
+    n_pairs: np.ndarray
     pairs: np.ndarray
     links: np.ndarray
 
+    @classmethod
+    def none(cls) -> Pieces:
+        return cls(*[np.empty(0, np.int64)] * 3, [], *[np.empty(0, np.int64)] * 3)
 
-def _ranges(tokens: list[list[int]], sizes: list[bytes], base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    ids = np.fromiter((t for row in tokens for t in row), np.int64)
-    size = np.fromiter((len(sizes[t]) for row in tokens for t in row), np.int64)
-    count = np.array([len(row) for row in tokens])
-    owner = np.repeat(np.arange(len(tokens)), count)
-    ends = size.cumsum()
-    before = np.append(0, ends)[np.append(0, count.cumsum())[:-1]]
-    start = ends - size - before[owner] + base[owner]
-    return ids, start, start + size, owner
+    def __add__(self, more: Pieces) -> Pieces:
+        both = [self.groups + more.groups if k == "groups" else np.concatenate((getattr(self, k), getattr(more, k)))
+                for k in self.__dataclass_fields__]
+        return Pieces(*both)
 
 
-def align(pair: TokenizerPair, pieces: list[str]) -> list[Piece]:
-    """Groups and links of distinct pieces, all in one sort."""
-    a, b = pair.encode(pieces)
+def _flat(tokens: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(chain.from_iterable(tokens), np.int64), np.fromiter(map(len, tokens), np.int64, len(tokens))
+
+
+def _spelled(ids: np.ndarray, count: np.ndarray, entries: list[bytes], sizes: np.ndarray, bodies: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    """For each piece, whether its tokens' bytes are its own."""
+    ends = count.cumsum()
+    spans = np.append(0, sizes[ids].cumsum())[np.append(0, ends)]
+    right = np.diff(spans) == lengths
+    every = b"".join(map(entries.__getitem__, ids.tolist()))
+    if right.all() and every == b"".join(bodies):
+        return right
+    starts = spans.tolist()
+    return np.array([ok and every[starts[i]:starts[i + 1]] == bodies[i] for i, ok in enumerate(right.tolist())], bool)
+
+
+def align(pair: TokenizerPair, pieces: list[str]) -> Pieces:
+    """Groups and links of pieces, all in one sort."""
+    n = len(pieces)
+    if not n:
+        return Pieces.none()
     bodies = [p.encode() for p in pieces]
-    right = [b"".join(map(pair.a_bytes.__getitem__, x)) == body == b"".join(map(pair.b_bytes.__getitem__, y))
-             for x, y, body in zip(a, b, bodies, strict=True)]
-    empty = np.empty(0, np.int64)
-    out = [Piece(0, 0, 0, None, empty, empty)] * len(pieces)
-    good = [i for i, ok in enumerate(right) if ok]
-    if not good:
-        return out
-    a, b = [a[i] for i in good], [b[i] for i in good]
-    lengths = np.array([len(bodies[i]) for i in good])
-    base = lengths.cumsum() - lengths
-    a_ids, a_start, a_end, a_owner = _ranges(a, pair.a_bytes, base)
-    b_ids, b_start, b_end, b_owner = _ranges(b, pair.b_bytes, base)
+    lengths = np.fromiter(map(len, bodies), np.int64, n)
+    a, b = pair.encode(pieces)
+    (a_ids, a_count), (b_ids, b_count) = _flat(a), _flat(b)
+    right = (_spelled(a_ids, a_count, pair.a_bytes, pair.a_sizes, bodies, lengths)
+             & _spelled(b_ids, b_count, pair.b_bytes, pair.b_sizes, bodies, lengths))
+    a_owner, b_owner = np.repeat(np.arange(n), a_count), np.repeat(np.arange(n), b_count)
+    a_good, b_good = right[a_owner], right[b_owner]
+    a_ids, b_ids, a_owner, b_owner = a_ids[a_good], b_ids[b_good], a_owner[a_good], b_owner[b_good]
+
+    # The tokens' ranges on one axis: spelled pieces lie end to end, so their tokens do.
+    a_end, b_end = pair.a_sizes[a_ids].cumsum(), pair.b_sizes[b_ids].cumsum()
+    starts = np.concatenate((a_end - pair.a_sizes[a_ids], b_end - pair.b_sizes[b_ids]))
     side = np.repeat([0, 1], [len(a_ids), len(b_ids)])
-    order, group = coalesce(np.concatenate((a_start, b_start)), np.concatenate((a_end, b_end)), side)
+    order, group = coalesce(starts, np.concatenate((a_end, b_end)), side)
+    # Tokens by group, A before B, each in the order of the text.
+    again = np.lexsort((side[order], group))
+    order, group = order[again], group[again]
     side, ids, owner = side[order], np.concatenate((a_ids, b_ids))[order], np.concatenate((a_owner, b_owner))[order]
 
-    # Tokens by group, A before B, each in the order of the text.
-    again = np.lexsort((side, group))
-    side, ids, group, owner = side[again], ids[again], group[again], owner[again]
-    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    size_b = np.add.reduceat(side, first)
-    size_a = np.diff(np.append(first, len(ids))) - size_b
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.empty(0, np.int64)
+    size = np.diff(np.append(first, len(ids)))
+    size_b = np.bincount(group, side, len(first)).astype(np.int64)
     of_group = owner[first]
-    texts = [",".join(map(pair.a_names.__getitem__, ids[s:s + x])) + "|" + ",".join(map(pair.b_names.__getitem__, ids[s + x:s + x + y]))
-             for s, x, y in zip(first.tolist(), size_a.tolist(), size_b.tolist(), strict=True)]
-    codes, times = _links(ids, first, size_a, size_b)
-    cuts = np.searchsorted(of_group, np.arange(len(good) + 1))
-    n_codes = np.append(0, np.cumsum([len(c) for c in codes]))
-    flat_codes, flat_times = np.concatenate(codes), np.concatenate(times)
-    for k, i in enumerate(good):
-        low, high = int(cuts[k]), int(cuts[k + 1])
-        pairs, at = np.unique(flat_codes[n_codes[low]:n_codes[high]], return_inverse=True)
-        links = np.bincount(at, flat_times[n_codes[low]:n_codes[high]], len(pairs)).astype(np.int64)
-        out[i] = Piece(int(size_a[low:high].sum()), int(size_b[low:high].sum()), high - low, ";".join(texts[low:high]), pairs, links)
-    return out
-
-
-def _links(ids: np.ndarray, first: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[list, list]:
-    """Per group, the distinct linked pairs (A id * 2^32 + B id) and how many links each has."""
-    codes, times = [], []
-    one = np.ones(1, np.int64)
-    for s, x, y in zip(first.tolist(), size_a.tolist(), size_b.tolist(), strict=True):
-        if x == 1 and y == 1:
-            codes.append(ids[s:s + 1] * (1 << 32) + ids[s + 1])
-            times.append(one)
-            continue
+    out_a, out_b = np.bincount(owner[side == 0], minlength=n), np.bincount(owner[side == 1], minlength=n)
+
+    last_a = np.zeros(len(ids), bool)
+    last_a[first + size - size_b - 1] = True
+    last_b = np.zeros(len(ids), bool)
+    last_b[first + size - 1] = True
+    words = pair.names[side * 2 + (last_a | last_b), ids]
+    cuts = np.append(0, np.cumsum(out_a + out_b)).tolist()
+    groups = ["".join(words[cuts[i]:cuts[i + 1]]) if ok else None for i, ok in enumerate(right.tolist())]
+
+    code, times, at_group = _links(ids, first, size - size_b, size_b)
+    at_piece = of_group[at_group]
+    order = np.lexsort((code, at_piece))
+    code, times, at_piece = code[order], times[order], at_piece[order]
+    starts = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (at_piece[1:] != at_piece[:-1]))) if len(code) else first
+    small = (x.astype(np.int32) for x in (out_a, out_b, np.bincount(of_group, minlength=n)))
+    times = np.add.reduceat(times, starts) if len(starts) else times
+    return Pieces(*small, groups, np.bincount(at_piece[starts], minlength=n).astype(np.int32), code[starts], times.astype(np.int32))
+
+
+def _links(ids: np.ndarray, first: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, number of links, group): every A-B pair of small groups one by one, distinct ids of large groups."""
+    product = size_a * size_b
+    small = np.flatnonzero(product <= SMALL_GROUP)
+    total = product[small]
+    within = _spans(np.zeros(len(small), np.int64), total)
+    start, y = np.repeat(first[small], total), np.repeat(size_b[small], total)
+    code = ids[start + within // y] * _ID + ids[start + np.repeat(size_a[small], total) + within % y]
+    parts = [(code, np.ones(len(code), np.int64), np.repeat(small, total))]
+    for g in np.flatnonzero(product > SMALL_GROUP).tolist():
+        s, x, y = int(first[g]), int(size_a[g]), int(size_b[g])
         a, n = np.unique(ids[s:s + x], return_counts=True)
         b, m = np.unique(ids[s + x:s + x + y], return_counts=True)
-        codes.append((a[:, None] * (1 << 32) + b).ravel())
-        times.append(np.outer(n, m).ravel())
-    return codes, times
+        code = (a[:, None] * _ID + b).ravel()
+        parts.append((code, np.outer(n, m).ravel(), np.full(len(code), g)))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+class _Numbers(dict):
+    """Running numbers of keys, in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
 
 
 class _Block:
-    """Documents of one block, their pieces, and the pieces remembered from earlier blocks of the task."""
+    """Aligns the documents of one block, and remembers pieces of earlier blocks of the task."""
 
     def __init__(self, pair: TokenizerPair):
-        self.pair, self.known, self.size = pair, {}, 0
-
-    def __call__(self, texts: list[str | None]) -> tuple[list[tuple], dict]:
-        cut = [_PIECE.findall(" " + t) if t else [] for t in texts]
-        new = list({p for row in cut for p in row if p not in self.known})
-        if self.size > KNOWN_CHARS:
-            self.known, self.size = {}, 0
-            new = list({p for row in cut for p in row})
-        self.known.update(zip(new, align(self.pair, new), strict=True))
-        self.size += sum(map(len, new))
-
-        local: dict[str, int] = {}
-        rows, doc_of, piece_of, times = [], [], [], []
-        for number, row in enumerate(cut):
-            found = [self.known[p] for p in row]
-            if not row or any(p.groups is None for p in found):
-                rows.append((0, 0, 0, 0, ""))
-                continue
-            groups = ";".join([p.groups for p in found])
-            at, n = np.unique(np.fromiter((local.setdefault(p, len(local)) for p in row), np.int64, len(row)), return_counts=True)
-            doc_of.append(np.full(len(at), number))
-            piece_of.append(at)
-            times.append(n)
-            rows.append((sum(p.n_a for p in found), sum(p.n_b for p in found), sum(p.n_groups for p in found),
-                         0, hashlib.sha256(groups.encode()).hexdigest()))
-        return rows, self._matrix([self.known[p] for p in local], len(rows), doc_of, piece_of, times)
-
-    @staticmethod
-    def _matrix(pieces: list[Piece], n_docs: int, doc_of: list, piece_of: list, times: list) -> dict:
-        none = np.empty(0, np.int64)
-        codes = np.concatenate([p.pairs for p in pieces] or [none])
-        links = np.concatenate([p.links for p in pieces] or [none])
-        size = np.array([len(p.pairs) for p in pieces], np.int64)
-        pairs, at = np.unique(codes, return_inverse=True)
-        doc, piece, n = (np.concatenate(x or [none]) for x in (doc_of, piece_of, times))
+        self.pair = pair
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.pieces, self.chars = _Numbers(), Pieces.none(), 0
+
+    def __call__(self, texts: list[str | None]) -> dict:
+        if self.chars > KNOWN_CHARS:
+            self._forget()
+        before = len(self.known)
+        index = [np.fromiter(map(self.known.__getitem__, _PIECE.findall(" " + t)), np.int64) if t else _NONE for t in texts]
+        new = list(islice(self.known, before, None))
+        for at in range(0, len(new), ALIGNED_AT_ONCE):
+            self.pieces += align(self.pair, new[at:at + ALIGNED_AT_ONCE])
+        self.chars += sum(map(len, new))
+        pieces, n_docs = self.pieces, len(texts)
+        texts_of = ["".join(g)[:-1] if len(row) and all(g := [pieces.groups[i] for i in row.tolist()]) else None for row in index]
+        index = [row for row, text in zip(index, texts_of, strict=True) if text]
+        good = np.flatnonzero([text is not None for text in texts_of])
+
+        doc = np.repeat(good, [len(row) for row in index]) if index else _NONE
+        piece = np.concatenate(index) if index else _NONE
+        out = {k: np.bincount(doc, getattr(pieces, k)[piece], n_docs).astype(np.int64) for k in ("n_a", "n_b", "n_groups")}
+        out["sha"] = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts_of]
+        here, piece = np.unique(piece, return_inverse=True)
+        cells, n = np.unique(doc * max(1, len(here)) + piece, return_counts=True)
+        doc, piece = np.divmod(cells, max(1, len(here)))
+
+        size = pieces.n_pairs[here]
+        place = _spans(pieces.n_pairs.cumsum()[here] - size, size)
+        pairs, at = np.unique(pieces.pairs[place], return_inverse=True)
+        links = pieces.links[place]
         # Documents that hold a pair, in whichever of their pieces.
         held = np.repeat(doc, size[piece]) * max(1, len(pairs)) + at[_spans(size.cumsum()[piece] - size[piece], size[piece])]
         docs = np.bincount(np.unique(held) % max(1, len(pairs)), minlength=len(pairs))
-        total = np.bincount(np.repeat(np.arange(len(pieces)), size), links, len(pieces)).astype(np.int64)
+        total = np.bincount(np.repeat(np.arange(len(here)), size), links, len(here)).astype(np.int64)
         n_links = np.zeros(n_docs, np.int64)
         np.add.at(n_links, doc, n * total[piece])
-        return {"pairs": pairs, "docs": docs, "at": at, "links": links, "size": size, "doc": doc, "piece": piece, "n": n,
-                "n_links": n_links}
+        return {**out, "n_links": n_links, "pairs": pairs, "docs": docs, "at": at, "links": links, "size": size, "piece": piece, "n": n,
+                "cells": np.bincount(doc, minlength=n_docs)}
 
 
 def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -234,7 +284,7 @@ def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 _DOC = ["block", "pos", "id", "n_a", "n_b", "n_groups", "n_links", "sha"]
-_ARRAYS = ["at", "links", "size", "doc", "piece", "n"]
+_ARRAYS = ["at", "links", "size", "piece", "n", "cells"]
 _PAIRS = ["pairs", "docs"]
 
 
@@ -245,14 +295,13 @@ def _aligned(byte_bpe: str, piece_bpe: str, id_type: pa.DataType, schema: pa.Sch
         number, texts, ids, chars = TaskContext.get().partitionId() << 24, [], [], 0
 
         def filled() -> pa.RecordBatch:
-            rows, matrix = block(texts)
-            n = len(rows)
-            columns = {"block": [number] * n, "pos": list(range(n)), "id": ids, "n_a": [r[0] for r in rows], "n_b": [r[1] for r in rows],
-                       "n_groups": [r[2] for r in rows], "n_links": matrix["n_links"].tolist(), "sha": [r[4] for r in rows]}
+            matrix, n = block(texts), len(texts)
+            columns = {"block": [number] * n, "pos": list(range(n)), "id": ids,
+                       **{k: matrix[k] for k in ("n_a", "n_b", "n_groups", "n_links", "sha")}}
             documents = pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
             packed = {"block": pa.array([number], pa.int64()),
-                      **{k: pa.array([matrix[k].astype("<i8").tobytes()], pa.binary()) for k in _ARRAYS},
+                      **{k: pa.array([matrix[k].astype("<i4").tobytes()], pa.binary()) for k in _ARRAYS},
                       **{k: pa.ListArray.from_arrays(pa.array([0, len(matrix[k])], pa.int32()), pa.array(matrix[k], pa.int64())) for k in _PAIRS}}
             whole = pa.RecordBatch.from_arrays([packed[f.name] if f.name in packed else pa.nulls(1, f.type) for f in schema], schema=schema)
             return documents, whole
@@ -272,37 +321,28 @@ def _aligned(byte_bpe: str, piece_bpe: str, id_type: pa.DataType, schema: pa.Sch
     return run
 
 
-def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``block, pos, n_best, count_sum`` for the documents of each block from its pairs' counts."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {name: batch.column(name)[i] for name in batch.schema.names}
-            at, links, size, doc, piece, n = (np.frombuffer(row[k].as_buffer(), "<i8") for k in _ARRAYS)
-            pairs = row["pairs"].values.to_numpy()
-            scores = row["scores"].values
-            order = np.searchsorted(pairs, scores.field("pair").to_numpy())
-            count, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-            count[order] = scores.field("count").to_numpy()
-            best[order] = scores.field("best").to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(len(size)), size)
-            sums = np.zeros((2, len(size)), np.int64)
-            np.add.at(sums[0], owner, links * best[at])
-            np.add.at(sums[1], owner, links * count[at])
-            held = np.unique(doc)
-            totals = np.zeros((2, len(held)), np.int64)
-            place = np.searchsorted(held, doc)
-            np.add.at(totals[0], place, n * sums[0][piece])
-            np.add.at(totals[1], place, n * sums[1][piece])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["block"].as_py()] * len(held), pa.int64()), pa.array(held), pa.array(totals[0]), pa.array(totals[1])],
-                names=["block", "pos", "n_best", "count_sum"])
+def _scored(block: pa.Table, scores: pa.Table) -> pa.Table:
+    """``block, pos, n_best, count_sum`` for the documents of one block from its pairs' counts."""
+    if not block.num_rows:
+        return pa.table({"block": _NONE, "pos": _NONE, "n_best": _NONE, "count_sum": _NONE})
+    at, links, size, piece, n, cells = (np.frombuffer(block.column(k)[0].as_buffer(), "<i4").astype(np.int64) for k in _ARRAYS)
+    pairs = scores.column("pair").to_numpy()
+    order = np.argsort(pairs)
+    owner, doc = np.repeat(np.arange(len(size)), size), np.repeat(np.arange(len(cells)), cells)
+    out = {}
+    for name, column in (("n_best", "best"), ("count_sum", "count")):
+        value = scores.column(column).to_numpy()[order].astype(np.int64)
+        of_piece, out[name] = np.zeros(len(size), np.int64), np.zeros(len(cells), np.int64)
+        np.add.at(of_piece, owner, links * value[at])
+        np.add.at(out[name], doc, n * of_piece[piece])
+    return pa.table({"block": np.full(len(cells), block.column("of")[0].as_py()), "pos": np.arange(len(cells)), **out})
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
     """``pair, count, best``: documents that hold a linked pair, and whether no pair of its A id is held by more."""
     counts = (blocks.select(F.explode(F.arrays_zip("pairs", "docs")).alias("p"))
               .groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.docs").alias("count")))
-    counts = stored(counts.withColumn("a", F.shiftright("pair", 32)), "pairs")
+    counts = stored(counts.withColumn("a", F.shiftright("pair", 20)), "pairs")
     most = counts.groupBy("a").agg(F.max("count").alias("most"))
     return counts.join(most, "a").select("pair", "count", (F.col("count") == F.col("most")).alias("best"))
 
@@ -330,9 +370,9 @@ def align_tokenizers(docs: DataFrame, byte_bpe: str, piece_bpe: str, doc_id: str
     rows, blocks = found.where("pos is not null").select(*_DOC), found.where("pos is null").select("block", *_ARRAYS, *_PAIRS)
 
     scores = (blocks.select("block", F.explode("pairs").alias("pair")).join(pair_counts(blocks), "pair")
-              .groupBy("block").agg(F.collect_list(F.struct("pair", "count", "best")).alias("scores")))
-    sums = (blocks.select("block", *_ARRAYS, "pairs").join(scores, "block")
-            .mapInArrow(_scored, "block long, pos long, n_best long, count_sum long"))
+              .select("block", "pair", "count", F.col("best").cast("long").alias("best")))
+    sums = (blocks.select(F.col("block").alias("of"), *_ARRAYS).groupBy("of").cogroup(scores.groupBy("block"))
+            .applyInArrow(lambda block, found: _scored(block, found), "block long, pos long, n_best long, count_sum long"))
     return rows.join(sums, ["block", "pos"], "left").select(
         F.col("id").alias(doc_id), "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", F.lit(0)).alias("n_best"),
         F.coalesce("count_sum", F.lit(0)).alias("count_sum"), F.col("sha").alias("groups_sha256"))

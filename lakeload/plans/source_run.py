@@ -25,7 +25,7 @@ DEFAULT_WORKERS = 10
 def run_source(spark: SparkSession, tables: DataFrame, source: str, run_ts: str, root: str,
                retry: list[str] | None = None, force: bool = False, workers: int | None = None,
                optimize_for: str = "throughput", load_options: dict | None = None,
-               merge_options: dict | None = None) -> dict:
+               merge_options: dict | None = None, store: logs.LogStore = logs.LOGS) -> dict:
     """Load every pending table of a source and merge those with business keys.
 
     ``tables`` is a registry (see ``read_registry``). A table that the log shows as successful
@@ -35,9 +35,9 @@ def run_source(spark: SparkSession, tables: DataFrame, source: str, run_ts: str,
 
     Tables are submitted from a few driver threads, each in its own scheduler pool; with
     ``spark.scheduler.mode=FAIR`` Spark shares the executors between them, so one huge table
-    does not hold up the small ones.
+    does not hold up the small ones. ``store`` names the logs that the run reads and writes.
     """
-    logs.ensure_log_tables(spark)
+    logs.ensure_log_tables(spark, store)
     run_id = f"{run_ts}_{uuid.uuid4().hex[:8]}"
     wanted = None if not retry else spark.createDataFrame([(n,) for n in retry], "name string")
     # Names are settled over the whole registry: two sources may have tables of one name.
@@ -46,13 +46,13 @@ def run_source(spark: SparkSession, tables: DataFrame, source: str, run_ts: str,
     for row in registry.target_schemas(chosen).collect():
         ensure_schema(spark, row.schema_name)
 
-    bronze_log = spark.table(quoted(BRONZE_LOG))
+    bronze_log = logs.read_log(spark, BRONZE_LOG, store)
     todo = chosen
     if not force:
         todo = registry.pending_tables(chosen, runlog.successful_tables(bronze_log, run_ts))
     sizes = runlog.latest_sizes(bronze_log.where(F.col("source") == source))
     specs = [TableSpec.from_row(r) for r in runlog.largest_first(todo, sizes).collect()]
-    pool = workers or recommended_workers(spark, source, optimize_for)
+    pool = workers or recommended_workers(spark, source, optimize_for, store)
     pool = max(1, min(pool, len(specs) or pool))
 
     bronze_results = _in_parallel(
@@ -60,35 +60,36 @@ def run_source(spark: SparkSession, tables: DataFrame, source: str, run_ts: str,
         lambda spec: load_table(spark, spec, source, run_id, run_ts, root, **(load_options or {})))
     if bronze_results:
         run_log_id = uuid.uuid4().hex
-        logs.log_batch(spark, bronze_results, "bronze", run_log_id)
-        summary = runlog.bronze_run_summary(_rows_of(spark, BRONZE_LOG, run_ts, run_id), pool)
-        logs.append_logs(spark, summary.withColumn("log_id", F.lit(run_log_id)), BRONZE_SUMMARY)
+        logs.log_batch(spark, bronze_results, "bronze", run_log_id, store)
+        summary = runlog.bronze_run_summary(_rows_of(spark, BRONZE_LOG, run_ts, run_id, store), pool)
+        logs.append_logs(spark, summary.withColumn("log_id", F.lit(run_log_id)), BRONZE_SUMMARY, store)
 
-    loaded = runlog.successful_tables(spark.table(quoted(BRONZE_LOG)), run_ts)
-    merged = None if force else runlog.successful_tables(spark.table(quoted(SILVER_LOG)), run_ts)
+    loaded = runlog.successful_tables(logs.read_log(spark, BRONZE_LOG, store), run_ts)
+    merged = None if force else runlog.successful_tables(logs.read_log(spark, SILVER_LOG, store), run_ts)
     candidates = [TableSpec.from_row(r) for r in registry.silver_candidates(chosen, loaded, merged).collect()]
     silver_results = _in_parallel(
         spark, pool, candidates,
         lambda spec: merge_table(spark, spec, source, run_id, run_ts, **(merge_options or {})))
     if silver_results:
-        logs.log_batch(spark, silver_results, "silver")
+        logs.log_batch(spark, silver_results, "silver", store=store)
         logs.append_logs(
-            spark, runlog.silver_run_summary(_rows_of(spark, SILVER_LOG, run_ts, run_id)), SILVER_SUMMARY)
+            spark, runlog.silver_run_summary(_rows_of(spark, SILVER_LOG, run_ts, run_id, store)), SILVER_SUMMARY, store)
     status = runlog.status_of_run(
-        _rows_of(spark, BRONZE_LOG, run_ts, run_id), _rows_of(spark, SILVER_LOG, run_ts, run_id)).first()
+        _rows_of(spark, BRONZE_LOG, run_ts, run_id, store), _rows_of(spark, SILVER_LOG, run_ts, run_id, store)).first()
     unknown = [] if wanted is None else [r.name for r in registry.unknown_retries(tables, wanted).collect()]
     return {
         "run_id": run_id, "source": source, "run_ts": run_ts, "workers": pool, "status": status.overall_status,
         "bronze": bronze_results, "silver": silver_results, "unknown_retries": sorted(unknown)}
 
 
-def _rows_of(spark: SparkSession, table: str, run_ts: str, run_id: str) -> DataFrame:
-    return runlog.logs_for_run(spark.table(quoted(table)), run_ts).where(F.col("run_id") == run_id)
+def _rows_of(spark: SparkSession, table: str, run_ts: str, run_id: str, store: logs.LogStore) -> DataFrame:
+    return runlog.logs_for_run(spark.table(quoted(store.table(table))), run_ts).where(F.col("run_id") == run_id)
 
 
-def recommended_workers(spark: SparkSession, source: str, optimize_for: str = "throughput") -> int:
+def recommended_workers(spark: SparkSession, source: str, optimize_for: str = "throughput",
+                        store: logs.LogStore = logs.LOGS) -> int:
     """Driver threads for the next run of a source, from its run history."""
-    history = spark.table(quoted(BRONZE_SUMMARY)).where(F.col("source") == source)
+    history = logs.read_log(spark, BRONZE_SUMMARY, store).where(F.col("source") == source)
     row = tuning.recommend_workers(
         history, DEFAULT_WORKERS, optimize_for=optimize_for, tie_breakers=[F.col("run_id").desc()]).first()
     return int(row.recommended_workers) if row else DEFAULT_WORKERS

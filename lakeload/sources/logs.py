@@ -1,9 +1,11 @@
 """The four log tables: set-up, batch append, summaries, upsert, compaction.
 
-Several runs write to one log table at a time. Each write therefore fills a folder of its own
-(``write_id=<unique>``), which it registers when it is complete: writers share no temporary folder and
-a failed write leaves nothing that readers see. The folders pile up, one per write;
-:func:`compact_log` joins those of past days.
+Several runs write to one log table at a time, from sessions that need not share a catalog. The tables
+are external, at a fixed place (:class:`LogStore`), and the folders there are the log: each write fills
+one of its own (``write_id=<unique>``), which counts once its ``_SUCCESS`` file stands. Writers share no
+temporary folder and a failed write leaves nothing that readers see. A catalog that knows less, or more,
+than the folders is brought in line when it opens a log and when it reads one (:func:`read_log`). The
+folders pile up, one per write; :func:`compact_log` joins those of past days.
 """
 
 from __future__ import annotations
@@ -12,10 +14,11 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 from lakeload.functions.stamps import parse_run_date
 from lakeload.functions.text import truncate_message, truncate_text
@@ -24,8 +27,32 @@ from lakeload.schemas import (
     BRONZE_LOG, BRONZE_SUMMARY, LOG_PARTITIONS, LOG_SCHEMAS, SILVER_LOG, SILVER_SUMMARY, WRITE_COLUMN)
 from lakeload.session import reliable_checkpoint
 from lakeload.sources.bronze import add_partitions, drop_partitions
-from lakeload.sources.tables import ensure_schema, quoted, table_location
+from lakeload.sources.files import delete_folder, matching_paths
+from lakeload.sources.tables import ensure_schema, quoted, table_exists, table_location
 
+# Fixed value: how partition folders spell a missing value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class LogStore:
+    """Where the log tables live: a database name, and the folder below which their files lie.
+
+    Without ``root`` that is the session's warehouse folder. Sessions with the same root share their logs.
+    """
+
+    database: str = "logs"
+    root: str | None = None
+
+    def table(self, name: str) -> str:
+        return f"{self.database}.{name.rsplit('.', 1)[-1]}"
+
+    def location(self, spark: SparkSession, name: str) -> str:
+        root = self.root or spark.conf.get("spark.sql.warehouse.dir")
+        return f"{root.rstrip('/')}/{self.database}.db/{name.rsplit('.', 1)[-1]}"
+
+
+LOGS = LogStore()
 LAYERS = {"bronze": (BRONZE_LOG, BRONZE_SUMMARY), "silver": (SILVER_LOG, SILVER_SUMMARY)}
 
 
@@ -36,15 +63,52 @@ def layer_tables(layer: str) -> tuple[str, str]:
     return LAYERS[layer.lower()]
 
 
-def ensure_log_tables(spark: SparkSession) -> None:
-    """Create what is missing; safe to call before every write."""
-    ensure_schema(spark, "logs")
+def ensure_log_tables(spark: SparkSession, store: LogStore = LOGS) -> None:
+    """Create what this catalog is missing, over the folders that are there; safe to call before every write."""
+    ensure_schema(spark, store.database)
     for table, schema in LOG_SCHEMAS.items():
+        name = store.table(table)
+        if table_exists(spark, name):
+            continue
         columns = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields)
-        parts = LOG_PARTITIONS[table]
-        tail = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}) USING parquet{tail}")
+        place = store.location(spark, table).replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({columns}) USING parquet "
+                  f"PARTITIONED BY ({', '.join(LOG_PARTITIONS[table])}) LOCATION '{place}'")
+        refresh_log(spark, table, store)
+
+
+def refresh_log(spark: SparkSession, table: str, store: LogStore = LOGS) -> None:
+    """Bring the catalog's partitions in line with the folders of complete writes."""
+    name = store.table(table)
+    # The catalog first: a partition it has was complete before the folders are listed.
+    known = {r.partition for r in spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect()}
+    there = _complete_partitions(spark, table, table_location(spark, name))
+    add_partitions(spark, name, [_values(p) for p in sorted(there - known)])
+    drop_partitions(spark, name, [_values(p) for p in sorted(known - there)])
+
+
+def read_log(spark: SparkSession, table: str, store: LogStore = LOGS) -> DataFrame:
+    """A log table with the writes of every session up to now."""
+    ensure_log_tables(spark, store)
+    refresh_log(spark, table, store)
+    return spark.table(quoted(store.table(table)))
+
+
+def _complete_partitions(spark: SparkSession, table: str, location: str, write_id: str = "*") -> set[str]:
+    """Partitions, as folder names below the table, of writes that are complete."""
+    def below(path: str) -> str:
+        return path[path.index(f"/{WRITE_COLUMN}=") + 1:]
+
+    complete = {below(p).split("/")[0] for p in matching_paths(spark, f"{location}/{WRITE_COLUMN}={write_id}/_SUCCESS")}
+    inner = "".join(f"/{c}=*" for c in LOG_PARTITIONS[table][1:])
+    found = map(below, matching_paths(spark, f"{location}/{WRITE_COLUMN}={write_id}{inner}"))
+    return {p for p in found if p.split("/")[0] in complete}
+
+
+def _values(partition: str) -> dict[str, str | None]:
+    pairs = (part.split("=", 1) for part in partition.split("/"))
+    return {column: None if value == NO_VALUE else unquote(value) for column, value in pairs}
 
 
 def conform_log(df: DataFrame, table: str) -> DataFrame:
@@ -58,24 +122,19 @@ def conform_log(df: DataFrame, table: str) -> DataFrame:
     return df.select(*columns)
 
 
-def append_logs(spark: SparkSession, df: DataFrame, table: str) -> None:
+def append_logs(spark: SparkSession, df: DataFrame, table: str, store: LogStore = LOGS) -> None:
     """Append log rows that are a DataFrame already (such as a summary computed from logs)."""
-    ensure_log_tables(spark)
-    _write_own(spark, conform_log(df, table), table)
+    ensure_log_tables(spark, store)
+    _write_own(spark, conform_log(df, table), table, store)
 
 
-def _write_own(spark: SparkSession, rows: DataFrame, table: str) -> None:
+def _write_own(spark: SparkSession, rows: DataFrame, table: str, store: LogStore) -> None:
     """Write rows to a folder of their own and register its partitions: one per day and table."""
-    write_id = uuid.uuid4().hex
-    inner = LOG_PARTITIONS[table][1:]
-    path = f"{table_location(spark, table)}/{WRITE_COLUMN}={write_id}"
-    schema = [f for f in LOG_SCHEMAS[table].fields if f.name != WRITE_COLUMN]
-    rows.select(*[f.name for f in schema]).write.partitionBy(*inner).parquet(path)
-    found = [{}]
-    if inner:
-        written = spark.read.schema(StructType([StructField(f.name, f.dataType) for f in schema])).parquet(path)
-        found = [r.asDict() for r in written.select(*inner).distinct().collect()]
-    add_partitions(spark, table, [{WRITE_COLUMN: write_id, **values} for values in found])
+    write_id, name = uuid.uuid4().hex, store.table(table)
+    location = table_location(spark, name)
+    columns = [f.name for f in LOG_SCHEMAS[table].fields if f.name != WRITE_COLUMN]
+    rows.select(*columns).write.partitionBy(*LOG_PARTITIONS[table][1:]).parquet(f"{location}/{WRITE_COLUMN}={write_id}")
+    add_partitions(spark, name, [_values(p) for p in sorted(_complete_partitions(spark, table, location, write_id))])
 
 
 def _require(record: dict, names: Sequence[str], table: str) -> None:
@@ -91,7 +150,8 @@ def _frame(spark: SparkSession, records: list[dict], table: str) -> DataFrame:
     return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in records], schema)
 
 
-def log_batch(spark: SparkSession, records: list[dict], layer: str, run_log_id: str | None = None) -> int:
+def log_batch(spark: SparkSession, records: list[dict], layer: str, run_log_id: str | None = None,
+              store: LogStore = LOGS) -> int:
     """Append the results of a run, one record per table, in one write."""
     table, _ = layer_tables(layer)
     if not records:
@@ -111,16 +171,17 @@ def log_batch(spark: SparkSession, records: list[dict], layer: str, run_log_id:
             row["log_id"] = row.get("log_id") or f"{run_log_id}_{uuid.uuid4().hex[:8]}"
             row["partition_key"] = row.get("partition_key") or run_ts
         rows.append(row)
-    append_logs(spark, _frame(spark, rows, table), table)
+    append_logs(spark, _frame(spark, rows, table), table, store)
     return len(rows)
 
 
-def log_table_processing(spark: SparkSession, layer: str = "bronze", run_log_id: str | None = None, **record) -> int:
+def log_table_processing(spark: SparkSession, layer: str = "bronze", run_log_id: str | None = None,
+                         store: LogStore = LOGS, **record) -> int:
     """Append one record."""
-    return log_batch(spark, [record], layer, run_log_id)
+    return log_batch(spark, [record], layer, run_log_id, store)
 
 
-def log_summary(spark: SparkSession, summary: dict, layer: str) -> str | None:
+def log_summary(spark: SparkSession, summary: dict, layer: str, store: LogStore = LOGS) -> str | None:
     """Append one run summary; returns its id for bronze, None for silver."""
     _, table = layer_tables(layer)
     row = dict(summary)
@@ -136,11 +197,11 @@ def log_summary(spark: SparkSession, summary: dict, layer: str) -> str | None:
         row["run_id"] = row.get("run_id") or f"{row['run_ts']}_{log_id[:8]}"
         row["status"] = row.get("status") or ("PARTIAL" if row.get("tables_failed") else "SUCCESS")
         row["error_message"] = truncate_text(row.get("error_message"))
-    append_logs(spark, _frame(spark, [row], table), table)
+    append_logs(spark, _frame(spark, [row], table), table, store)
     return log_id
 
 
-def upsert_logs(spark: SparkSession, updates: DataFrame, layer: str = "bronze") -> None:
+def upsert_logs(spark: SparkSession, updates: DataFrame, layer: str = "bronze", store: LogStore = LOGS) -> None:
     """Merge log rows by (log_id, table_name, run_date); of several updates of one key any may win.
 
     Only the partitions that hold an updated row are read and rewritten, each as a whole and by
@@ -149,41 +210,52 @@ def upsert_logs(spark: SparkSession, updates: DataFrame, layer: str = "bronze")
     what a plan reads.
     """
     table, _ = layer_tables(layer)
-    ensure_log_tables(spark)
+    log, name = read_log(spark, table, store), store.table(table)
     parts = LOG_PARTITIONS[table]
     keys = list(LOG_UPSERT_KEYS)
     fresh = reliable_checkpoint(spark, conform_log(updates, table).drop(WRITE_COLUMN).dropDuplicates(keys))
     days = fresh.select("run_date").distinct()
-    existing = spark.table(quoted(table)).join(days, ["run_date"], "left_semi")
+    existing = log.join(days, ["run_date"], "left_semi")
     touched = reliable_checkpoint(spark, existing.join(fresh, keys, "left_semi").select(*parts).distinct())
     existing = existing.join(touched, parts, "left_semi")
     merged = reliable_checkpoint(spark, upsert_log_rows(existing, fresh, keys))
     (merged.where(F.col(WRITE_COLUMN).isNotNull()).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table_location(spark, table)))
-    spark.catalog.refreshTable(quoted(table))
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table_location(spark, name)))
+    spark.catalog.refreshTable(quoted(name))
     added = merged.where(F.col(WRITE_COLUMN).isNull())
     if not added.isEmpty():
-        _write_own(spark, added, table)
+        _write_own(spark, added, table, store)
 
 
-def compact_log(spark: SparkSession, table: str, before: dt.date) -> int:
+def compact_log(spark: SparkSession, table: str, before: dt.date, store: LogStore = LOGS) -> int:
     """Join the write folders of log days before ``before`` into one; returns how many went.
 
-    The joined rows are registered before the old folders go, so readers may see rows twice for
-    a moment but never miss one.
+    The joined rows are complete before the old folders go, so readers may see rows twice for a moment but
+    never miss one. A session that listed the folders before must list them again (:func:`read_log`).
     """
-    rows = spark.table(quoted(table)).where(F.col("run_date") < F.lit(before))
-    old = [r[0] for r in rows.select(WRITE_COLUMN).distinct().collect()]
+    log, name = read_log(spark, table, store), store.table(table)
     inner = LOG_PARTITIONS[table][1:]
-    if "run_date" not in inner:
+    if "run_date" in inner:
+        partitions = (_values(r.partition) for r in spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect())
+        old = [p for p in partitions if p["run_date"] is not None and dt.date.fromisoformat(p["run_date"]) < before]
+        rows = log.where(F.col("run_date") < F.lit(before))
+    else:
         # Summary folders hold whole writes; only those entirely in the past are joined.
-        kept = {r[0] for r in spark.table(quoted(table)).where(F.col("run_date") >= F.lit(before))
-                .select(WRITE_COLUMN).distinct().collect()}
-        old = [w for w in old if w not in kept]
-        rows = rows.where(F.col(WRITE_COLUMN).isin(old)) if old else rows.where("false")
-    if len(old) < 2:
+        past = log.groupBy(WRITE_COLUMN).agg(F.max("run_date").alias("last"), F.count("run_date").alias("dated"), F.count("*").alias("n"))
+        past = past.where((F.col("last") < F.lit(before)) & (F.col("dated") == F.col("n"))).select(WRITE_COLUMN)
+        old = [r.asDict() for r in past.collect()]
+        rows = log.join(past, WRITE_COLUMN, "left_semi")
+    writes = {p[WRITE_COLUMN] for p in old}
+    if len(writes) < 2:
         return 0
-    specs = [r.asDict() for r in rows.select(*LOG_PARTITIONS[table]).distinct().collect()]
-    _write_own(spark, reliable_checkpoint(spark, rows.repartition(*inner) if inner else rows.coalesce(1)), table)
-    drop_partitions(spark, table, specs)
-    return len(old)
+    _write_own(spark, reliable_checkpoint(spark, rows.repartition(*inner) if inner else rows.coalesce(1)), table, store)
+    location = table_location(spark, name)
+    # Whole days of a write go, or the whole write.
+    going = {"/".join(p.split("/")[:2]) for w in writes for p in _complete_partitions(spark, table, location, w) if _values(p) in old}
+    drop_partitions(spark, name, old)
+    for partition in going:
+        delete_folder(spark, f"{location}/{partition}")
+    for write in writes:
+        if not _complete_partitions(spark, table, location, write):
+            delete_folder(spark, f"{location}/{WRITE_COLUMN}={write}")
+    return len(writes)

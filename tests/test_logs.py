@@ -113,3 +113,43 @@ def test_tuning_report(spark, sf_dir):
     report = tuning_report(fx.run_history(spark, sf_dir), "1-URGENT", 12)
     assert report["runs"].count() == 12
     assert all({r.source for r in df.select("source").collect()} <= {"1-URGENT"} for df in report.values())
+
+
+def test_another_catalog_opens_the_same_log(spark, tmp_path):
+    """A catalog that lost a log, as every new session without a metastore has, finds its complete writes again."""
+    store = logs.LogStore(f"log_{uuid.uuid4().hex[:8]}", str(tmp_path))
+    source = uuid.uuid4().hex
+    for day in ("20240601T000000", "20240602T000000", "20240603T000000"):
+        logs.log_batch(spark, [record(day, "a b=c/é", source=source), record(day, "u", source=source)], "bronze", "x", store)
+        logs.log_summary(spark, {"run_ts": day, "source": source, "run_id": "r", "run_start": NOW, "run_end": NOW, "total_tables": 1}, "silver", store)
+        for table in LOG_SCHEMAS:
+            spark.sql(f"DROP TABLE {store.table(table)}")
+    got = {(r.run_ts[:8], r.table_name) for r in logs.read_log(spark, BRONZE_LOG, store).collect()}
+    assert got == {(d, t) for d in ("20240601", "20240602", "20240603") for t in ("a b=c/é", "u")}
+    assert logs.read_log(spark, SILVER_SUMMARY, store).count() == 3
+    assert logs.read_log(spark, BRONZE_LOG).where(F.col("source") == source).count() == 0
+
+    # A write without its success file does not count; one that goes leaves the catalog.
+    place = next(tmp_path.rglob("write_id=*/run_date=2024-06-01")).parent
+    marks = list(place.glob("*_SUCCESS"))
+    assert len(marks) == 1
+    marks[0].unlink()
+    left = {r.run_ts[:8] for r in logs.read_log(spark, BRONZE_LOG, store).collect()}
+    other = {r.run_ts[:8] for r in logs.read_log(spark, SILVER_LOG, store).collect()}
+    assert left == {"20240602", "20240603"} and other == set()
+
+
+def test_compaction_is_seen_by_other_catalogs(spark, tmp_path):
+    store = logs.LogStore(f"log_{uuid.uuid4().hex[:8]}", str(tmp_path))
+    for day in ("20240601T000000", "20240601T010000", "20240602T000000", "20240603T000000"):
+        logs.log_batch(spark, [record(day, "t"), record("20240603T000000", "t")], "bronze", "x", store)
+        logs.log_summary(spark, {"run_ts": day, "source": "s", "run_id": "r", "run_start": NOW, "run_end": NOW, "total_tables": 1}, "silver", store)
+    before = sorted(r.log_id for r in logs.read_log(spark, BRONZE_LOG, store).collect())
+    assert logs.compact_log(spark, BRONZE_LOG, dt.date(2024, 6, 3), store) == 3
+    assert logs.compact_log(spark, SILVER_SUMMARY, dt.date(2024, 6, 3), store) == 3
+    for table in LOG_SCHEMAS:
+        spark.sql(f"DROP TABLE {store.table(table)}")
+    assert sorted(r.log_id for r in logs.read_log(spark, BRONZE_LOG, store).collect()) == before
+    assert logs.read_log(spark, SILVER_SUMMARY, store).count() == 4
+    assert len(list(tmp_path.rglob("run_date=2024-06-01"))) == 1
+    assert logs.compact_log(spark, BRONZE_LOG, dt.date(2024, 6, 1), store) == 0

@@ -15,15 +15,14 @@ from lakeload.operators.runlog import FAILED, SKIPPED, SUCCESS
 from lakeload.plans.bronze import MESSAGE_LIMIT, utc_now
 from lakeload.plans.spec import TableSpec
 from lakeload.schemas import LOG_SCHEMAS, SILVER_LOG
-from lakeload.sources import bronze, versioned
-from lakeload.sources.tables import described, is_view, quoted, table_bytes, table_exists
+from lakeload.sources import bronze, covered, versioned
+from lakeload.sources.tables import described, folder_bytes, is_view, quoted, table_bytes, table_exists
 
 # Fixed value: message that readers of the log look for.
 NO_KEYS = "Business keys not defined in table config"
 REJECTED_SUFFIX = "__rejected"
-# Properties of a silver version: when bronze was read (seconds), and when that table was created.
-READ_AT, STARTED = "lakeload.read_at", "lakeload.bronze_started"
-CLOCK_SLACK = 1
+# Property of a silver version: when its bronze table was created.
+STARTED = "lakeload.bronze_started"
 
 
 def merge_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str, run_ts: str,
@@ -38,10 +37,10 @@ def merge_table(spark: SparkSession, spec: TableSpec, source: str, run_id: str,
     throughout.
 
     Of a load history a merge reads just the runs after the version it builds on, so its cost is
-    that of the new runs. It reads the whole history when an older run was loaded or rewritten
-    since, or the history was started over: only then can a newer row be already there, or rows
-    have gone. ``only_new_loads`` decides otherwise: False always reads everything, True never
-    does.
+    that of the new runs. It reads the whole history when the files of earlier runs are not those
+    that version covers (see ``sources.covered``): an older run was committed or rewritten since, or
+    the history was started over. ``only_new_loads`` decides otherwise: False always reads
+    everything, True never does.
     """
     started = utc_now()
     record = dict.fromkeys(LOG_SCHEMAS[SILVER_LOG].fieldNames())
@@ -83,9 +82,13 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
     base = versioned.version_before(spark, spec.silver_table, run_ts)
     rows = bronze_as_of(spark, spec.bronze_table, run_ts)
     order = []
-    read_at = int(utc_now().timestamp())
+    listing = covered.listed_files(spark, spec.bronze_table, run_ts.upper()) if history else None
+    known = covered.covered_files(spark, spec.silver_table, base.run_ts) if history and base else None
+    started = described(spark, spec.bronze_table, "Created Time") or ""
+    if known is not None and versioned.version_properties(spark, base).get(STARTED) != started:
+        known = None
     partial = history and base is not None and (
-        _grown_only(spark, spec, rows, base) if only_new_loads is None else only_new_loads)
+        covered.only_grown(listing, known, base.run_ts) if only_new_loads is None else only_new_loads)
     if history:
         rows = loads_until(rows, run_ts, after=base.run_ts if partial else None)
         order.append(F.col(LOAD_COLUMN).desc())
@@ -99,31 +102,20 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
     metrics = versioned.write_version(
         spark, spec.silver_table, merged, run_ts, bucket_by=keys, buckets=buckets, laid_out=True,
         metrics=merge.merge_metrics(), drop_columns=[merge.CHANGE, merge.IN_SOURCE],
-        properties={READ_AT: str(read_at), STARTED: described(spark, spec.bronze_table, "Created Time") or ""})
+        properties={STARTED: started})
     metrics.pop("rows")
+    if history:
+        covered.record_covered(spark, spec.silver_table, spec.bronze_table, run_ts.upper(), listing, known if partial else None)
     return metrics, _set_aside(spark, spec, rows, keys, run_ts, base.run_ts if base and history else None)
 
 
-def _grown_only(spark: SparkSession, spec: TableSpec, rows: DataFrame, base: versioned.Version) -> bool:
-    """Whether all that happened to a history since a silver version are later runs.
-
-    Files know when they were written; the filter on that time is applied to the file listing, so
-    files of older runs are not opened.
-    """
-    known = versioned.version_properties(spark, base)
-    if READ_AT not in known or known.get(STARTED) != (described(spark, spec.bronze_table, "Created Time") or ""):
-        return False
-    # Store and driver clocks may differ a little, and a run may have been written while the merge read.
-    since = F.timestamp_seconds(F.lit(int(known[READ_AT]) - CLOCK_SLACK))
-    late = rows.where((F.col(LOAD_COLUMN) <= base.run_ts) & (F.col("_metadata.file_modification_time") > since))
-    return late.limit(1).isEmpty()
-
-
 def _expected_bytes(spark: SparkSession, spec: TableSpec, run_ts: str, base: versioned.Version | None) -> int:
     """Upper bound for the size of the next state: the last one plus what came in."""
     table = versioned.published(spark, spec.bronze_table) or spec.bronze_table
-    newest = f"{LOAD_COLUMN}={run_ts}" if base and spec.load_mode == "incremental" else ""
-    incoming = table_bytes(spark, table, newest) or 0
+    if base and spec.load_mode == "incremental":
+        incoming = sum(folder_bytes(spark, p) for p in bronze.run_folders(spark, table, run_ts))
+    else:
+        incoming = table_bytes(spark, table) or 0
     return incoming + (table_bytes(spark, base.table) or 0 if base else 0)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeload.operators.current import LOAD_COLUMN
 from lakeload.sources import versioned
+from lakeload.sources.files import delete_folder, matching_paths, partition_folder, partition_values
 from lakeload.sources.tables import (
     drop_table, ensure_schema_of, is_view, partition_columns, quoted, shaped, table_exists, table_location)
 
@@ -23,6 +24,8 @@ YEAR_COLUMN, MONTH_COLUMN = "p_year", "p_month"
 # A stream adds its micro-batch to the partitions of a load history; a batch load into such a
 # history writes this one.
 BATCH_COLUMN, BATCH_LOAD = "_bronze_batch", "load"
+# Partitions that a load wrote lie in a folder of that attempt below this one.
+ATTEMPTS = "attempts"
 
 
 class SchemaConflict(ValueError):
@@ -180,23 +183,53 @@ def _ensure_partitioned(spark: SparkSession, target: str, df: DataFrame, columns
 
 def _overwrite_partitions(spark: SparkSession, target: str, df: DataFrame, columns: Sequence[str],
                           shape: FileShape, static: dict[str, str] | None = None) -> int:
-    """Write partition folders in place, then make those written known to the catalog."""
-    location = table_location(spark, target)
+    """Write partitions to a folder of this attempt, then point the catalog at it and remove the old folders.
+
+    Until the write is complete readers see the old rows, and a failed one changes nothing. Each partition
+    switches at once; an attempt that ends halfway through several leaves old and new ones, all of them whole,
+    and is made good by the next.
+    """
+    known = {r.partition for r in spark.sql(f"SHOW PARTITIONS {quoted(target)}").collect()}
+    attempt = f"{table_location(spark, target)}/{ATTEMPTS}/{uuid.uuid4().hex}"
     counted, observation = _counted(df)
-    writer = counted.drop(*(columns if static else ())).write.mode("overwrite")
+    writer = counted.drop(*(columns if static else ())).write
     if shape.max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", shape.max_rows_per_file)
     if static:
-        writer.parquet("/".join([location, *(f"{c}={v}" for c, v in static.items())]))
-        written = [static]
+        written = [partition_folder(static)]
+        writer.parquet(f"{attempt}/{written[0]}")
     else:
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(location)
-        # At most a few hundred months.
-        written = [r.asDict() for r in df.select(*columns).distinct().collect()]
-    add_partitions(spark, target, written)
+        writer.partitionBy(*columns).parquet(attempt)
+        places = matching_paths(spark, "/".join([attempt, *(f"{c}=*" for c in columns)]))
+        written = sorted(p[p.index(f"/{columns[0]}=") + 1:] for p in places)
+    old = []
+    for folder in written:
+        values = partition_values(folder)
+        if folder in known:
+            old.append(partition_location(spark, target, values))
+            change = f"{_partition(values)} SET LOCATION"
+        else:
+            change = f"ADD {_partition(values)} LOCATION"
+        spark.sql(f"ALTER TABLE {quoted(target)} {change} '{attempt}/{folder}'")
+    spark.catalog.refreshTable(quoted(target))
+    for place in old:
+        delete_folder(spark, place)
     return observation.get["rows"]
 
 
+def partition_location(spark: SparkSession, target: str, values: dict) -> str | None:
+    """Folder of one partition."""
+    row = (spark.sql(f"DESCRIBE EXTENDED {quoted(target)} {_partition(values)}")
+           .where("col_name = 'Location'").select("data_type").first())
+    return row.data_type if row else None
+
+
+def run_folders(spark: SparkSession, target: str, run_ts: str) -> list[str]:
+    """Folders of one run of a load history: one, or one for each micro-batch of a stream."""
+    found = spark.sql(f"SHOW PARTITIONS {quoted(target)}").where(F.split("partition", "/")[0] == f"{LOAD_COLUMN}={run_ts}")
+    return [partition_location(spark, target, partition_values(r.partition)) for r in found.collect()]
+
+
 def _partition(values: dict) -> str:
     def text(value) -> str:
         return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"

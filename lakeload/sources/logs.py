@@ -15,7 +15,6 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +26,9 @@ from lakeload.schemas import (
     BRONZE_LOG, BRONZE_SUMMARY, LOG_PARTITIONS, LOG_SCHEMAS, SILVER_LOG, SILVER_SUMMARY, WRITE_COLUMN)
 from lakeload.session import reliable_checkpoint
 from lakeload.sources.bronze import add_partitions, drop_partitions
-from lakeload.sources.files import delete_folder, matching_paths
+from lakeload.sources.files import delete_folder, matching_paths, partition_values
 from lakeload.sources.tables import ensure_schema, quoted, table_exists, table_location
 
-# Fixed value: how partition folders spell a missing value.
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-
-
 @dataclass(frozen=True)
 class LogStore:
     """Where the log tables live: a database name, and the folder below which their files lie.
@@ -84,8 +79,8 @@ def refresh_log(spark: SparkSession, table: str, store: LogStore = LOGS) -> None
     # The catalog first: a partition it has was complete before the folders are listed.
     known = {r.partition for r in spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect()}
     there = _complete_partitions(spark, table, table_location(spark, name))
-    add_partitions(spark, name, [_values(p) for p in sorted(there - known)])
-    drop_partitions(spark, name, [_values(p) for p in sorted(known - there)])
+    add_partitions(spark, name, [partition_values(p) for p in sorted(there - known)])
+    drop_partitions(spark, name, [partition_values(p) for p in sorted(known - there)])
 
 
 def read_log(spark: SparkSession, table: str, store: LogStore = LOGS) -> DataFrame:
@@ -106,11 +101,6 @@ def _complete_partitions(spark: SparkSession, table: str, location: str, write_i
     return {p for p in found if p.split("/")[0] in complete}
 
 
-def _values(partition: str) -> dict[str, str | None]:
-    pairs = (part.split("=", 1) for part in partition.split("/"))
-    return {column: None if value == NO_VALUE else unquote(value) for column, value in pairs}
-
-
 def conform_log(df: DataFrame, table: str) -> DataFrame:
     """Columns of a log table in its order and types; absent ones are NULL, messages are cut."""
     columns = []
@@ -134,7 +124,7 @@ def _write_own(spark: SparkSession, rows: DataFrame, table: str, store: LogStore
     location = table_location(spark, name)
     columns = [f.name for f in LOG_SCHEMAS[table].fields if f.name != WRITE_COLUMN]
     rows.select(*columns).write.partitionBy(*LOG_PARTITIONS[table][1:]).parquet(f"{location}/{WRITE_COLUMN}={write_id}")
-    add_partitions(spark, name, [_values(p) for p in sorted(_complete_partitions(spark, table, location, write_id))])
+    add_partitions(spark, name, [partition_values(p) for p in sorted(_complete_partitions(spark, table, location, write_id))])
 
 
 def _require(record: dict, names: Sequence[str], table: str) -> None:
@@ -236,7 +226,7 @@ def compact_log(spark: SparkSession, table: str, before: dt.date, store: LogStor
     log, name = read_log(spark, table, store), store.table(table)
     inner = LOG_PARTITIONS[table][1:]
     if "run_date" in inner:
-        partitions = (_values(r.partition) for r in spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect())
+        partitions = (partition_values(r.partition) for r in spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect())
         old = [p for p in partitions if p["run_date"] is not None and dt.date.fromisoformat(p["run_date"]) < before]
         rows = log.where(F.col("run_date") < F.lit(before))
     else:
@@ -251,7 +241,7 @@ def compact_log(spark: SparkSession, table: str, before: dt.date, store: LogStor
     _write_own(spark, reliable_checkpoint(spark, rows.repartition(*inner) if inner else rows.coalesce(1)), table, store)
     location = table_location(spark, name)
     # Whole days of a write go, or the whole write.
-    going = {"/".join(p.split("/")[:2]) for w in writes for p in _complete_partitions(spark, table, location, w) if _values(p) in old}
+    going = {"/".join(p.split("/")[:2]) for w in writes for p in _complete_partitions(spark, table, location, w) if partition_values(p) in old}
     drop_partitions(spark, name, old)
     for partition in going:
         delete_folder(spark, f"{location}/{partition}")

@@ -271,3 +271,26 @@ def test_batch_load_into_a_streamed_history(spark, sf_dir):
     for _ in range(2):
         bronze.append_run(spark, target, orders, "20240101T000000")
     assert spark.table(target).count() == orders.count()
+
+
+@pytest.mark.parametrize("months", [False, True])
+def test_a_failed_replacement_changes_nothing(spark, sf_dir, months):
+    """The second write raises midway; the first rows are still there, and a third write replaces them."""
+    name = f"f_{uuid.uuid4().hex[:8]}.t"
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+
+    def write(rows):
+        if months:
+            return bronze.replace_months(spark, name, rows, "o_orderdate")
+        return bronze.append_run(spark, name, rows, "20240101T000000")
+
+    n = orders.count()
+    assert write(orders) == n
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    with pytest.raises(Exception, match="midway"):
+        write(orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("midway")).cast("long"))
+                                .otherwise(-F.col("o_orderkey"))))
+    assert spark.table(name).where("o_orderkey >= 0").count() == n == spark.table(name).count()
+    half = orders.where("month(o_orderdate) <= 6")
+    assert write(half) == half.count()
+    assert spark.table(name).count() == (n if months else half.count())

@@ -12,6 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import functions as F
 
 from lakeload.operators import runlog
+from lakeload.operators.current import LOAD_COLUMN
 from lakeload.plans.bronze import load_table
 from lakeload.plans.registry_build import build_registry, write_registries
 from lakeload.plans.silver import merge_table
@@ -77,6 +78,48 @@ def silver_replay(spark, sf_dir):
         "user_id", "event_id", "event_type", "_silver_inserted_ts", "_silver_updated_ts", "is_deleted")
 
 
+@query("late_commit", ctes=(EVENT_STATE,), sql="SELECT * FROM event_state")
+def late_commit(spark, sf_dir):
+    """A run written before a merge but committed after it, its files older than what that merge read: none is lost."""
+    spec = _event_spec(_database(spark))
+    first, late, last = _event_runs(spark, sf_dir)
+    bronze.append_run(spark, spec.bronze_table, first[1], first[0])
+    folder = f"{tables.table_location(spark, spec.bronze_table)}/{bronze.ATTEMPTS}/late/{LOAD_COLUMN}={late[0]}"
+    late[1].write.parquet(folder)
+    _done(merge_table(spark, spec, "shop", "id", first[0]))
+    bronze.append_run(spark, spec.bronze_table, last[1].where("event_id % 2 = 0"), last[0])
+    _done(merge_table(spark, spec, "shop", "id", last[0]))
+    spark.sql(f"ALTER TABLE {spec.bronze_table} ADD PARTITION ({LOAD_COLUMN} = '{late[0]}') LOCATION '{folder}'")
+    bronze.append_run(spark, spec.bronze_table, last[1], last[0])
+    _done(merge_table(spark, spec, "shop", "id", late[0]))
+    return spark.table(spec.silver_table).select(
+        "user_id", "event_id", "event_type", "_silver_inserted_ts", "_silver_updated_ts", "is_deleted")
+
+
+@query("failed_replay", sql=f"""
+WITH runs AS (SELECT *, {RUN_SQL} AS run FROM events)
+SELECT 'after the failure' AS state, event_id, event_type, run FROM runs
+UNION ALL SELECT 'after the next', event_id, event_type, run FROM runs WHERE run <> '{EVENT_RUNS[1]}' OR event_id % 2 = 0""")
+def failed_replay(spark, sf_dir):
+    """A replay that fails while it writes leaves the run as it was; the next one replaces it."""
+    target = f"{_database(spark)}.events"
+    for run, rows in _event_runs(spark, sf_dir):
+        bronze.append_run(spark, target, rows, run)
+    again = spark.table(target).where(F.col(LOAD_COLUMN) == EVENT_RUNS[1]).drop(LOAD_COLUMN)
+    last = again.agg(F.max("event_id")).first()[0]
+    broken = again.withColumn("event_type", F.when(F.col("event_id") == last, F.raise_error(F.lit("lost"))).otherwise(F.col("event_type")))
+    try:
+        bronze.append_run(spark, target, broken, EVENT_RUNS[1])
+    except Exception as error:
+        if "lost" not in str(error):
+            raise
+    kept = scratch_path(spark, "kept")
+    columns = [F.col("event_id"), F.col("event_type"), F.col(LOAD_COLUMN).alias("run")]
+    spark.table(target).select(F.lit("after the failure").alias("state"), *columns).write.parquet(kept)
+    bronze.append_run(spark, target, again.where("event_id % 2 = 0"), EVENT_RUNS[1])
+    return spark.read.parquet(kept).unionByName(spark.table(target).select(F.lit("after the next").alias("state"), *columns))
+
+
 @query("snapshot_merge_replay", ctes=(fx.TYPED_ORDERS,), sql="""
 SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN '20240101T000000'
        WHEN o_orderdate < TIMESTAMP '2001-01-01' THEN '20240102T000000' ELSE '20240103T000000' END AS _silver_inserted_ts,

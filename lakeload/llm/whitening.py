@@ -113,16 +113,21 @@ def bidiagonalise(product: Callable[[np.ndarray], tuple[np.ndarray, float]], dim
     """
     rng = np.random.default_rng(seed)
     right, weights, back, diagonal, upper = [_orthogonal([], dims, rng)], [], [], [], []
-    tiny, broken = 8 * np.finfo(float).eps * np.sqrt(total), False
+    tiny, broken = 1e-13 * np.sqrt(total), False
     while True:
         v = right[-1]
         p = v - upper[-1] * weights[-1] if weights else v
         q, square = product(p)
-        if weights:
+        while weights:
             # Uᵀ(Xp) = Wᵀ(XᵀXp): what the new left vector still shares with the earlier ones.
             shared = np.array(weights) @ q
             p, q = p - shared @ np.array(weights), q - shared @ np.array(back)
-            square -= shared @ shared
+            left_over = square - shared @ shared
+            if square <= tiny ** 2 or left_over >= 0.01 * square:
+                square = left_over
+                break
+            # Nearly all of it was shared: what is left must be computed anew to be known at all.
+            q, square = product(p)
         alpha = np.sqrt(max(square, 0.0))
         if alpha <= tiny:
             alpha, p, q = 0.0, np.zeros(dims), np.zeros(dims)

@@ -27,6 +27,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -283,6 +284,16 @@ def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^31, compressed byte plane by byte plane: most high bytes are zero."""
+    return zstandard.ZstdCompressor().compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4")[:, 0].astype(np.int64)
+
+
 _DOC = ["block", "pos", "id", "n_a", "n_b", "n_groups", "n_links", "sha"]
 _ARRAYS = ["at", "links", "size", "piece", "n", "cells"]
 _PAIRS = ["pairs", "docs"]
@@ -301,7 +312,7 @@ def _aligned(byte_bpe: str, piece_bpe: str, id_type: pa.DataType, schema: pa.Sch
             documents = pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
             packed = {"block": pa.array([number], pa.int64()),
-                      **{k: pa.array([matrix[k].astype("<i4").tobytes()], pa.binary()) for k in _ARRAYS},
+                      **{k: pa.array([_packed(matrix[k])], pa.binary()) for k in _ARRAYS},
                       **{k: pa.ListArray.from_arrays(pa.array([0, len(matrix[k])], pa.int32()), pa.array(matrix[k], pa.int64())) for k in _PAIRS}}
             whole = pa.RecordBatch.from_arrays([packed[f.name] if f.name in packed else pa.nulls(1, f.type) for f in schema], schema=schema)
             return documents, whole
@@ -325,7 +336,7 @@ def _scored(block: pa.Table, scores: pa.Table) -> pa.Table:
     """``block, pos, n_best, count_sum`` for the documents of one block from its pairs' counts."""
     if not block.num_rows:
         return pa.table({"block": _NONE, "pos": _NONE, "n_best": _NONE, "count_sum": _NONE})
-    at, links, size, piece, n, cells = (np.frombuffer(block.column(k)[0].as_buffer(), "<i4").astype(np.int64) for k in _ARRAYS)
+    at, links, size, piece, n, cells = (_unpacked(block.column(k)[0].as_py()) for k in _ARRAYS)
     pairs = scores.column("pair").to_numpy()
     order = np.argsort(pairs)
     owner, doc = np.repeat(np.arange(len(size)), size), np.repeat(np.arange(len(cells)), cells)

@@ -1,5 +1,6 @@
 """Toxicity, benchmark decontamination, personal data."""
 
+import os
 import random
 import re
 
@@ -79,6 +80,22 @@ def test_toxicity_query(spark, sf_dir):
     assert all(r.predicted == int(r.score >= 0.3) for r in got.values())
 
 
+def test_toxicity_on_held_out_rows(spark):
+    """Rows whose labels were not learned: most toxic ones are caught in every language, hardly a clean one is."""
+    sf_dir = "/root/testdata/sf0.1"
+    if not os.path.isdir(sf_dir):
+        pytest.skip("needs the larger tables")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic is not null").select("doc_id", "toxic")
+    rows = QUERIES["op1_toxicity"](spark, sf_dir).where("held_out").join(labels, "doc_id").join(docs, "doc_id").collect()
+    caught = sum(r.predicted and r.toxic for r in rows)
+    assert caught >= 0.9 * sum(r.toxic for r in rows) and caught >= 0.9 * sum(r.predicted for r in rows)
+    for lang in ("en", "fr", "de", "es"):
+        mine = [r for r in rows if r.lang == lang]
+        assert sum(r.predicted and r.toxic for r in mine) >= 0.8 * sum(r.toxic for r in mine), lang
+
+
+
 def plain_hits(docs, items, threshold=0.6, least=0.6):
     """Every passage of every document against every item."""
     from collections import Counter

@@ -9,8 +9,8 @@ for up to ``MAX_TERMS`` of them. Several rare words of one stem thus tell, where
 scores are calibrated on labelled rows that the fit at hand has not seen.
 
 Fitting uses samples with fixed bounds (``max_labelled``, ``max_unlabelled`` rows, the smallest hashes of
-the id); what reaches the driver are counts of at most ``MAX_MINED`` terms and, per sampled document, its
-counts of at most ``MAX_TERMS``. Scoring reads each whole text once and shuffles nothing.
+the id); what reaches the driver are at most ``MAX_TERMS`` terms, ranked in Spark, and, per sampled document, its
+counts of them as packed numbers. Scoring reads each whole text once and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ SEED_TERMS = ("asshole", "bastard", "bitch", "clown", "coward", "cretin", "crap"
               "garbage", "idiot", "imbecile", "jerk", "liar", "loser", "moron", "nasty", "pathetic", "pig", "scum", "shit",
               "stupid", "trash", "ugly", "vile", "worthless")
 PREFIXES = (3, 4, 5, 6, 7, 8)
-MAX_MINED = 200_000
 MAX_TERMS = 20_000
 LEAST_ROWS = 3
+HELD_TERMS = 200_000
 MAX_VOTERS = 300
 PATTERNS = 4
 SEED_WEIGHT = 2.0
@@ -147,7 +147,10 @@ def logistic(row: np.ndarray, term: np.ndarray, value: np.ndarray, target: np.nd
     unit = np.log(mean1 / mean0)
     unit = np.where(unit > 0.7, unit, np.where(expected > 0, 1.0, 0.0))
     goal = np.divide(expected, unit, out=np.zeros(n_terms), where=unit > 0)
-    scaled = value * unit[term]
+    # Entries of terms without a weight change nothing.
+    used = unit[term] != 0
+    row, term = row[used], term[used]
+    scaled = value[used] * unit[term]
     w = np.append(goal, np.log(max(1e-3, one.sum()) / max(1e-3, two.sum())))
     speed, size = np.zeros(n_terms + 1), np.zeros(n_terms + 1)
     rate = np.append(np.full(n_terms, 0.02), 0.05)
@@ -177,28 +180,48 @@ def calibration(scores: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tup
     return (slope, shift) if slope > 0.1 else (1.0, 0.0)
 
 
-def _count_terms(wanted: frozenset | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                terms = terms_of(text)
-                seen.update(terms if wanted is None else terms & wanted)
-        if seen:
-            yield pd.DataFrame({"term": list(seen), "n": list(seen.values())}, columns=["term", "n"])
+def _rows_with(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``term, toxic, clean``: in how many rows of either label a term stands, in parts of bounded size."""
+    seen: dict[bytes, list[int]] = {}
+    for batch in batches:
+        for text, label in zip(batch["text"], batch["label"], strict=True):
+            for term in terms_of(text):
+                seen.setdefault(term, [0, 0])[label] += 1
+            if len(seen) > HELD_TERMS:
+                yield _frame(seen)
+                seen.clear()
+    if seen:
+        yield _frame(seen)
 
-    return run
+
+def _frame(seen: dict[bytes, list[int]]) -> pd.DataFrame:
+    return pd.DataFrame({"term": list(seen), "toxic": [n[1] for n in seen.values()], "clean": [n[0] for n in seen.values()]})
+
+
+def _ranked(sample: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """``term, telling``: the ``MAX_TERMS`` terms that speak most surely for label 1, surest first."""
+    a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    c, d = toxic - F.col("toxic") + 0.5, clean - F.col("clean") + 0.5
+    return (sample.where("label >= 0").select("text", "label")
+            .mapInPandas(_rows_with, "term binary, toxic long, clean long")
+            .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= LEAST_ROWS)
+            .withColumn("odds", F.log(a / c) - F.log(b / d)).where("odds > 0")
+            .withColumn("z", F.col("odds") / F.sqrt(1 / a + 1 / c + 1 / b + 1 / d))
+            .orderBy(F.desc("z"), "term").limit(MAX_TERMS).select("term", F.expr("odds >= 2 and z >= 2").alias("telling")))
 
 
 def _counts(terms: list[bytes]):
+    """Per row the numbers of its terms, their counts (32 bits each) and the patterns, as bytes."""
     number = {t: i for i, t in enumerate(terms)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [sorted((number[t], n) for t, n in counts_of(x, number).items()) for x in batch["text"]]
+            found = [np.array(sorted((number[t], n) for t, n in counts_of(x, number).items()), "<i4").reshape(-1, 2)
+                     for x in batch["text"]]
             yield pd.DataFrame({
-                "id": batch["id"], "label": batch["label"], "terms": [[t for t, _ in f] for f in found],
-                "counts": [[n for _, n in f] for f in found], "patterns": [patterns_of(x) for x in batch["text"]]},
+                "id": batch["id"], "label": batch["label"], "terms": [f[:, 0].tobytes() for f in found],
+                "counts": [f[:, 1].tobytes() for f in found],
+                "patterns": [np.array(patterns_of(x), "<f8").tobytes() for x in batch["text"]]},
                 columns=["id", "label", "terms", "counts", "patterns"])
 
     return run
@@ -238,47 +261,37 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, m
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
 
-    def counted(rows: DataFrame, wanted: frozenset | None) -> DataFrame:
-        return (rows.select("text").mapInPandas(_count_terms(wanted), "term binary, n long")
-                .groupBy("term").agg(F.sum("n").alias("n")))
-
-    common = (counted(sample.where("label = 1"), None).where(F.col("n") >= LEAST_ROWS)
-              .orderBy(F.desc("n"), "term").limit(MAX_MINED).collect())
-    ones = {bytes(r["term"]): r["n"] for r in common}
-    zeros = {bytes(r["term"]): r["n"] for r in counted(sample.where("label = 0"), frozenset(ones)).collect()}
-    ranked = []
-    for term, a in ones.items():
-        b = zeros.get(term, 0)
-        odds = np.log((a + .5) / (toxic - a + .5)) - np.log((b + .5) / (clean - b + .5))
-        z = odds / np.sqrt(1 / (a + .5) + 1 / (toxic - a + .5) + 1 / (b + .5) + 1 / (clean - b + .5))
-        if odds > 0:
-            ranked.append((-z, term, odds >= 2 and z >= 2))
-    ranked.sort()
     seeds = [t.encode() for t in SEED_TERMS]
-    mined = [(t, telling) for _, t, telling in ranked[:MAX_TERMS] if t not in seeds]
+    mined = [(bytes(r["term"]), r["telling"]) for r in _ranked(sample, toxic, clean).collect()]
+    mined = [(t, yes) for t, yes in mined if t not in seeds]
     terms = seeds + [t for t, _ in mined]
     telling = list(range(len(seeds))) + [len(seeds) + i for i, (_, yes) in enumerate(mined) if yes][:10 * MAX_VOTERS]
 
     kind = sample.schema["id"].dataType.simpleString()
     rows = sample.select("id", "label", "text").mapInPandas(
-        _counts(terms), f"id {kind}, label int, terms array<int>, counts array<int>, patterns array<double>").orderBy("id").collect()
+        _counts(terms), f"id {kind}, label int, terms binary, counts binary, patterns binary").orderBy("id").collect()
     n = len(rows)
     if not n:
         rates = tuple((t.decode(), 0.5, 0.5, 1.0) for t in seeds)
         return ToxicityModel({t: SEED_WEIGHT for t in seeds}, (0.0,) * PATTERNS, -2.0, rates)
     marks = np.array([r["label"] for r in rows], dtype=int)
-    row = np.repeat(np.arange(n), [len(r["terms"]) for r in rows])
-    term = np.concatenate([np.array(r["terms"], np.int64) for r in rows])
-    value = np.log1p(np.concatenate([np.array(r["counts"], np.float64) for r in rows]))
-    shapes = np.array([r["patterns"] for r in rows], dtype=np.float64).reshape(-1, PATTERNS)
-
-    place = np.full(len(terms), -1)
-    place[telling] = np.arange(len(telling))
-    votes = np.zeros((n, len(telling)), np.float32)
-    voted = place[term] >= 0
-    votes[row[voted], place[term[voted]]] = 1
-    chosen = _distinct_voters(votes[marks == 1], len(seeds))
-    votes = votes[:, chosen].astype(np.float64)
+    row = np.repeat(np.arange(n), [len(r["terms"]) // 4 for r in rows])
+    term = np.frombuffer(b"".join(r["terms"] for r in rows), "<i4").astype(np.int64)
+    value = np.log1p(np.frombuffer(b"".join(r["counts"] for r in rows), "<i4"))
+    shapes = np.frombuffer(b"".join(r["patterns"] for r in rows), "<f8").reshape(-1, PATTERNS)
+    del rows
+
+    def votes_of(wanted: list[int], of: np.ndarray) -> np.ndarray:
+        """Votes (0 or 1) of the terms ``wanted``, a column each, on the rows ``of``."""
+        column, line = np.full(len(terms), -1), np.full(n, -1)
+        column[wanted], line[of] = np.arange(len(wanted)), np.arange(len(of))
+        fits = (column[term] >= 0) & (line[row] >= 0)
+        votes = np.zeros((len(of), len(wanted)), np.float32)
+        votes[line[row[fits]], column[term[fits]]] = 1
+        return votes
+
+    chosen = _distinct_voters(votes_of(telling, np.flatnonzero(marks == 1)), len(seeds))
+    votes = votes_of([telling[j] for j in chosen], np.arange(n)).astype(np.float64)
     posterior, rate1, rate0, trust = label_model(np.hstack([votes, shapes]), marks, votes[:, :len(seeds)].any(axis=1))
 
     # Patterns are four terms more. Rows without a label weigh as much together as a quarter of those with one.

@@ -17,11 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: computed once, and safe when executors go."""
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, and safe when executors go.
+
+    Rows that differ in ``by`` are kept in folders of their own.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 

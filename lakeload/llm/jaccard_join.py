@@ -10,9 +10,11 @@ the smaller partner, for the next one. Two rules keep this exact:
   a set with fewer signs its empty ones too;
 * words are hashed to 64 bits and what shares a signature is compared on the texts themselves.
 
-Signatures are shuffled and sorted once; those held by one set only are done with. In the other buckets
+Signatures are shuffled and sorted once, straight from the texts, and the descriptions of the sets travel with them; a
+signature held by one set only is done with and never written. In the other buckets
 members are told apart by counts of their elements in hash ranges: the counts of similar sets differ by no
-more than the sets may, so a passage that many different texts share gives no candidates. A bucket links its
+more than the sets may, so a passage that many different texts share gives no candidates. Finer counts are
+compared before any text is fetched. A bucket links its
 members to the one nearest its centre, and other pairs follow directly if they are few. A bucket with many
 more (a group of near copies) is looked at again when the components of the first links are known, and then
 only for pairs of different components. So no group is ever turned into all its pairs.
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +37,8 @@ from lakeload.llm.shingles import Shingler, mix
 
 NO_ID = 2 ** 63 - 1
 COARSE, FINE = 64, 256
+ROWS_AT_ONCE = 500_000
+SHARED = ["of_set", "sig", "id", "n", "c1", "c2", "coarse", "fine"]
 BLOCK = 256
 
 
@@ -90,42 +95,54 @@ def counts_in_ranges(shingles: np.ndarray, ranges: int) -> bytes:
 
 
 def _describe(width: int, num: int, den: int):
-    """One row per text: (id, n, c1, c2, coarse, fine, sigs).
+    """(sig, id, info): every signature of every set, and one row per text with ``info``.
 
-    The size of its set, two sums that tell sets apart, counts in hash ranges, and the signatures. Of equal sets within
-    a task only the first one signs.
+    That holds the size of its set, two sums that tell sets apart, and counts in hash ranges; its ``sig`` is a mere number
+    that spreads such rows. Of equal sets within a task only the first one signs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, bands, seen = Shingler(width), Bands(num, den), set()
-        none = np.empty(0, np.uint64)
+        shingler, bands, seen, row = Shingler(width), Bands(num, den), set(), 0
         for batch in batches:
-            rows, coarse, fine, sigs = [], [], [], []
-            for text in batch.column(1):
+            ids, infos, holders, sigs, held = [], [], [], [], 0
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 shingles = shingler(text.as_py())
                 key = (len(shingles), int(mix(shingles, 201).sum(dtype=np.uint64)), int(mix(shingles, 202).sum(dtype=np.uint64)))
-                rows.append(key)
-                fine.append(counts_in_ranges(shingles, FINE))
-                coarse.append(_coarser(fine[-1]))
-                sigs.append(none if key in seen or not len(shingles) else signatures(shingles, bands))
+                ids.append(doc)
+                infos.append(np.array(key, "<u8").tobytes() + counts_in_ranges(shingles, FINE))
+                if key not in seen and len(shingles):
+                    sigs.append(signatures(shingles, bands))
+                    holders.append((doc, len(sigs[-1])))
+                    held += len(sigs[-1])
                 if len(seen) > 100_000:
                     seen.clear()
                 seen.add(key)
-            table = np.array(rows, dtype=np.uint64).reshape(-1, 3).view(np.int64)
-            ends = np.concatenate(([0], np.cumsum([len(x) for x in sigs]))).astype(np.int32)
-            flat = np.concatenate(sigs or [none]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(table[:, i]) for i in range(3)), pa.array(coarse, pa.binary()),
-                 pa.array(fine, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                names=["id", "n", "c1", "c2", "coarse", "fine", "sigs"])
+                if held > ROWS_AT_ONCE:
+                    yield _signed(ids, infos, holders, sigs, row)
+                    row += len(ids)
+                    ids, infos, holders, sigs, held = [], [], [], [], 0
+            yield _signed(ids, infos, holders, sigs, row)
+            row += len(ids)
 
     return run
 
 
-def _coarser(fine: bytes) -> bytes:
-    """The counts of ``fine`` in fewer ranges."""
-    sums = np.frombuffer(fine, np.uint8).reshape(COARSE, -1).sum(axis=1, dtype=np.int64)
-    return np.minimum(sums, 255).astype(np.uint8).tobytes()
+def _signed(ids: list[int], infos: list[bytes], holders: list[tuple[int, int]], sigs: list[np.ndarray], row: int) -> pa.RecordBatch:
+    spread = mix(np.arange(row, row + len(ids), dtype=np.uint64), 205)
+    owner = np.repeat(np.array([h[0] for h in holders], np.int64), [h[1] for h in holders])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([spread, *sigs]).view(np.int64)), pa.array(np.concatenate([np.array(ids, np.int64), owner])),
+         pa.concat_arrays([pa.array(infos, pa.binary()), pa.nulls(len(owner), pa.binary())])], names=["sig", "id", "info"])
+
+
+def _described(ids: pa.Array, info: pa.Array) -> pa.RecordBatch:
+    """The rows of sets: their numbers, and counts in many and in fewer ranges."""
+    body = np.frombuffer(b"".join(info.to_pylist()), np.uint8).reshape(-1, 24 + FINE)
+    numbers = np.ascontiguousarray(body[:, :24]).view("<i8")
+    rough = np.minimum(body[:, 24:].reshape(-1, COARSE, FINE // COARSE).sum(axis=2, dtype=np.int64), 255).astype(np.uint8)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ones(len(body), bool)), pa.nulls(len(body), pa.int64()), ids, *(pa.array(numbers[:, i]) for i in range(3)),
+         pa.array([c.tobytes() for c in rough], pa.binary()), pa.array([c.tobytes() for c in body[:, 24:]], pa.binary())], names=SHARED)
 
 
 def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.Array], np.ndarray, np.ndarray]]:
@@ -168,9 +185,25 @@ def _several(columns: list[pa.Array]) -> tuple[list[pa.Array], np.ndarray, np.nd
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, id), once each, of signatures that several ids hold."""
-    for columns, _, _ in _whole_buckets(batches):
-        yield pa.RecordBatch.from_arrays(_several(columns)[0], names=["sig", "id"])
+    """The rows of sets, and (sig, id), once each, of signatures that several ids hold."""
+    sets: list[pa.RecordBatch] = []
+
+    def signed() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of_set = batch.column(2).is_valid()
+            found = batch.filter(of_set)
+            if found.num_rows:
+                sets.append(_described(found.column(1), found.column(2)))
+            rest = batch.filter(pc.invert(of_set))
+            yield pa.RecordBatch.from_arrays(rest.columns[:2], names=["sig", "id"])
+
+    for columns, _, _ in _whole_buckets(signed()):
+        sig, doc = _several(columns)[0]
+        none = [pa.nulls(len(sig), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sig), bool)), sig, doc, *none], names=SHARED)
+        yield from sets
+        sets.clear()
+    yield from sets
 
 
 def _counts(column: pa.Array, ranges: int) -> np.ndarray:
@@ -189,6 +222,19 @@ class _Bound:
             & (self.den * np.minimum(n, m) >= self.num * np.maximum(n, m))
 
 
+def _near_pairs(num: int, den: int):
+    """(a, b) of the rows whose counts in many ranges let their sets be similar."""
+    near = _Bound(num, den)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, m = batch.columns[:4]
+            fits = near(n.to_numpy(), _counts(batch.column(4), FINE), m.to_numpy(), _counts(batch.column(5), FINE))
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(fits))
+
+    return run
+
+
 def _candidates(num: int, den: int):
     """(a, b, sig): pairs to compare, and with null b the members of buckets to look at again."""
     near = _Bound(num, den)
@@ -339,13 +385,11 @@ def jaccard_components(docs: DataFrame, similarity: tuple[int, int] = (80, 100),
     num, den = similarity
     base = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("id"),
                        F.col(f"`{text}`").cast("binary").alias("text"))
-    sets = stored(base.mapInArrow(
-        _describe(width, num, den),
-        "id long, n long, c1 long, c2 long, coarse binary, fine binary, sigs array<long>"), "sets")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    signed = sets.select(F.explode("sigs").alias("sig"), "id")
-    members = stored(signed.repartition(parts, "sig").sortWithinPartitions("sig", "id")
-                     .mapInArrow(_shared, "sig long, id long"), "members")
+    described = base.mapInArrow(_describe(width, num, den), "sig long, id long, info binary")
+    both = stored(described.repartition(parts, "sig").sortWithinPartitions("sig", "id").mapInArrow(
+        _shared, "of_set boolean, sig long, id long, n long, c1 long, c2 long, coarse binary, fine binary"), "members", by="of_set")
+    sets, members = both.where("of_set").drop("of_set", "sig"), both.where("not of_set").select("sig", "id")
     # Equal sets are one member of a bucket from here on, under their smallest id.
     classes = stored(_classes(sets), "classes")
     first = sets.join(classes, ["id", "n", "c1", "c2"]).select(F.col("id").alias("of"), F.col("b").alias("id"), "n", "coarse")
@@ -353,8 +397,13 @@ def jaccard_components(docs: DataFrame, similarity: tuple[int, int] = (80, 100),
     found = stored(counted.repartition(parts, "sig").sortWithinPartitions("sig", "id")
                    .mapInArrow(_candidates(num, den), "a long, b long, sig long"), "candidates")
 
-    pairs = stored(found.where("b is not null").select("a", "b").distinct(), "pairs")
-    wanted = found.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    alike = found.where("b is not null").select("a", "b").distinct()
+    fine_a = sets.where("n > 0").select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("fine").alias("fine_a"))
+    fine_b = sets.where("n > 0").select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("fine").alias("fine_b"))
+    pairs = stored(alike.join(fine_b, "b").join(fine_a, "a").select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
+                   .mapInArrow(_near_pairs(num, den), "a long, b long").distinct(), "pairs")
+    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("id"))
+              .unionAll(found.where("b is null").select(F.col("a").alias("id"))).distinct())
     texts = stored(base.join(wanted, "id"), "texts")
     links = stored(_verified(texts, pairs, width, num, den)
                    .unionAll(classes.where("id <> b").select(F.col("id").alias("a"), "b")), "similar")

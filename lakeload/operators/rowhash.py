@@ -77,18 +77,23 @@ def hash_quality(df: DataFrame, hash_column: str = "row_hash") -> DataFrame:
     )
 
 
+def hash_sample(df: DataFrame, rows: int, hash_column: str = "row_hash") -> DataFrame:
+    """The ``rows`` rows of smallest hash: a bounded look that is the same on every run. Rows without a hash come first."""
+    return df.orderBy(F.col(hash_column).asc_nulls_first()).limit(rows)
+
+
 def validate_hash_columns(df: DataFrame, hash_column: str = "row_hash",
                           expected_columns: Sequence[str] | None = None,
                           max_rows: int | None = None) -> bool:
     """True when the hash column is sound, otherwise ValueError. One aggregate over all rows
-    (or over ``max_rows`` of them, when a bounded look is asked for)."""
+    (or over the ``max_rows`` of smallest hash, when a bounded look is asked for)."""
     missing = [c for c in [hash_column, *(expected_columns or ())] if c not in df.columns]
     if missing:
         raise ValueError(f"columns not found: {missing}")
     kind = dict(df.dtypes)[hash_column]
     if kind != "string":
         raise ValueError(f"hash column {hash_column!r} is {kind}, not string")
-    facts = hash_quality(df.limit(max_rows) if max_rows is not None else df, hash_column).first()
+    facts = hash_quality(hash_sample(df, max_rows, hash_column) if max_rows is not None else df, hash_column).first()
     if facts.total_rows == 0:
         raise ValueError("nothing to validate: no rows")
     if facts.null_hashes:

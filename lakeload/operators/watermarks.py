@@ -4,6 +4,7 @@ filters built on them."""
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,17 +12,48 @@ from pyspark.sql import functions as F
 
 # Fixed values.
 MATCH, NEW, UPDATE = "MATCH", "NEW", "UPDATE"
-KINDS = {"stamp17": "bigint", "datetime": "timestamp_ntz", "date": "date", "text": "string"}
+KINDS = {"stamp17": "bigint", "datetime": "timestamp_ntz", "date": "date", "double": "double", "number": "string", "text": "string"}
 
 
 def as_kind(value: Column, kind: str) -> Column:
     """A stored (text) watermark in the type it is compared in."""
+    return value.cast(KINDS[_known(kind)])
+
+
+def _known(kind: str) -> str:
     if kind not in KINDS:
         raise ValueError(f"unknown watermark kind {kind!r}; one of {sorted(KINDS)}")
-    return value.cast(KINDS[kind])
+    return kind
+
+
+def number_key(value: Column) -> Column:
+    """Text that sorts as the decimal number written in ``value`` does, of any sign, length and scale.
+
+    A sign digit, the whole part padded to 40 digits, and the fraction without its last zeros. Below zero the digits
+    are complemented and end in a character above all digits, so that a longer fraction sorts lower. NULL where the
+    text is no plain number of up to 40 whole digits.
+    """
+    digits = F.regexp_replace(value, "^[+-]", "")
+    whole = F.lpad(F.regexp_replace(F.substring_index(digits, ".", 1), "^0+", ""), 40, "0")
+    point = F.instr(digits, ".")
+    fraction = F.when(point > 0, F.regexp_replace(F.substr(digits, point + 1), "0+$", "")).otherwise("")
+    text = F.concat(whole, F.lit("."), fraction)
+    below = F.concat(F.lit("0"), F.translate(text, "0123456789", "9876543210"), F.lit("~"))
+    key = F.when(value.startswith("-") & text.rlike("[1-9]"), below).otherwise(F.concat(F.lit("1"), text))
+    return F.when(value.rlike(r"^[+-]?0*[0-9]{1,40}(\.[0-9]*)?$"), key)
+
+
+def _max_of_kind(mark: Column, kind: str, here: Column) -> Column:
+    """The largest mark of a kind, as text, over the rows ``here``."""
+    if kind != "number":
+        return F.max(F.when(here, as_kind(mark, kind))).cast("string")
+    key = F.when(here & mark.isNotNull(), F.coalesce(number_key(mark), F.raise_error(F.concat(F.lit("not a number: "), mark))))
+    return F.max_by(mark, key)
 
 
 def _above(old: str, new: str, kind: str) -> Column:
+    if kind == "number":
+        return number_key(F.col(old)) > number_key(F.col(new))
     return F.col(old).try_cast(KINDS[kind]) > as_kind(F.col(new), kind)
 
 
@@ -38,14 +70,13 @@ def max_watermarks(updates: DataFrame, kind: str | Mapping[str, str] | None = No
     if dict(updates.dtypes)[value] == "string":
         mark = F.when(mark != "", mark)
     if isinstance(kind, str):
-        newest = F.max(as_kind(mark, kind)).cast("string")
+        newest = _max_of_kind(mark.cast("string") if kind == "number" else mark, _known(kind), F.lit(True))
     elif kind or "kind" in updates.columns:
         own = F.col("kind") if "kind" in updates.columns else F.lit("text")
         if kind:
             given = F.create_map(*[F.lit(x) for pair in sorted(kind.items()) for x in pair])
             own = F.coalesce(given[F.col("table_name")], own)
-        typed = {k: F.max(F.when(own == k, as_kind(mark.cast("string"), k))) for k in KINDS}
-        newest = F.coalesce(*[m.cast("string") for m in typed.values()])
+        newest = F.coalesce(*[_max_of_kind(mark.cast("string"), k, own == k) for k in KINDS])
     else:
         newest = F.max(mark).cast("string")
     return updates.groupBy(*keys).agg(newest.alias(value)).where(F.col(value).isNotNull())
@@ -88,9 +119,11 @@ def merged_watermarks(stored: DataFrame, newest: DataFrame, keys: Sequence[str]
 
 def incremental_filter(df: DataFrame, column: str, kind: str, watermark: str | int | None) -> DataFrame:
     """Rows beyond the stored watermark; all rows when there is none yet. The bound is a
-    literal of the column's type, so it reaches the file scan."""
+    literal of the column's type, so it reaches the file scan; a number keeps its own scale."""
     if watermark is None or watermark == "":
         return df
+    if kind == "number":
+        return df.where(F.col(column) > F.lit(decimal.Decimal(str(watermark))))
     return df.where(F.col(column) > as_kind(F.lit(str(watermark)), kind))
 
 

@@ -66,8 +66,13 @@ def write_document(document: DataFrame, path: str) -> None:
     document.coalesce(1).write.mode("overwrite").text(path)
 
 
-# Kind of a mark by the type of its column; other types are compared as text.
-KIND_OF_TYPE = {"bigint": "stamp17", "int": "stamp17", "timestamp": "datetime", "timestamp_ntz": "datetime", "date": "date"}
+# Kind of a mark by the type of its column; decimals of any precision are numbers, other types are compared as text.
+KIND_OF_TYPE = {"bigint": "stamp17", "int": "stamp17", "smallint": "stamp17", "tinyint": "stamp17", "float": "double",
+                "double": "double", "timestamp": "datetime", "timestamp_ntz": "datetime", "date": "date"}
+
+
+def kind_of_type(name: str) -> str:
+    return "number" if name.startswith("decimal") else KIND_OF_TYPE.get(name, "text")
 
 
 def read_runtime_watermarks(spark: SparkSession, run_path: str, unreadable: list[str] | None = None) -> DataFrame | None:
@@ -100,7 +105,7 @@ def read_runtime_watermarks(spark: SparkSession, run_path: str, unreadable: list
             kinds.setdefault(types["watermark"], []).append(f"{run_path.rstrip('/')}/{_glob(name)}")
     parts = [spark.read.parquet(*paths).select(
         F.url_decode(folder).alias("table_name"), F.col("watermark").cast("string").alias("watermark"),
-        F.lit(KIND_OF_TYPE.get(kind, "text")).alias("kind")) for kind, paths in sorted(kinds.items())]
+        F.lit(kind_of_type(kind)).alias("kind")) for kind, paths in sorted(kinds.items())]
     return functools.reduce(DataFrame.unionByName, parts) if parts else None
 
 

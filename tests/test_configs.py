@@ -63,6 +63,33 @@ MARKS = {"source": [
     {"name": "other", "tables": {"a": "it's \"quoted\""}}]}
 
 
+def test_numbers_sort_by_their_keys(spark):
+    from decimal import Decimal
+
+    values = ["-120.50", "-120.5", "-120.55", "-9", "-10", "-0", "0", "0.000", "3", "0012", "+7", "1.05", "1.5", "1.", "9" * 38, "-" + "9" * 38]
+    rows = spark.createDataFrame([(v,) for v in [*values, "x", "", "1e5", "1 2"]], "v string")
+    keys = {r.v: r.k for r in rows.select("v", watermarks.number_key(F.col("v")).alias("k")).collect()}
+    assert [v for v, k in keys.items() if k is None] == ["x", "", "1e5", "1 2"]
+    for a in values:
+        for b in values:
+            assert (keys[a] < keys[b]) == (Decimal(a) < Decimal(b)), (a, b)
+
+
+def test_marks_of_decimals_never_move_back(spark, tmp_path):
+    stored, run = f"{tmp_path}/stored", f"{tmp_path}/run"
+    old = spark.createDataFrame([("s", "t", "10"), ("s", "u", "-3.50")], "source string, table_name string, watermark string")
+    configs.write_document(configs.watermark_document(old), stored)
+    spark.sql("select cast(c as decimal(18,0)) watermark from values (9), (7), (null) t(c)").write.parquet(f"{run}/t")
+    spark.sql("select cast(c as decimal(38,2)) watermark from values (-3.25), (-10) t(c)").write.parquet(f"{run}/u")
+    spark.sql("select cast(c as smallint) watermark from values (9), (10), (-200) t(c)").write.parquet(f"{run}/v")
+    result = merge_watermarks(spark, run, stored, "s", "r", f"{tmp_path}/new", monotonic=True)
+    assert {c["table"]: c["new"] for c in result["changes"]} == {"t": "9", "u": "-3.25", "v": "10"}
+    kept = configs.read_watermark_map(spark, f"{tmp_path}/new")
+    assert {r.table_name: r.watermark for r in kept.collect()} == {"t": "10", "u": "-3.25", "v": "10"}
+    numbers = spark.sql("select cast(c as decimal(12,2)) c from values (1.00), (1.01), (2) t(c)")
+    assert watermarks.incremental_filter(numbers, "c", "number", "1.005").count() == 2
+
+
 def test_watermark_map_and_merge(spark, tmp_path):
     stored = write(tmp_path / "marks.json", MARKS)
     marks = configs.read_watermark_map(spark, stored)

@@ -62,6 +62,13 @@ def incremental_hash(spark, sf_dir):
     return rowhash.add_incremental_hash(fx.typed_orders(spark, sf_dir))
 
 
+@query("hash_sample", money=("o_totalprice",), ctes=(fx.TYPED_ORDERS,),
+       sql=f"SELECT *, sha256({fx.ORDERS_HASH_TEXT}) AS row_hash FROM typed_orders ORDER BY row_hash LIMIT 100")
+def hash_sample(spark, sf_dir):
+    """The same hundred rows on every run."""
+    return rowhash.hash_sample(rowhash.add_row_hash(fx.typed_orders(spark, sf_dir)), 100)
+
+
 @query("hash_validation", ctes=(fx.TYPED_ORDERS,),
        sql=f"""SELECT count(*) AS total_rows, count(*) FILTER (h IS NULL) AS null_hashes,
                  count(*) FILTER (length(h) NOT IN (32, 64)) AS bad_lengths,

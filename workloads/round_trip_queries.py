@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeload.functions import stamps
 from lakeload.operators import metadata, registry, watermarks
 from lakeload.plans.registry_build import write_registries
 from lakeload.plans.watermark_merge import merge_watermarks
@@ -88,6 +89,57 @@ def mixed_watermarks(spark, sf_dir):
     return watermarks.max_watermarks(configs.read_runtime_watermarks(spark, _land_mixed_watermarks(spark, sf_dir)))
 
 
+# One table per type; marks below zero and of several lengths.
+TYPED_MARKS = """
+typed AS (
+  SELECT 'bigint' AS table_name, CAST(max(o_orderkey) AS VARCHAR) AS watermark FROM orders
+  UNION ALL SELECT 'smallint', CAST(max(o_orderkey % 130 - 120) AS VARCHAR) FROM orders
+  UNION ALL SELECT 'decimal_whole', CAST(max(o_custkey) AS VARCHAR) FROM orders
+  UNION ALL SELECT 'decimal_below', CAST(max(-CAST(o_totalprice AS DECIMAL(38, 6))) AS VARCHAR) FROM orders
+  UNION ALL SELECT 'decimal_wide', CAST(max(CAST(o_totalprice AS DECIMAL(38, 12)) - 5000) AS VARCHAR) FROM orders
+  UNION ALL SELECT 'double', CAST(max(c_acctbal) AS VARCHAR) FROM customer
+  UNION ALL SELECT 'date', CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) FROM orders
+  UNION ALL SELECT 'timestamp', strftime(date_trunc('second', max(ts)), '%Y-%m-%d %H:%M:%S') FROM events
+  UNION ALL SELECT 'text', max(o_orderpriority) FROM orders)"""
+
+
+def _land_typed_watermarks(spark, sf_dir) -> str:
+    path = scratch_path(spark, "runtime")
+    orders, customers, events = (fx.table(spark, sf_dir, name) for name in ("orders", "customer", "events"))
+    marks = {
+        "bigint": (orders, F.col("o_orderkey").cast("bigint")), "smallint": (orders, (F.col("o_orderkey") % 130 - 120).cast("smallint")),
+        "decimal_whole": (orders, F.col("o_custkey").cast("decimal(18,0)")),
+        "decimal_below": (orders, -F.col("o_totalprice").cast("decimal(38,6)")),
+        "decimal_wide": (orders, (F.col("o_totalprice").cast("decimal(38,12)") - F.lit(5000)).cast("decimal(38,12)")),
+        "double": (customers, F.col("c_acctbal").cast("double")), "date": (orders, F.to_date("o_orderdate")),
+        "timestamp": (events, F.date_trunc("second", "ts")), "text": (orders, F.col("o_orderpriority"))}
+    for name, (source, mark) in marks.items():
+        source.select(mark.alias("watermark")).write.parquet(f"{path}/{name}")
+    return path
+
+
+@query("typed_watermarks", ctes=(TYPED_MARKS,), sql="SELECT * FROM typed")
+def typed_watermarks(spark, sf_dir):
+    """Folders whose marks are of nine types, each compared as its type says."""
+    return watermarks.max_watermarks(configs.read_runtime_watermarks(spark, _land_typed_watermarks(spark, sf_dir)))
+
+
+@query("incremental_kinds", sql="""
+SELECT 'date' AS kind, o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1997-01-01'
+UNION ALL SELECT 'stamp17', o_orderkey FROM orders
+WHERE CAST(strftime(CAST(o_orderdate AS TIMESTAMP), '%Y%m%d') || '000000000' AS BIGINT) > 19970101000000000
+UNION ALL SELECT 'number', o_orderkey FROM orders WHERE CAST(o_totalprice AS DECIMAL(12, 2)) > 100000.005""")
+def incremental_kinds(spark, sf_dir):
+    """Rows beyond marks of several kinds."""
+    orders = fx.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("date"), stamps.stamp17(F.col("o_orderdate").cast("timestamp_ntz")).alias("stamp17"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("number"))
+    marks = {"date": "1997-01-01", "stamp17": "19970101000000000", "number": "100000.005"}
+    parts = [watermarks.incremental_filter(orders, kind, kind, mark).select(F.lit(kind).alias("kind"), "o_orderkey")
+             for kind, mark in marks.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
 @query("mixed_watermark_job", ctes=(MIXED_MARKS,), sql="""
 SELECT 'shop' AS source, table_name, watermark FROM mixed
 UNION ALL SELECT 'shop', 'purchase', '0012'

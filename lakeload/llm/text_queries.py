@@ -82,7 +82,8 @@ FROM placed p JOIN quotas q ON p.source IS NOT DISTINCT FROM q.source
 
 @query("op3_source_mixing", MIX_SQL)
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+        "doc_id", "size", "source_size", "target", "taken", "epochs")
 
 
 URL_RULES = (
@@ -130,7 +131,7 @@ FROM ruled
 @query("op8_url_filter", URL_SQL)
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select(
-        "page_id", "host", "path", "rule", "n_strict", "n_soft", "soft_weight", "verdict")
+        "page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
 @query("op9_license_scan")

@@ -15,7 +15,7 @@ from lakeload.operators.runlog import FAILED, SKIPPED, SUCCESS
 from lakeload.plans.bronze import MESSAGE_LIMIT, utc_now
 from lakeload.plans.spec import TableSpec
 from lakeload.schemas import LOG_SCHEMAS, SILVER_LOG
-from lakeload.sources import bronze, covered, versioned
+from lakeload.sources import bronze, covered, histories, versioned
 from lakeload.sources.tables import described, folder_bytes, is_view, quoted, table_bytes, table_exists
 
 # Fixed value: message that readers of the log look for.
@@ -83,6 +83,7 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
     rows = bronze_as_of(spark, spec.bronze_table, run_ts)
     order = []
     listing = covered.listed_files(spark, spec.bronze_table, run_ts.upper()) if history else None
+    cut = history and histories.refuse_removed(spark, spec.bronze_table, run_ts, base, listing)
     known = covered.covered_files(spark, spec.silver_table, base.run_ts) if history and base else None
     started = described(spark, spec.bronze_table, "Created Time") or ""
     if known is not None and versioned.version_properties(spark, base).get(STARTED) != started:
@@ -96,7 +97,7 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
         order.append(F.col(f"`{spec.incremental_column}`").desc_nulls_last())
     buckets = versioned.bucket_count(spark, base, _expected_bytes(spark, spec, run_ts, base))
     current = merge.hashed_source(rows, keys, order)
-    deletes = (spec.sync_deletes or spec.load_mode in delete_modes) and not partial
+    deletes = (spec.sync_deletes or spec.load_mode in delete_modes) and not partial and not cut
     previous = versioned.read_version(spark, base) if base else None
     merged = merge.merge_silver(previous, aligned(current, keys, buckets), keys, run_ts, deletes)
     metrics = versioned.write_version(

@@ -202,8 +202,14 @@ def _overwrite_partitions(spark: SparkSession, target: str, df: DataFrame, colum
         writer.partitionBy(*columns).parquet(attempt)
         places = matching_paths(spark, "/".join([attempt, *(f"{c}=*" for c in columns)]))
         written = sorted(p[p.index(f"/{columns[0]}=") + 1:] for p in places)
+    switch_partitions(spark, target, attempt, written, known)
+    return observation.get["rows"]
+
+
+def switch_partitions(spark: SparkSession, target: str, attempt: str, folders: Sequence[str], known: set[str]) -> None:
+    """Point the catalog at the complete folders of an attempt; of those ``known`` already the old folders go."""
     old = []
-    for folder in written:
+    for folder in folders:
         values = partition_values(folder)
         if folder in known:
             old.append(partition_location(spark, target, values))
@@ -214,7 +220,14 @@ def _overwrite_partitions(spark: SparkSession, target: str, df: DataFrame, colum
     spark.catalog.refreshTable(quoted(target))
     for place in old:
         delete_folder(spark, place)
-    return observation.get["rows"]
+
+
+def remove_partitions(spark: SparkSession, target: str, folders: Sequence[str]) -> None:
+    """Remove partitions and their files, wherever these lie."""
+    places = [partition_location(spark, target, partition_values(f)) for f in folders]
+    drop_partitions(spark, target, [partition_values(f) for f in folders])
+    for place in places:
+        delete_folder(spark, place)
 
 
 def partition_location(spark: SparkSession, target: str, values: dict) -> str | None:

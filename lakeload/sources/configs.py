@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import re
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,38 @@ def read_watermark_map(spark: SparkSession, path: str) -> DataFrame:
     return sources.select(F.col("s.name").alias("source"), F.explode("s.tables").alias("table_name", "watermark"))
 
 
+def mark_folder(root: str, run_ts: str, source: str) -> str:
+    """Folder of a mark store that one source owns for one run."""
+    return f"{root.rstrip('/')}/run={quote(run_ts, safe='')}/source={quote(source, safe='')}"
+
+
+def write_source_marks(marks: DataFrame, root: str, run_ts: str, source: str) -> None:
+    """Marks of one source after one run (``table_name, watermark``), to a file of their own: jobs of other sources write
+    elsewhere, and a repeated run replaces its own file only."""
+    own = marks.select(F.lit(source).alias("source"), "table_name", "watermark")
+    write_document(watermark_document(own), mark_folder(root, run_ts, source))
+
+
+def read_mark_store(spark: SparkSession, root: str, stored_path: str | None = None) -> DataFrame:
+    """Marks of all sources as (source, table_name, watermark): per table the one of the newest run that has it.
+
+    ``stored_path`` is a map (see :func:`read_watermark_map`) that counts as older than every run. Run stamps sort as text.
+    """
+    def marks(path: str, run) -> DataFrame:
+        documents = spark.read.schema(WATERMARK_SCHEMA).option("multiLine", True).json(path).select(run.alias("run"), F.explode("source").alias("s"))
+        return documents.select("run", F.col("s.name").alias("source"), F.explode("s.tables").alias("table_name", "watermark"))
+
+    parts = [marks(stored_path, F.lit(""))] if stored_path else []
+    try:
+        parts.append(marks(f"{root.rstrip('/')}/run=*/source=*", F.url_decode(F.regexp_extract("_metadata.file_path", "/run=([^/]*)/source=", 1))))
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
+    if not parts:
+        return spark.createDataFrame([], "source string, table_name string, watermark string")
+    return functools.reduce(DataFrame.unionByName, parts).groupBy("source", "table_name").agg(F.max_by("watermark", "run").alias("watermark"))
+
+
 def source_watermarks(marks: DataFrame, source: str) -> DataFrame:
     return marks.where(F.col("source") == source).select("table_name", "watermark")
 

@@ -77,3 +77,30 @@ def record_covered(spark: SparkSession, silver: str, table: str, run_ts: str, li
     mark = spark.createDataFrame([(None, None, None, None)], FILES)
     rows = fresh.select("load", "partition", "file", "length").unionByName(mark).withColumn("whole", F.lit(base is None))
     bronze.append_run(spark, name, rows, run_ts)
+
+
+def replace_files(spark: SparkSession, silver: str, old: DataFrame, new: DataFrame) -> None:
+    """Records of covered files after partitions were rewritten or removed: ``old`` files give way to ``new`` ones.
+
+    A run's record of a partition changes only where it holds all old files of that partition and no others. Any other
+    record no longer fits the listing, and the next merge reads the whole history.
+    """
+    name = silver + SUFFIX
+    if not table_exists(spark, name):
+        return
+    kept = spark.table(quoted(name))
+    n_old = old.groupBy("partition").agg(F.count("file").alias("n_old"))
+    found = kept.join(old.select("partition", "file", "length", F.lit(1).alias("hit")), ["partition", "file", "length"], "left")
+    exact = (found.groupBy(LOAD_COLUMN, "partition").agg(F.count("file").alias("n"), F.count("hit").alias("hits"))
+             .join(n_old, "partition").where("n = n_old AND hits = n_old").select(LOAD_COLUMN, "partition"))
+    # One row per silver run and load.
+    place = scratch_path(spark, "exact")
+    exact.write.parquet(place)
+    exact = spark.read.schema(exact.schema).parquet(place)
+    for row in exact.select(LOAD_COLUMN).distinct().orderBy(LOAD_COLUMN).collect():
+        run = row[0]
+        mine, parts = kept.where(F.col(LOAD_COLUMN) == run), exact.where(F.col(LOAD_COLUMN) == run).select("partition")
+        whole = mine.select("whole").first()[0]
+        rows = (mine.join(parts, "partition", "left_anti").select("load", "partition", "file", "length")
+                .unionByName(new.join(parts, "partition", "left_semi").select("load", "partition", "file", "length")))
+        bronze.append_run(spark, name, rows.withColumn("whole", F.lit(whole)), run)

@@ -34,8 +34,19 @@ def described(spark: SparkSession, table: str, label: str) -> str | None:
     return row.data_type if row else None
 
 
+def stored_table(spark: SparkSession, table: str) -> str:
+    """Table that holds the rows: the newest version behind the view of a versioned table, otherwise the table itself."""
+    text = described(spark, table, "View Text") if is_view(spark, table) else None
+    return text.rsplit(" ", 1)[1].replace("`", "").lower() if text else table
+
+
 def table_location(spark: SparkSession, table: str) -> str | None:
-    return described(spark, table, "Location") if table_exists(spark, table) else None
+    """Folder of a table; of a versioned table, the one of its newest version."""
+    return described(spark, stored_table(spark, table), "Location") if table_exists(spark, table) else None
+
+
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(table)}").collect()}
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -47,9 +58,14 @@ def is_view(spark: SparkSession, table: str) -> bool:
 
 
 def drop_table(spark: SparkSession, table: str) -> bool:
-    """Drop a table; False when there was none."""
+    """Drop a table of any form, with all its versions; False when there was none."""
     if not table_exists(spark, table):
         return False
+    if is_view(spark, table):
+        from lakeload.sources.versioned import drop_versioned
+
+        drop_versioned(spark, table)
+        return True
     spark.sql(f"DROP TABLE {quoted(table)}")
     return True
 
@@ -59,9 +75,9 @@ def row_count(spark: SparkSession, table: str) -> int | None:
 
 
 def analyze(spark: SparkSession, table: str, columns: bool = True) -> None:
-    """Statistics for the optimizer (join order, broadcast decisions)."""
+    """Statistics for the optimizer (join order, broadcast decisions); of a versioned table, on its newest version."""
     tail = " FOR ALL COLUMNS" if columns else ""
-    spark.sql(f"ANALYZE TABLE {quoted(table)} COMPUTE STATISTICS{tail}")
+    spark.sql(f"ANALYZE TABLE {quoted(stored_table(spark, table))} COMPUTE STATISTICS{tail}")
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
@@ -77,7 +93,7 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
 
 def table_bytes(spark: SparkSession, table: str, partition: str = "") -> int | None:
     """Stored size of a table, or of one partition folder of it. None for a view."""
-    location = table_location(spark, table)
+    location = None if is_view(spark, table) else table_location(spark, table)
     return folder_bytes(spark, f"{location}/{partition}".rstrip("/")) if location else None
 
 

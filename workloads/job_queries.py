@@ -6,9 +6,11 @@ source, and what a query returns leaves it out.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.operators import runlog
@@ -21,7 +23,8 @@ from lakeload.plans.spec import TableSpec
 from lakeload.plans.tuning_report import tuning_report
 from lakeload.schemas import BRONZE_LOG, BRONZE_SUMMARY, SILVER_LOG, SILVER_SUMMARY
 from lakeload.session import scratch_path
-from lakeload.sources import bronze, configs, landed, logs, tables, versioned
+from lakeload.sources import bronze, configs, covered, histories, landed, logs, tables, versioned
+from lakeload.sources.files import matching_paths
 from workloads import config_queries as cq
 from workloads import fixtures as fx
 from workloads.book import query
@@ -120,6 +123,77 @@ def failed_replay(spark, sf_dir):
     return spark.read.parquet(kept).unionByName(spark.table(target).select(F.lit("after the next").alias("state"), *columns))
 
 
+@query("compacted_history", sql=f"""
+WITH runs AS (SELECT *, {RUN_SQL} AS run FROM events)
+SELECT 'row' AS fact, event_id AS number, user_id, event_type, run FROM runs
+UNION ALL SELECT 'files beyond the target', 0, NULL, NULL, run FROM runs GROUP BY run
+UNION ALL SELECT 'state', count(DISTINCT user_id), NULL, NULL, NULL FROM runs
+UNION ALL SELECT 'whole reads', 1, NULL, NULL, NULL""")
+def compacted_history(spark, sf_dir):
+    """A history of many small files between two merges: rows as before, few files, and the next merge reads new loads only."""
+    spec, size = _event_spec(_database(spark)), 1 << 16
+    first, second, last = _event_runs(spark, sf_dir)
+    for run, rows in (first, second):
+        bronze.append_run(spark, spec.bronze_table, rows.repartition(24), run)
+        _done(merge_table(spark, spec, "shop", "id", run))
+    bronze.append_run(spark, spec.bronze_table, last[1].repartition(24), last[0])
+    histories.compact_history(spark, spec.bronze_table, size, silver=[spec.silver_table])
+    _done(merge_table(spark, spec, "shop", "id", last[0]))
+    files = covered.listed_files(spark, spec.bronze_table, histories.ALL_RUNS)
+    beyond = F.greatest(F.lit(0), F.count("file") - F.ceil((F.sum("length") + F.lit(size - 1)) / size))
+    none = F.lit(None)
+    recorded = spark.table(spec.silver_table + covered.SUFFIX).where("whole").select(LOAD_COLUMN).distinct()
+    columns = ["fact", "number", "user_id", "event_type", "run"]
+    parts = [
+        spark.table(spec.bronze_table).select(F.lit("row"), "event_id", "user_id", "event_type", LOAD_COLUMN),
+        files.groupBy("load").agg(beyond.alias("n")).select(F.lit("files beyond the target"), "n", none, none, "load"),
+        spark.table(spec.silver_table).agg(F.count("*").alias("n")).select(F.lit("state"), "n", none, none, none),
+        recorded.agg(F.count("*").alias("n")).select(F.lit("whole reads"), "n", none, none, none)]
+    return functools.reduce(DataFrame.unionAll, [p.toDF(*columns) for p in parts])
+
+
+@query("history_left", ctes=(EVENT_STATE,), sql=f"""
+SELECT 'bronze' AS layer, user_id, event_id, run AS run_ts, false AS is_deleted FROM runs WHERE run > '{EVENT_RUNS[0]}'
+UNION ALL SELECT 'silver', user_id, event_id, _silver_updated_ts, false FROM event_state""")
+def history_left(spark, sf_dir):
+    """Loads that silver covers are removed, newer ones stay; later merges, a repeated one included, lose no key."""
+    spec = _event_spec(_database(spark))
+    first, second, last = _event_runs(spark, sf_dir)
+    bronze.append_run(spark, spec.bronze_table, first[1], first[0])
+    _done(merge_table(spark, spec, "shop", "id", first[0]))
+    bronze.append_run(spark, spec.bronze_table, second[1], second[0])
+    histories.remove_covered_loads(spark, spec.bronze_table, last[0], [spec.silver_table])
+    bronze.append_run(spark, spec.bronze_table, last[1], last[0])
+    for run in (second[0], last[0], second[0]):
+        _done(merge_table(spark, spec, "shop", "id", run))
+    return spark.table(spec.bronze_table).select(F.lit("bronze").alias("layer"), "user_id", "event_id", F.col(LOAD_COLUMN).alias("run_ts"),
+                                                 F.lit(False).alias("is_deleted")).unionAll(
+        spark.table(spec.silver_table).select(F.lit("silver"), "user_id", "event_id", "_silver_updated_ts", "is_deleted"))
+
+
+@query("versioned_facts", sql="""
+SELECT form, fact, value FROM (SELECT count(*) AS n FROM customer), (VALUES ('snapshot'), ('history'), ('state')) f(form),
+  LATERAL (VALUES ('located', 1), ('rows with statistics', n), ('dropped', 1), ('exists after', 0)) s(fact, value)""")
+def versioned_facts(spark, sf_dir):
+    """Place, statistics and drop of a table in each form that loads and merges give it."""
+    database = _database(spark)
+    customers = fx.table(spark, sf_dir, "customer")
+    spec = TableSpec("history", "incremental", f"{database}.history", f"{database}.state", ("c_custkey",))
+    bronze.write_snapshot(spark, f"{database}.snapshot", customers, fx.THIS_RUN)
+    bronze.append_run(spark, spec.bronze_table, customers, fx.THIS_RUN)
+    _done(merge_table(spark, spec, "shop", "id", fx.THIS_RUN))
+    facts = []
+    for form in ("snapshot", "history", "state"):
+        target = f"{database}.{form}"
+        facts.append((form, "located", int(bool(matching_paths(spark, tables.table_location(spark, target))))))
+        tables.analyze(spark, target)
+        known = tables.described(spark, tables.stored_table(spark, target), "Statistics")
+        facts.append((form, "rows with statistics", int(known.split(",")[1].split()[0])))
+        facts.append((form, "dropped", int(tables.drop_table(spark, target))))
+        facts.append((form, "exists after", int(tables.table_exists(spark, target) or bool(versioned.versions(spark, target)))))
+    return spark.createDataFrame(facts, "form string, fact string, value long")
+
+
 @query("snapshot_merge_replay", ctes=(fx.TYPED_ORDERS,), sql="""
 SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN '20240101T000000'
        WHEN o_orderdate < TIMESTAMP '2001-01-01' THEN '20240102T000000' ELSE '20240103T000000' END AS _silver_inserted_ts,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from lakeload.functions import stamps
@@ -156,6 +158,37 @@ def mixed_watermark_job(spark, sf_dir):
     return configs.read_watermark_map(spark, target)
 
 
+@query("concurrent_watermarks", sql="""
+SELECT 'shop_' || o_custkey % 8 AS source, 'orders' AS table_name, CAST(max(o_orderkey) AS VARCHAR) AS watermark FROM orders GROUP BY ALL
+UNION ALL SELECT 'pages', CAST(page_id AS VARCHAR), '0' || page_id FROM pages""")
+def concurrent_watermarks(spark, sf_dir):
+    """Eight sources bring their marks up to date at the same time, for two runs; one source repeats the first run after the second."""
+    stored, store, landing = (scratch_path(spark, label) for label in ("marks", "store", "runtime"))
+    shop = F.concat(F.lit("shop_"), F.col("o_custkey") % 8)
+    runs = {"20240101T000000": "watermark % 2 = 0", "20240102T000000": "true"}
+    orders = fx.table(spark, sf_dir, "orders").select(shop.alias("source"), F.col("o_orderkey").cast("bigint").alias("watermark"))
+    for run, rows in runs.items():
+        (orders.where(rows)
+         .write.partitionBy("source").parquet(f"{landing}/{run}"))
+    first = orders.select("source", F.lit("orders").alias("table_name"), F.lit("-1").alias("watermark")).distinct()
+    pages = fx.table(spark, sf_dir, "pages").select(
+        F.lit("pages").alias("source"), F.col("page_id").cast("string").alias("table_name"), F.concat(F.lit("0"), "page_id").alias("watermark"))
+    configs.write_document(configs.watermark_document(first.unionByName(pages)), stored)
+    names = [f"shop_{i}" for i in range(8)]
+
+    def job(run, source):
+        # The run's files of this source, as one table folder.
+        place = scratch_path(spark, "run")
+        spark.read.parquet(f"{landing}/{run}/source={source}").write.parquet(f"{place}/orders")
+        merge_watermarks(spark, place, stored, source, run, monotonic=True, store_path=store, run_ts=run)
+
+    with ThreadPoolExecutor(8) as jobs:
+        for run in runs:
+            list(jobs.map(lambda name, run=run: job(run, name), names))
+    job(list(runs)[0], names[0])
+    return configs.read_mark_store(spark, store, stored)
+
+
 @query("runtime_watermarks", ctes=cq.MARKS, sql="SELECT * FROM newest")
 def runtime_watermarks(spark, sf_dir):
     """All table folders of a run in one scan."""

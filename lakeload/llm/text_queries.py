@@ -10,7 +10,7 @@ from lakeload.llm.common import table
 from lakeload.llm.license_scan import scan_licenses
 from lakeload.llm.line_dedup import drop_repeated_lines
 from lakeload.llm.mixing import mix_sources
-from lakeload.llm.pii import find_pii, fit_tagger
+from lakeload.llm.pii import SECRET, find_pii, fit_tagger
 from lakeload.llm.url_filter import SOFT_TERMS, STRICT_TERMS, UrlRule, filter_urls
 
 ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -143,5 +143,8 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii")
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.filter(F.split("spans", ","), lambda s: s != "")
     return find_pii(docs, fit_tagger(docs)).select(
-        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans",
+        F.size(F.filter(spans, lambda s: s.startswith(f"{SECRET}:"))).cast("long").alias("n_secret"),
+        F.size(spans).cast("long").alias("n_spans"))

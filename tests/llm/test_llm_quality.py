@@ -236,6 +236,50 @@ def test_tagger_learns_and_reconciles(spark):
     assert pii.added_spans(call, [("phone", 20, 26)], [("phone", 12, 26)]) == [] and pii.added_spans(call, [], [("ip", 12, 26)]) == []
 
 
+def test_tagger_finds_what_no_pattern_does(spark):
+    """Held-out documents with spans written in ways that the patterns miss, and clean ones that only look like it."""
+    pick, rng = random.Random(5), np.random.default_rng(5)
+    words = ["".join(pick.choice("abcdefghiklmnoprstu") for _ in range(pick.randint(2, 9))) for _ in range(300)]
+    card = next(c for c in (f"4{n:015d}" for n in range(123456789012345, 123456789012400)) if pii.luhn(c))
+    make = {"email": lambda: f"{pick.choice(words)}.{pick.choice(words)}@{pick.choice(words)}.org",
+            "ip": lambda: ".".join(str(pick.randrange(256)) for _ in range(4)), "card": lambda: " ".join(card[i:i + 4] for i in (0, 4, 8, 12)),
+            "phone": lambda: f"+1 ({pick.randrange(200, 999)}) 555-{pick.randrange(1000, 9999)}",
+            "secret": lambda: "".join(pick.choice("0123456789abcdef") for _ in range(40))}
+
+    def text(kind, body):
+        said = pick.choices(words, k=40)
+        place = pick.randrange(40)
+        said[place:place] = [f'{pick.choice(["token", "api_key"])} = "{body}"' if kind == "secret" else body]
+        return " ".join(said)
+
+    kinds = list(make)
+    train = [(i, text(k, make[k]()) + f" {pick.randrange(10 ** 9)} on page {pick.randrange(999)}, 2024-03-{pick.randrange(10, 29)}")
+             for i, k in enumerate(kinds * 80)]
+    tagger = pii.fit_tagger(spark.createDataFrame(train, "doc_id long, text string"))
+    planted, clean = [], [" ".join(pick.choices(words, k=30)) + f" {pick.randrange(10 ** 9)} in 2023-01-{d}, page {d}.{d}, a{d}" for d in range(10, 70)]
+    for kind in kinds * 30:
+        body = pii.rewritten(kind, make[kind](), rng)
+        planted.append((kind, body, text(kind, body)))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([t for _, _, t in planted] + clean)], "doc_id long, text string")
+    got = {r.doc_id: (r.base_spans, r.spans) for r in pii.find_pii(docs, tagger).collect()}
+    added = [set(s.split(",")) - set(b.split(",")) - {""} for b, s in (got[i] for i in range(len(got)))]
+    want = [f"{k}:{t.index(b)}:{t.index(b) + len(b)}" for k, b, t in planted]
+    missed = [w for (k, b, t), w in zip(planted, want, strict=True) if not pii.pattern_spans(t)]
+    assert len(missed) > 100
+    right = sum(w in a for w, a in zip(want, added, strict=False))
+    assert right >= 0.6 * len(missed)
+    assert sum(map(len, added[:len(planted)])) - right <= 0.2 * len(planted)
+    assert sum(map(len, added[len(planted):])) <= 3
+
+
+def test_training_windows_come_from_the_whole_text():
+    text = "word " * 200 + 'token = "0123456789abcdef0123456789abcdef" ' + "word " * 200
+    windows = pii.training_windows(text, 2)
+    assert windows and any((tags == pii.ALL_KINDS.index("secret") + 1).any() for _, tags in windows)
+    assert all(len(x) == len(y) == pii.WINDOW for x, y in windows)
+    assert pii.training_windows("", 2) == [] and pii.training_windows("no sign of it", 2) == []
+
+
 def test_pii_awkward_rows(spark):
     docs = documents(spark)
     assert pii.fit_tagger(docs.where("doc_id = 41")) is None and pii.fit_tagger(docs.where("false")) is None

@@ -53,4 +53,4 @@ class TableSpec:
             shape=FileShape(
                 single_file=bool(r.get("single_file")),
                 max_rows_per_file=r.get("max_rows_per_file"),
-                cluster_by=tuple(r.get("zorder") or ())))
+                zorder_by=tuple(r.get("zorder") or ())))

@@ -43,9 +43,10 @@ class FileShape:
     single_file: bool = False
     max_rows_per_file: int | None = None
     cluster_by: Sequence[str] = field(default_factory=tuple)
+    zorder_by: Sequence[str] = field(default_factory=tuple)
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return shaped(df, self.cluster_by, single_file=self.single_file)
+        return shaped(df, self.cluster_by, single_file=self.single_file, zorder_by=self.zorder_by)
 
 
 def add_month_columns(df: DataFrame, date_column: str = DEFAULT_WINDOW_COLUMN,

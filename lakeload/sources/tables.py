@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeload.operators.zorder import zorder_key
+
 
 def quoted(name: str) -> str:
     """``db.table`` with back-ticks around each part."""
@@ -98,9 +100,12 @@ def table_bytes(spark: SparkSession, table: str, partition: str = "") -> int | N
 
 
 def shaped(df: DataFrame, cluster_by: Sequence[str] = (), files: int | None = None,
-           single_file: bool = False) -> DataFrame:
+           single_file: bool = False, zorder_by: Sequence[str] = ()) -> DataFrame:
     """Lay rows out for writing.
 
+    ``zorder_by`` makes files hold narrow ranges of each of these columns (see :func:`zorder_key`, which scans the rows
+    once); it goes before ``cluster_by``.
+
     ``cluster_by`` makes files hold ranges of these columns. A hash of the row ends the range
     key, so that one value with a third of the rows still spreads over many tasks.
 
@@ -109,8 +114,8 @@ def shaped(df: DataFrame, cluster_by: Sequence[str] = (), files: int | None = No
     """
     if single_file:
         return df.hint("rebalance")
-    if cluster_by:
-        columns: list[Column] = [F.col(c) for c in cluster_by]
+    if cluster_by or zorder_by:
+        columns: list[Column] = [zorder_key(df, zorder_by)] if zorder_by else [F.col(c) for c in cluster_by]
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
         ranged = (df.repartitionByRange(files, *columns, spread) if files
                   else df.repartitionByRange(*columns, spread))

@@ -194,6 +194,14 @@ def versioned_facts(spark, sf_dir):
     return spark.createDataFrame(facts, "form string, fact string, value long")
 
 
+@query("zordered_table", sql="SELECT * FROM orders")
+def zordered_table(spark, sf_dir):
+    """A snapshot laid out along three columns of different types."""
+    target, shape = f"{_database(spark)}.orders", bronze.FileShape(zorder_by=("o_custkey", "o_orderdate", "o_orderpriority"))
+    bronze.write_snapshot(spark, target, fx.table(spark, sf_dir, "orders"), EVENT_RUNS[0], shape=shape)
+    return spark.table(target)
+
+
 @query("snapshot_merge_replay", ctes=(fx.TYPED_ORDERS,), sql="""
 SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN '20240101T000000'
        WHEN o_orderdate < TIMESTAMP '2001-01-01' THEN '20240102T000000' ELSE '20240103T000000' END AS _silver_inserted_ts,

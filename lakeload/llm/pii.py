@@ -5,10 +5,9 @@ pattern matches, the same spans written in other ways (no ``+``, other separator
 secrets: values of assignments to names such as "token", and made-up keys of several alphabets put in their place. So it learns spans
 that no pattern finds, and secrets as a kind of their own.
 
-It then reads every text in overlapping windows. Each window is decoded by
+It then reads every text whole, in overlapping windows longer than those of the training. Each window is decoded by
 Viterbi, each character takes its tag from the window in which it is furthest from an edge, and runs of a tag over the whole
-text are the spans; a secret is the whole run of key characters around its tags. A span of any kind holds a digit, an ``@`` or an
-"(at)", so windows with none are not decoded.
+text are the spans; a secret is the whole run of key characters around its tags. No window is left out.
 What the tagger finds is added where it touches no pattern match and has the shape of its kind.
 """
 
@@ -30,6 +29,10 @@ ALL_KINDS = (*KINDS, SECRET)
 TAGS = len(ALL_KINDS) + 1
 WINDOW = 64
 STRIDE = WINDOW // 2
+# Windows to read are longer than those to train on, so that few characters are read twice; a tag within ``EDGE`` characters of a
+# window's end, inside a text, comes from the neighbour.
+READ = 4 * WINDOW
+EDGE = WINDOW // 4
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9][0-9.]*")
@@ -117,7 +120,7 @@ def written(spans: list[Span]) -> str:
 # Character classes: digit, lower, upper, other letter or sign, and some signs of their own; 0 pads.
 _SIGNS = " \n\t.,:;@+-_%()/\"'=#*"
 CLASSES = 5 + len(_SIGNS)
-_CLASS_OF = np.full(128, 4, np.int64)
+_CLASS_OF = np.full(129, 4, np.uint8)
 _CLASS_OF[48:58], _CLASS_OF[97:123], _CLASS_OF[65:91] = 1, 2, 3
 for _i, _c in enumerate(_SIGNS):
     _CLASS_OF[ord(_c)] = 5 + _i
@@ -125,7 +128,7 @@ for _i, _c in enumerate(_SIGNS):
 
 def classes_of(text: str) -> np.ndarray:
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(codes < 128, _CLASS_OF[np.minimum(codes, 127)], 4)
+    return _CLASS_OF.take(np.minimum(codes, 128))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -159,6 +162,23 @@ class Lstm:
             out[t] = h
         return out, memory
 
+    def read(self, x: np.ndarray) -> np.ndarray:
+        """Output of :meth:`forward` alone, with the four gates apart; one tanh gives them all, as sigmoid(z) = tanh(z / 2) / 2 + 1 / 2."""
+        n = self.hidden
+        half = np.array([0.5, 0.5, 0.5, 1], self.params["table"].dtype)[:, None, None]
+        table, back = (np.ascontiguousarray(self.params[k].reshape(-1, 4, n).transpose(1, 0, 2)) * half for k in ("table", "back"))
+        h = c = np.zeros((x.shape[1], n), table.dtype)
+        out = np.empty((*x.shape, n), h.dtype)
+        for t in range(len(x)):
+            z = h @ back
+            z += table.take(x[t], axis=1)
+            np.tanh(z, out=z)
+            z[:3] *= 0.5
+            z[:3] += 0.5
+            c = z[1] * c + z[0] * z[3]
+            h = np.multiply(z[2], np.tanh(c), out=out[t])
+        return out
+
     def backward(self, x: np.ndarray, memory: list, d_out: np.ndarray) -> dict[str, np.ndarray]:
         n = self.hidden
         grad = {k: np.zeros_like(v) for k, v in self.params.items()}
@@ -229,17 +249,25 @@ class Tagger:
 
     def decode(self, x: np.ndarray) -> np.ndarray:
         """Best tags, (time, batch)."""
-        scores = self._scores(x)[0]
-        best, back = scores[0], np.zeros(scores.shape, np.int8)
-        for t in range(1, len(x)):
-            reach = best[:, :, None] + self.top["step"]
-            back[t] = reach.argmax(axis=1)
-            best = reach.max(axis=1) + scores[t]
-        tags = np.empty(x.shape, np.int8)
-        tags[-1] = best.argmax(axis=1)
-        rows = np.arange(x.shape[1])
+        ahead, behind, n = self.ahead.read(x), self.behind.read(x[::-1])[::-1], self.ahead.hidden
+        out, step = self.top["out"], self.top["step"][:, :, None]
+        # (time, tag, batch): the best score of a path that ends in each tag; and of the path outside all spans.
+        best, outside = np.empty((len(x), TAGS, x.shape[1]), out.dtype), 0
+        for t in range(len(x)):
+            scores = best[t]
+            scores[:] = (ahead[t] @ out[:n] + behind[t] @ out[n:] + self.top["bias"]).T
+            outside = scores[0] + (outside + step[0, 0] if t else 0)
+            if t:
+                scores += (best[t - 1][:, None, :] + step).max(axis=0)
+        tags = np.zeros(x.shape, np.int8)
+        # Where no path beats the one outside all spans, it is the answer; the others are traced back.
+        some = np.flatnonzero(best[-1].max(axis=0) > outside)
+        best, into = np.ascontiguousarray(best[:, :, some].transpose(0, 2, 1)), np.ascontiguousarray(self.top["step"].T)
+        now = best[-1].argmax(axis=1)
+        tags[-1, some] = now
         for t in range(len(x) - 1, 0, -1):
-            tags[t - 1] = back[t, rows, tags[t]]
+            now = (best[t - 1] + into[now]).argmax(axis=1)
+            tags[t - 1, some] = now
         return tags
 
 
@@ -264,7 +292,12 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]], steps: int = 240, batch:
 
 
 def window_starts(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or an ``@``; windows begin every ``STRIDE`` characters."""
+    """Starts of the windows that a text is read in; together they cover it."""
+    return list(range(0, max(len(text) - 2 * EDGE, 1), READ - 2 * EDGE)) if text else []
+
+
+def marked_starts(text: str) -> list[int]:
+    """Starts of the training windows that hold a digit, an ``@`` or an "(at)"; windows begin every ``STRIDE`` characters."""
     starts: dict[int, None] = {}
     for m in _TRIGGER.finditer(text):
         last = m.start() // STRIDE * STRIDE
@@ -284,26 +317,32 @@ def _padded(classes: np.ndarray, start: int) -> np.ndarray:
 def tagged_spans(texts: list[str], tagger: Tagger, chunk: int = 1024) -> list[list[Span]]:
     """Spans of every text from its decoded windows, reconciled over the whole text."""
     found: list[list[Span]] = [[] for _ in texts]
-    jobs = [(i, s) for i, text in enumerate(texts) for s in window_starts(text)]
-    edge = (WINDOW - STRIDE) // 2
+    # The last window of a text ends with it, padded to a multiple of ``WINDOW``; windows of one length are decoded together.
+    jobs: dict[int, list[tuple[int, int]]] = {}
+    for i, text in enumerate(texts):
+        for s in window_starts(text):
+            jobs.setdefault(-(-min(READ, len(text) - s) // WINDOW) * WINDOW, []).append((i, s))
     pieces: dict[int, list[tuple[int, np.ndarray]]] = {}
-    classes, owner = np.empty(0, np.int64), -1
-    for at in range(0, len(jobs), chunk):
-        some = jobs[at:at + chunk]
-        rows = np.zeros((len(some), WINDOW), np.int64)
-        for k, (i, s) in enumerate(some):
-            if i != owner:
-                classes, owner = classes_of(texts[i]), i
-            rows[k] = _padded(classes, s)
-        tags = tagger.decode(np.ascontiguousarray(rows.T)).T
-        for (i, s), row in zip(some, tags, strict=True):
-            low = 0 if s == 0 else edge
-            high = len(texts[i]) - s if s + WINDOW >= len(texts[i]) else WINDOW - edge
-            if row[low:high].any():
-                pieces.setdefault(i, []).append((s + low, row[low:high]))
+    for size, alike in jobs.items():
+        classes, owner = np.empty(0, np.uint8), -1
+        for at in range(0, len(alike), chunk):
+            some = alike[at:at + chunk]
+            rows = np.zeros((len(some), size), np.uint8)
+            for k, (i, s) in enumerate(some):
+                if i != owner:
+                    classes, owner = classes_of(texts[i]), i
+                part = classes[s:s + size]
+                rows[k, :len(part)] = part
+            tags = tagger.decode(np.ascontiguousarray(rows.T)).T
+            for k in np.flatnonzero(tags.any(axis=1)).tolist():
+                (i, s), row = some[k], tags[k]
+                low = 0 if s == 0 else EDGE
+                high = len(texts[i]) - s if s + READ >= len(texts[i]) else READ - EDGE
+                if row[low:high].any():
+                    pieces.setdefault(i, []).append((s + low, row[low:high]))
     for i, parts in pieces.items():
         kind, start, last = 0, 0, -1
-        for begin, row in parts:
+        for begin, row in sorted(parts, key=lambda p: p[0]):
             for place in np.flatnonzero(row).tolist():
                 if row[place] != kind or begin + place != last + 1:
                     if kind:
@@ -376,9 +415,9 @@ def rewritten(kind: str, text: str, rng: np.random.Generator) -> str:
 
 
 def training_windows(text: str, per_text: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(classes, tags) of up to ``2 * per_text`` windows with a trigger, half of them with spans, and as many in which a span is
-    written otherwise. They are picked by hash over the whole text."""
-    spans, starts = labelled_spans(text), window_starts(text)
+    """(classes, tags) of up to ``2 * per_text`` windows with a trigger, half of them with spans, up to ``per_text`` in which a span
+    is written otherwise, and one without a trigger, of texts that have one. They are picked by hash over the whole text."""
+    spans, starts = labelled_spans(text), marked_starts(text)
     seed = zlib.crc32(text.encode("utf-8", "surrogatepass"))
     order = sorted(starts, key=lambda s: zlib.crc32(s.to_bytes(8, "little"), seed))
     tags = np.zeros(len(text), np.int64)
@@ -388,6 +427,8 @@ def training_windows(text: str, per_text: int) -> list[tuple[np.ndarray, np.ndar
     held = {s: bool(tags[s:s + WINDOW].any()) for s in order}
     for want in (True, False):
         out += [(_padded(classes, s), _padded(tags, s)) for s in [s for s in order if held[s] is want][:per_text]]
+    plain = set(range(0, len(text), STRIDE)) - set(starts) if starts else ()
+    out += [(_padded(classes, s), _padded(tags, s)) for s in sorted(plain, key=lambda s: zlib.crc32(s.to_bytes(8, "little"), seed))[:1]]
     rng = np.random.default_rng(seed)
     for kind, a, b in sorted(spans, key=lambda s: zlib.crc32(s[1].to_bytes(8, "little"), seed))[:per_text]:
         body = rewritten(kind, text[a:b], rng)

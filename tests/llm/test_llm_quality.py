@@ -280,6 +280,35 @@ def test_training_windows_come_from_the_whole_text():
     assert pii.training_windows("", 2) == [] and pii.training_windows("no sign of it", 2) == []
 
 
+def test_every_window_is_read():
+    """Texts without a digit, an @ or an "(at)" are read as well, all of them, however long."""
+    class All:
+        def decode(self, x):
+            return (x != 0).astype(np.int8)
+
+    texts = ["mail anna at example dot org" + " word" * n for n in (0, 5, 6, 40, 46, 47, 700)] + ["x" * n for n in (1, 63, 64, 65, 255, 256, 257, 480, 481)]
+    assert pii.tagged_spans(["", *texts], All()) == [[], *([("email", 0, len(t))] for t in texts)]
+    assert pii.tagged_spans(texts, All(), chunk=2) == pii.tagged_spans(texts, All())
+    assert pii.added_spans(texts[0], [], [("email", 5, 28)]) == [("email", 5, 28)]
+    # Decoding agrees with a plain Viterbi over the scores, for sequences with spans and without.
+    rng = np.random.default_rng(8)
+    tagger, x = pii.Tagger(hidden=4), rng.integers(0, pii.CLASSES, (40, 200))
+    tagger.top["bias"][0] = 0.4
+    scores, step = tagger._scores(x)[0], tagger.top["step"]
+    got = tagger.decode(x)
+    assert 0 < got.any(axis=0).sum() < 200
+    for b in range(200):
+        best, back = scores[0, b], []
+        for t in range(1, 40):
+            reach = best[:, None] + step
+            back.append(reach.argmax(axis=0))
+            best = reach.max(axis=0) + scores[t, b]
+        path = [int(best.argmax())]
+        for row in reversed(back):
+            path.append(int(row[path[-1]]))
+        assert got[:, b].tolist() == path[::-1]
+
+
 def test_pii_awkward_rows(spark):
     docs = documents(spark)
     assert pii.fit_tagger(docs.where("doc_id = 41")) is None and pii.fit_tagger(docs.where("false")) is None

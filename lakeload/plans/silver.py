@@ -95,7 +95,7 @@ def _merge(spark: SparkSession, spec: TableSpec, run_ts: str, delete_modes: Sequ
         order.append(F.col(LOAD_COLUMN).desc())
     if spec.incremental_column in rows.columns:
         order.append(F.col(f"`{spec.incremental_column}`").desc_nulls_last())
-    buckets = versioned.bucket_count(spark, base, _expected_bytes(spark, spec, run_ts, base))
+    buckets = versioned.bucket_count(spark, base, _expected_bytes(spark, spec, run_ts, base), _expected_rows(spark, rows, keys, base))
     current = merge.hashed_source(rows, keys, order)
     deletes = (spec.sync_deletes or spec.load_mode in delete_modes) and not partial and not cut
     previous = versioned.read_version(spark, base) if base else None
@@ -120,6 +120,17 @@ def _expected_bytes(spark: SparkSession, spec: TableSpec, run_ts: str, base: ver
     return incoming + (table_bytes(spark, base.table) or 0 if base else 0)
 
 
+def _expected_rows(spark: SparkSession, rows: DataFrame, keys: Sequence[str], base: versioned.Version | None) -> int:
+    """About as many rows as the two sides of the merge have: those of the last state and the incoming keys.
+
+    Parquet counts rows in its footers. Keys are only counted, roughly, where there are more rows than fit a bucket.
+    """
+    incoming = rows.count()
+    if incoming > versioned.BUCKET_ROWS:
+        incoming = rows.agg(F.approx_count_distinct(F.xxhash64(*[F.col(f"`{k}`") for k in keys])).alias("n")).first().n
+    return incoming + (versioned.version_rows(spark, base) or 0 if base else 0)
+
+
 def aligned(current: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     """Incoming rows in as many partitions as the version has buckets.
 

@@ -31,6 +31,8 @@ from lakeload.sources.tables import described, drop_table, ensure_schema_of, quo
 # Stored bytes per bucket: aimed at, and accepted to stay with the session's partitioning.
 BUCKET_BYTES = 256 << 20
 BUCKET_BYTES_RANGE = (16 << 20, 512 << 20)
+# Rows per bucket of a merge, its two sides together: aimed at, and the most. Narrow rows take a fraction of their memory on disk.
+BUCKET_ROWS, MOST_BUCKET_ROWS = 250_000, 1_000_000
 MAX_BUCKETS = 100_000  # Spark's own limit
 ROWS_PROPERTY = "lakeload.rows"
 _RUN_TS = re.compile("[0-9]{8}[Tt][0-9]+")
@@ -112,23 +114,24 @@ def stored_buckets(spark: SparkSession, version: Version | None) -> int:
     return int(described(spark, version.table, "Num Buckets") or 0) if version else 0
 
 
-def bucket_count(spark: SparkSession, base: Version | None, expected_bytes: int | None = None) -> int:
-    """Buckets of the next version, given the stored size to expect.
+def bucket_count(spark: SparkSession, base: Version | None, expected_bytes: int | None = None,
+                 expected_rows: int | None = None) -> int:
+    """Buckets of the next version, given the stored size and the rows to expect.
 
     They stay those of the version it builds on, so that the merge finds both sides alike,
     until buckets would get too large; then they double (one merge pays a shuffle for it). A
     first version takes the session's shuffle partitions where these give buckets of a sensible
     size, and otherwise as many as the size asks for: one for a small table, thousands for a
-    huge one.
+    huge one. It takes more where the rows of a bucket, which one task sorts, would be too many.
     """
     smallest, largest = BUCKET_BYTES_RANGE
     buckets = stored_buckets(spark, base)
     if not buckets:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        if expected_bytes is None or smallest * partitions <= expected_bytes <= largest * partitions:
-            return partitions
-        return max(1, min(MAX_BUCKETS, -(-expected_bytes // BUCKET_BYTES)))
-    while (expected_bytes or 0) > buckets * largest and buckets < MAX_BUCKETS:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if expected_bytes is not None and not smallest * buckets <= expected_bytes <= largest * buckets:
+            buckets = max(1, -(-expected_bytes // BUCKET_BYTES))
+        return min(MAX_BUCKETS, max(buckets, -(-(expected_rows or 0) // BUCKET_ROWS)))
+    while ((expected_bytes or 0) > buckets * largest or (expected_rows or 0) > buckets * MOST_BUCKET_ROWS) and buckets < MAX_BUCKETS:
         buckets = min(buckets * 2, MAX_BUCKETS)
     return buckets
 

@@ -114,6 +114,30 @@ def test_new_loads_only_gives_the_same_state(spark, sf_dir):
         assert "__v" in silver_side and "Exchange" not in silver_side, plan
 
 
+def test_buckets_follow_the_rows_that_a_task_sorts(spark, monkeypatch):
+    """Narrow rows take little room on disk and much in memory: their number decides, and copies of a key count once."""
+    monkeypatch.setattr(versioned, "BUCKET_ROWS", 1000)
+    monkeypatch.setattr(versioned, "MOST_BUCKET_ROWS", 4000)
+    name = f"m_{uuid.uuid4().hex[:8]}"
+    spec = TableSpec("t", "snapshot", f"{name}.t", f"{name}.s", ("k",), sync_deletes=True)
+    found = []
+    for day, n in ((1, 8000), (2, 8500), (3, 40000)):
+        run = f"2024010{day}T000000"
+        bronze.write_snapshot(spark, spec.bronze_table, spark.range(n).select(F.col("id").alias("k"), F.lit("v").alias("v")), run)
+        result = merge_table(spark, spec, "s", "id", run)
+        assert result["status"] == "SUCCESS", result["error_message"]
+        found.append(versioned.stored_buckets(spark, versioned.version_as_of(spark, spec.silver_table)))
+        assert spark.table(spec.silver_table).select("k").distinct().count() == n == spark.table(spec.silver_table).count()
+    assert 7 <= found[0] <= 9 and found[1] == found[0] and found[2] == 2 * found[0]
+    state = versioned.version_as_of(spark, spec.silver_table)
+    places = spark.table(state.table).select(F.col("_metadata.file_path").alias("file")).groupBy("file").count()
+    assert places.agg(F.max("count")).first()[0] < 4000
+    history = TableSpec("h", "incremental", f"{name}.h", f"{name}.hs", ("k",))
+    bronze.append_run(spark, history.bronze_table, spark.range(9000).select((F.col("id") % 900).alias("k"), F.col("id").alias("v")), run)
+    assert merge_table(spark, history, "s", "id", run)["rows_inserted"] == 900
+    assert versioned.stored_buckets(spark, versioned.version_as_of(spark, history.silver_table)) == 1
+
+
 def merge_plan(spark, spec, base, partitions):
     """Physical plan of the next merge: only the incoming side is shuffled."""
     keys = list(spec.business_keys)

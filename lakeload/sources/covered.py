@@ -19,19 +19,23 @@ SUFFIX = "__covered"
 FILES = "load string, partition string, file string, length long"
 
 
-def listed_files(spark: SparkSession, table: str, until: str) -> DataFrame:
-    """Files in the registered partitions of a load history, runs up to ``until``; kept, as the listing was."""
+def listed_now(spark: SparkSession, table: str, until: str) -> DataFrame:
+    """Files in the registered partitions of a load history, runs up to ``until``; listed when it is read."""
     columns = partition_columns(spark, table)
     parts = spark.sql(f"SHOW PARTITIONS {quoted(table)}").select("partition")
-    kept = f"{scratch_path(spark, 'listing')}"
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
              .load(table_location(spark, table)).select("path", "length"))
     folder = "/".join(f"{c}=[^/]*" for c in columns)
     found = files.select(
         F.regexp_extract("path", f"{LOAD_COLUMN}=([^/]*)", 1).alias("load"), F.regexp_extract("path", f"({folder})/[^/]*$", 1).alias("partition"),
         F.regexp_extract("path", "[^/]*$", 0).alias("file"), "length")
-    (found.join(parts, "partition", "left_semi").where(F.col("load") <= until)
-     .select("load", "partition", "file", "length").write.parquet(kept))
+    return found.join(parts, "partition", "left_semi").where(F.col("load") <= until).select("load", "partition", "file", "length")
+
+
+def listed_files(spark: SparkSession, table: str, until: str) -> DataFrame:
+    """:func:`listed_now`, kept as the listing was."""
+    kept = f"{scratch_path(spark, 'listing')}"
+    listed_now(spark, table, until).write.parquet(kept)
     return spark.read.schema(FILES).parquet(kept)
 
 
@@ -67,7 +71,7 @@ def record_covered(spark: SparkSession, silver: str, table: str, run_ts: str, li
     where files came or went while the merge ran.
     """
     name = silver + SUFFIX
-    if not _same(listing, listed_files(spark, table, run_ts)):
+    if not _same(listing, listed_now(spark, table, run_ts)):
         if table_exists(spark, name):
             later = spark.sql(f"SHOW PARTITIONS {quoted(name)}").where(F.col("partition") == f"{LOAD_COLUMN}={run_ts}").collect()
             bronze.drop_partitions(spark, name, [{LOAD_COLUMN: run_ts}] if later else [])

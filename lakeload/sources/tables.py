@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from lakeload.operators.zorder import zorder_key
 
+# Section headers of an extended description.
+_PARTITIONS, _DETAILS = "# Partition Information", "# Detailed Table Information"
+
 
 def quoted(name: str) -> str:
     """``db.table`` with back-ticks around each part."""
@@ -29,22 +32,44 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(quoted(table))
 
 
+def description(spark: SparkSession, table: str) -> tuple[dict[str, str], list[str]]:
+    """Entries of the extended description, such as Location or Type, and the partition columns. One call to the catalog, no job;
+    columns of those names are told from the entries by their section."""
+    entries: dict[str, str] = {}
+    parts: list[str] = []
+    section = None
+    for row in spark.sql(f"DESCRIBE EXTENDED {quoted(table)}").collect():
+        if section == _DETAILS:
+            entries.setdefault(row.col_name, row.data_type)
+        elif row.col_name in (_PARTITIONS, _DETAILS, ""):
+            section = row.col_name
+        elif section == _PARTITIONS and row.col_name != "# col_name":
+            parts.append(row.col_name)
+    return entries, parts
+
+
 def described(spark: SparkSession, table: str, label: str) -> str | None:
-    """One entry of the extended description, such as Location or Type."""
-    row = (spark.sql(f"DESCRIBE EXTENDED {quoted(table)}")
-           .where(F.col("col_name") == label).select("data_type").first())
-    return row.data_type if row else None
+    """One entry of the extended description."""
+    return description(spark, table)[0].get(label)
+
+
+def _view_target(entries: dict[str, str]) -> str | None:
+    text = entries.get("View Text") if entries.get("Type") == "VIEW" else None
+    return text.rsplit(" ", 1)[1].replace("`", "").lower() if text else None
 
 
 def stored_table(spark: SparkSession, table: str) -> str:
     """Table that holds the rows: the newest version behind the view of a versioned table, otherwise the table itself."""
-    text = described(spark, table, "View Text") if is_view(spark, table) else None
-    return text.rsplit(" ", 1)[1].replace("`", "").lower() if text else table
+    return (_view_target(description(spark, table)[0]) if table_exists(spark, table) else None) or table
 
 
 def table_location(spark: SparkSession, table: str) -> str | None:
     """Folder of a table; of a versioned table, the one of its newest version."""
-    return described(spark, stored_table(spark, table), "Location") if table_exists(spark, table) else None
+    if not table_exists(spark, table):
+        return None
+    entries = description(spark, table)[0]
+    target = _view_target(entries)
+    return described(spark, target, "Location") if target else entries.get("Location")
 
 
 def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
@@ -52,7 +77,7 @@ def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(quoted(table)) if c.isPartition]
+    return description(spark, table)[1]
 
 
 def is_view(spark: SparkSession, table: str) -> bool:
@@ -95,7 +120,8 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
 
 def table_bytes(spark: SparkSession, table: str, partition: str = "") -> int | None:
     """Stored size of a table, or of one partition folder of it. None for a view."""
-    location = None if is_view(spark, table) else table_location(spark, table)
+    entries = description(spark, table)[0] if table_exists(spark, table) else {}
+    location = None if entries.get("Type") == "VIEW" else entries.get("Location")
     return folder_bytes(spark, f"{location}/{partition}".rstrip("/")) if location else None
 
 

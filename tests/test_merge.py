@@ -138,6 +138,34 @@ def test_buckets_follow_the_rows_that_a_task_sorts(spark, monkeypatch):
     assert versioned.stored_buckets(spark, versioned.version_as_of(spark, history.silver_table)) == 1
 
 
+def test_a_merge_asks_the_catalog_without_jobs(spark, sf_dir):
+    """Most of a small merge is listing and catalog work: a repeated one takes few jobs."""
+    from lakeload.sources import tables
+    from workloads import fixtures as fx
+
+    name = f"m_{uuid.uuid4().hex[:8]}"
+    spec = TableSpec("t", "incremental", f"{name}.h", f"{name}.s", ("user_id",), "event_id")
+    bronze.append_run(spark, spec.bronze_table, fx.table(spark, sf_dir, "events"), "20240101T000000")
+    assert merge_table(spark, spec, "s", "id", "20240101T000000")["status"] == "SUCCESS"
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "catalog")
+    try:
+        place = tables.table_location(spark, spec.silver_table)
+        assert tables.partition_columns(spark, spec.bronze_table) == ["_bronze_load_ts"]
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
+        assert merge_table(spark, spec, "s", "id", "20240101T000000")["status"] == "SUCCESS"
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            spark.sparkContext.setLocalProperty(key, None)
+    assert place and tables.table_location(spark, spec.silver_table) != place
+    assert 0 < jobs <= 70, jobs
+    # A column may carry the name of an entry.
+    spark.sql(f"CREATE TABLE {name}.named (Location int, Type int, `Num Buckets` int, p int) USING parquet PARTITIONED BY (p)")
+    assert tables.table_location(spark, f"{name}.named").endswith("named") and not tables.is_view(spark, f"{name}.named")
+    assert tables.described(spark, f"{name}.named", "Num Buckets") is None and tables.partition_columns(spark, f"{name}.named") == ["p"]
+
+
 def merge_plan(spark, spec, base, partitions):
     """Physical plan of the next merge: only the incoming side is shuffled."""
     keys = list(spec.business_keys)
